@@ -554,6 +554,12 @@ def _month(day: str, cut: int = 29) -> str:
     return f"CASE WHEN day({day}) >= {cut} THEN {rolled} ELSE strftime({day}, '%Y-%m') END"
 
 
+def _round(number: str, digits: int) -> str:
+    """Round half up on the decimal digits of a double; DuckDB would round its binary value."""
+    exact = f"CAST(CAST({number} AS VARCHAR) AS DECIMAL(38, 20))"
+    return f"CAST(round({exact}, {digits}) AS DOUBLE)"
+
+
 _FEED_KEYWORDS = [(keyword.upper(), category) for keyword, category in FEED_RULES]
 _RAW = ", ".join(f'"{name}"' for name in RAW_COLUMNS)
 _HASH = (
@@ -632,32 +638,33 @@ def _with(source: str, body: str) -> str:
 
 
 def _monthly_sql(source: str) -> str:
+    spend = _round("sum(amount)", 6)
+    share = "total_spend / nullif(sum(total_spend) OVER (PARTITION BY statement_month), 0) * 100"
+    change = "total_spend - lag(total_spend) OVER (PARTITION BY category ORDER BY statement_month)"
     return _with(
         source,
         f"""
-        , m AS (SELECT statement_month, category, round(sum(amount), 2) AS total_spend,
-                       count(*) AS tx_count, round(avg(amount), 2) AS avg_tx
+        , m AS (SELECT statement_month, category, {_round(spend, 2)} AS total_spend,
+                       count(*) AS tx_count, {_round(f"{spend} / count(amount)", 2)} AS avg_tx
                 FROM {source} WHERE NOT is_credit AND statement_month IS NOT NULL GROUP BY ALL)
-        SELECT *,
-               round(total_spend / nullif(sum(total_spend) OVER (PARTITION BY statement_month), 0)
-                     * 100, 1) AS pct_of_month,
-               round(total_spend - lag(total_spend) OVER
-                     (PARTITION BY category ORDER BY statement_month), 2) AS mom_delta
+        SELECT *, {_round(share, 1)} AS pct_of_month, {_round(change, 2)} AS mom_delta
         FROM m""",
     )
 
 
 def _stability_sql(source: str) -> str:
+    mean = _round("sum(spend)", 6) + " / count(spend)"
     return _with(
         source,
         f"""
-        , m AS (SELECT statement_month, category, sum(amount) AS spend
+        , m AS (SELECT statement_month, category, {_round("sum(amount)", 6)} AS spend
                 FROM {source} WHERE NOT is_credit GROUP BY ALL)
-        , s AS (SELECT category, round(avg(spend), 2) AS avg_monthly,
-                       round(stddev_samp(spend), 2) AS stddev_monthly, count(*) AS sample_months
+        , s AS (SELECT category, {_round(mean, 2)} AS avg_monthly,
+                       {_round("stddev_samp(spend)", 2)} AS stddev_monthly,
+                       count(*) AS sample_months
                 FROM m GROUP BY ALL)
-        , c AS (SELECT *, CASE WHEN avg_monthly > 0 THEN round(stddev_monthly / avg_monthly, 3) END
-                          AS cv FROM s)
+        , c AS (SELECT *, CASE WHEN avg_monthly > 0
+                               THEN {_round("stddev_monthly / avg_monthly", 3)} END AS cv FROM s)
         SELECT *, CASE WHEN cv < 0.15 THEN 'FIXED' WHEN cv < 0.50 THEN 'VARIABLE'
                        ELSE 'DISCRETIONARY' END AS classification
         FROM c""",
@@ -677,8 +684,8 @@ def _recurring_sql(
         source,
         f"""
         , g AS (SELECT description_norm, category,
-                       round(quantile_disc(amount, 0.5), 2) AS median_amount,
-                       round(stddev_samp(amount), 2) AS amount_stddev,
+                       {_round("quantile_disc(amount, 0.5)", 2)} AS median_amount,
+                       {_round("stddev_samp(amount)", 2)} AS amount_stddev,
                        count(DISTINCT statement_month) AS occurrence_months,
                        array_to_string(list_sort(list(DISTINCT statement_month)), ',')
                            AS months_seen

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.numeric import label_below, percent_of, ratio_if_positive
@@ -12,6 +12,22 @@ FIXED_BELOW = 0.15
 VARIABLE_BELOW = 0.50
 
 
+# Sums of doubles depend in their last bits on the order in which tasks finish. Amounts are cents,
+# so a mean often lies halfway between two cents, where those bits would decide. Sums are cut to
+# this many decimals before anything is derived from them.
+SUM_DECIMALS = 6
+
+
+def clean_sum(amount: str) -> Column:
+    """The sum of an amount, the same in whatever order it was added up."""
+    return F.round(F.sum(amount), SUM_DECIMALS)
+
+
+def clean_mean(amount: str) -> Column:
+    """The mean of an amount, from :func:`clean_sum`; NULL where there is no amount."""
+    return F.try_divide(clean_sum(amount), F.count(amount))
+
+
 def without_credits(silver: DataFrame) -> DataFrame:
     """Rows that are known not to be credits; rows with a NULL flag go too."""
     return silver.where(~F.col("is_credit"))
@@ -27,9 +43,9 @@ def month_category_totals(silver: DataFrame) -> DataFrame:
         without_credits(silver)
         .groupBy("statement_month", "category")
         .agg(
-            F.sum("amount").alias("spend"),
+            clean_sum("amount").alias("spend"),
             F.count(F.lit(1)).alias("tx_count"),
-            F.avg("amount").alias("mean"),
+            clean_mean("amount").alias("mean"),
         )
     )
 
@@ -62,7 +78,7 @@ def stability_from_totals(
     return (
         totals.groupBy("category")
         .agg(
-            F.round(F.avg("spend"), 2).alias("avg_monthly"),
+            F.round(clean_mean("spend"), 2).alias("avg_monthly"),
             F.round(F.stddev_samp("spend"), 2).alias("stddev_monthly"),
             F.count(F.lit(1)).alias("sample_months"),
         )
