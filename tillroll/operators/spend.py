@@ -51,11 +51,16 @@ def month_category_totals(silver: DataFrame) -> DataFrame:
 
 
 def monthly_from_totals(totals: DataFrame) -> DataFrame:
-    """:func:`monthly_by_category` from the totals."""
+    """:func:`monthly_by_category` from the totals.
+
+    Rows without a month come last in the order of the months and are dropped at the end. Dropped
+    first, the condition would move down to the transactions, where a month that is computed
+    rather than stored would be computed once more for it.
+    """
     of_month = Window.partitionBy("statement_month")
-    by_month = Window.partitionBy("category").orderBy("statement_month")
+    by_month = Window.partitionBy("category").orderBy(F.asc_nulls_last("statement_month"))
     spend = F.col("total_spend")
-    rounded = totals.where(F.col("statement_month").isNotNull()).select(
+    rounded = totals.select(
         "statement_month",
         "category",
         F.round("spend", 2).alias("total_spend"),
@@ -66,7 +71,7 @@ def monthly_from_totals(totals: DataFrame) -> DataFrame:
         "*",
         F.round(percent_of(spend, F.sum(spend).over(of_month)), 1).alias("pct_of_month"),
         F.round(spend - F.lag(spend).over(by_month), 2).alias("mom_delta"),
-    )
+    ).where(F.col("statement_month").isNotNull())
 
 
 def stability_from_totals(
