@@ -1,0 +1,119 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.helpers import final_plan, plan, rows_of
+from tillroll.functions import categorize, normalize_keyword
+from tillroll.operators import categorize_by_table, match_rules
+from tillroll.rules import KEYWORD_RULES, SEED_RULES, rule_table
+
+TEXTS = [
+    "TRADER JOES 42", "AMAZON PRIME 2", "AMAZON MKTP", "APPLE COM BILL", "SEASHELLS", "GYM",
+    "UBER TRIP AMAZON", "CORNER STORE", "", "X", "PLAN FEE PLAN FEE", "AMAZO",
+]
+
+
+def texts(spark):
+    rows = [(t, "Groceries" if len(t) % 2 else None, i) for i, t in enumerate(TEXTS * 3)]
+    return spark.createDataFrame(rows, "description_norm string, chase_category string, i int")
+
+
+def labels(df):
+    return rows_of(df.select("i", "description_norm", "category"))
+
+
+@pytest.mark.parametrize("rules", [KEYWORD_RULES, SEED_RULES, KEYWORD_RULES[:1], []])
+@pytest.mark.parametrize("max_inline_rules", [0, 200])
+def test_table_gives_the_labels_of_the_rule_list(spark, rules, max_inline_rules):
+    df = texts(spark)
+    want = df.withColumn(
+        "category", categorize(F.col("description_norm"), F.col("chase_category"), rules)
+    )
+    got = categorize_by_table(df, rule_table(spark, rules), max_inline_rules=max_inline_rules)
+    assert labels(got) == labels(want)
+    assert set(got.columns) == {*df.columns, "category"}
+
+
+def test_random_rules_match_brute_force(spark):
+    rng = random.Random(7)
+
+    def word(low, high):
+        return "".join(rng.choice("AB ") for _ in range(rng.randint(low, high))).strip() or "A"
+
+    rules = [(word(1, 6), f"c{i}") for i in range(40)]
+    lines = sorted({" ".join(word(0, 30).split()) for _ in range(200)})
+
+    def first(line):
+        return next((c for k, c in rules if " ".join(k.split()) in line), "?")
+
+    df = spark.createDataFrame([(line, None) for line in lines], "description_norm string, chase_category string")
+    got = categorize_by_table(df, rule_table(spark, rules), fallback="?", max_inline_rules=0)
+    assert rows_of(got.select("description_norm", "category")) == sorted(
+        ((line, first(line)) for line in lines), key=repr
+    )
+
+
+def test_rules_are_normalized_and_least_priority_wins(spark):
+    rules = spark.createDataFrame(
+        [(5, "shop", "late"), (1, "Shop!", "first"), (9, "***", "nothing"), (0, "none", "no")],
+        "priority int, keyword string, category string",
+    )
+    df = spark.createDataFrame([("MY SHOP", None)], "description_norm string, chase_category string")
+    for limit in (0, 200):
+        assert categorize_by_table(df, rules, max_inline_rules=limit).first()["category"] == "first"
+
+
+def test_short_tables_cost_no_join(spark):
+    text = plan(categorize_by_table(texts(spark), rule_table(spark, KEYWORD_RULES)))
+    assert "Join" not in text and "Exchange" not in text
+
+
+def test_long_tables_are_joined_by_equality(spark):
+    df = categorize_by_table(texts(spark), rule_table(spark, KEYWORD_RULES), max_inline_rules=0)
+    assert "NestedLoop" not in plan(df) and "Cartesian" not in plan(df)
+
+
+def test_whole_texts_are_searched(spark):
+    words = " ".join(f"W{i}" for i in range(20_000))
+    df = spark.createDataFrame([(words + " LASTWORD", None)], "description_norm string, chase_category string")
+    # a keyword longer than a block, words over all places where blocks meet, and the last word
+    long = " ".join(f"w{i}" for i in range(7000, 7600))
+    for keyword in ("lastword", long, *(words[at - 9 : at + 9] for at in range(2040, 60_000, 24_576))):
+        found = match_rules(df, rule_table(spark, [(normalize_keyword(keyword), "x")]))
+        assert found.count() == 1, keyword[:40]
+    rules = rule_table(spark, [("lastword", "found")])
+    assert categorize_by_table(df, rules, max_inline_rules=0).first()["category"] == "found"
+
+
+def test_a_text_shared_by_very_many_rows_is_split(spark):
+    """Half of all rows have one text; the join to its label spreads them over several tasks."""
+    df = (
+        spark.range(0, 40_000, 1, 16)
+        .select(
+            F.when(F.col("id") % 2 == 0, "HOT SHOP")
+            .otherwise(F.concat(F.lit("SHOP "), F.col("id").cast("string")))
+            .alias("description_norm"),
+            F.lit(None).cast("string").alias("chase_category"),
+            F.sha2(F.col("id").cast("string"), 512).alias("payload"),
+        )
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        result = categorize_by_table(df, rule_table(spark, [("hot", "Hot"), ("shop", "Shop")]), max_inline_rules=0)
+        text = final_plan(result)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert "skew=true" in text.replace("isSkew=true", "skew=true")
+    assert dict(rows_of(result.groupBy("category").count())) == {"Hot": 20_000, "Shop": 20_000}

@@ -14,6 +14,7 @@ from tillroll.rules import SOURCE_CATEGORY_MAP, UNCATEGORIZED
 # Up to this many rules, and characters in them, become part of the plan.
 INLINE_RULES = 200
 INLINE_CHARS = 64 * INLINE_RULES
+BLOCK_BYTES = 2048
 
 
 def _normalized_rules(rules: DataFrame) -> DataFrame:
@@ -36,10 +37,23 @@ def _text_key(text: str) -> Column:
     return F.unhex(F.sha2(F.col(text), 256))
 
 
-def _windows(text: Column, size: int) -> Column:
-    """What a text shows through a window of ``size`` characters at each of its positions."""
-    starts = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text)))
-    return F.array_distinct(F.transform(starts, lambda at: F.substring(text, at, F.lit(size))))
+def _slices(data: Column, step: int, size: int) -> Column:
+    """Slices of ``size`` bytes that begin every ``step`` bytes.
+
+    Bytes, because finding a character of a string takes a walk from its start. Equal bytes are
+    equal text, and no character's bytes begin within another's.
+    """
+    length = F.octet_length(data)
+    starts = F.when(length > 0, F.sequence(F.lit(1), length, F.lit(step)))
+    return F.transform(starts, lambda at: F.substring(data, at, F.lit(size)))
+
+
+def _windows(block: Column, size: int) -> Column:
+    """The distinct texts that a window of ``size`` bytes shows along a block, as strings."""
+    starts = F.sequence(F.lit(1), F.least(F.lit(BLOCK_BYTES), F.octet_length(block)))
+    return F.array_distinct(
+        F.transform(starts, lambda at: F.substring(block, at, F.lit(size)).cast("string"))
+    )
 
 
 def _first_rule(rules: DataFrame, key: str) -> DataFrame:
@@ -62,16 +76,25 @@ def match_rules(texts: DataFrame, rules: DataFrame, text: str = "description_nor
     of the texts and the number of those lengths, and with the matches, but not with
     texts × rules.
     """
-    sizes = sorted(rules.agg(F.collect_set(F.length("keyword"))).first()[0])
+    sizes = sorted(rules.agg(F.collect_set(F.octet_length("keyword"))).first()[0])
     keywords = _first_rule(
         rules.select("keyword", F.struct("priority", "category").alias("rule")), "keyword"
     )
-    pieces = F.array(*(F.substring("shown", 1, n) for n in sizes or [1]))
+    longest = max(sizes, default=1)
+    # Each access to a binary column copies it, so long texts are first cut into blocks, which
+    # overlap by all of a keyword but its first byte.
+    blocks = _slices(F.col("data"), BLOCK_BYTES, BLOCK_BYTES + longest - 1)
+    # prefixes of a window as bytes, too; one that would be longer than the window is the window
+    pieces = [F.substring(F.col("shown").cast("binary"), 1, n).cast("string") for n in sizes or [1]]
+    # the outer form of explode, as the plain one would have each array built twice: once more in a
+    # filter for empty ones. A NULL that it leaves meets no keyword.
     looked_up = (
         texts.select(_text_key(text).alias("_text_key"), text)
         .distinct()
-        .select("_text_key", F.explode(_windows(F.col(text), max(sizes, default=1))).alias("shown"))
-        .select("_text_key", F.explode(F.array_distinct(pieces)).alias("keyword"))
+        .select("_text_key", F.col(text).cast("binary").alias("data"))
+        .select("_text_key", F.explode_outer(blocks).alias("block"))
+        .select("_text_key", F.explode_outer(_windows(F.col("block"), longest)).alias("shown"))
+        .select("_text_key", F.explode_outer(F.array_distinct(F.array(*pieces))).alias("keyword"))
     )
     return _first_rule(looked_up.join(keywords, "keyword").select("_text_key", "rule"), "_text_key")
 

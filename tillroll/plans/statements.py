@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +41,7 @@ def ingest_statements(
     bronze: str,
     *,
     glob: str = "*.csv",
+    options: Mapping[str, str] | None = None,
     dedupe_within_batch: bool = False,
     skip_nulls: bool = False,
 ) -> None:
@@ -48,7 +49,8 @@ def ingest_statements(
 
     Running it again, or on a directory that holds files ingested before, adds only new rows.
     """
-    rows = bronze_rows(read_statements(spark, source, glob=glob), source, skip_nulls=skip_nulls)
+    raw = read_statements(spark, source, glob=glob, options=options)
+    rows = bronze_rows(raw, source, skip_nulls=skip_nulls)
     insert_only_merge(spark, rows, bronze, FINGERPRINT, dedupe_within_batch=dedupe_within_batch)
 
 

@@ -13,6 +13,9 @@ from pyspark.sql.types import StructType
 # What Spark reports for a missing directory, and for one without data files.
 _NO_TABLE = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
+# Hash buckets of a partitioned write; Spark joins the small ones again.
+REBALANCE_BUCKETS = 1024
+
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """The whole table at ``path``; pass the schema to fix types instead of taking the files'."""
@@ -42,10 +45,12 @@ def append_partitioned(df: DataFrame, path: str, partition_by: str) -> None:
 
     The rows are rebalanced on that column first: small values share a task and give one file
     each, while a value that holds a large part of all rows is split over as many tasks as its
-    size asks for (``spark.sql.adaptive.advisoryPartitionSizeInBytes``).
+    size asks for (``spark.sql.adaptive.advisoryPartitionSizeInBytes``). Small values that share a
+    hash bucket with a large one would be cut up along with it, so there are many buckets.
     """
+    buckets = max(REBALANCE_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     (
-        df.hint("rebalance", partition_by)
+        df.hint("rebalance", buckets, partition_by)
         .write.mode("append")
         .partitionBy(partition_by)
         .parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,6 +22,7 @@ def ingest_statements_stream(
     checkpoint: str,
     *,
     glob: str = "*.csv",
+    options: Mapping[str, str] | None = None,
     max_files_per_trigger: int = FILES_PER_TRIGGER,
     processing_time: str | None = None,
     dedupe_within_batch: bool = False,
@@ -41,7 +44,11 @@ def ingest_statements_stream(
     if checkpoint.rstrip("/").startswith(bronze.rstrip("/") + "/") or checkpoint == bronze:
         raise ValueError("the checkpoint must lie outside the table")
     raw = stream_statements(
-        spark, source, glob=glob, max_files_per_trigger=max_files_per_trigger
+        spark,
+        source,
+        glob=glob,
+        options=options,
+        max_files_per_trigger=max_files_per_trigger,
     )
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
