@@ -75,8 +75,12 @@ def test_credits_are_left_out(spark):
     assert (row["median_amount"], row["occurrence_months"]) == (5.0, 2)
 
 
-def test_one_shuffle(spark):
-    assert plan(detect_recurring(spend_df(spark))).count("Exchange") == 1
+def test_charges_are_reduced_before_each_of_two_shuffles(spark):
+    text = plan(detect_recurring(spend_df(spark)))
+    assert text.count("Exchange") == 2
+    assert "partial_percentile_approx" in text
+    first = text[text.rindex("Exchange hashpartitioning(") :].splitlines()[0]
+    assert "statement_month" in first
 
 
 def test_top_takes_the_largest_and_breaks_ties(spark):

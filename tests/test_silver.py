@@ -100,6 +100,14 @@ def test_build_is_incremental(spark, tmp_path):
     }
 
 
+def test_build_after_a_change_of_the_cut_day(spark, tmp_path):
+    b, s = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    append_table(bronze(spark, raw_row("01/20/2024", "A"), raw_row("05/20/2024", "B")), b)
+    build_silver(spark, b, s)
+    build_silver(spark, b, s, cut_day=15, search_all_months=True)
+    assert read_table(spark, s, SILVER_SCHEMA).count() == 2
+
+
 def test_month_slice_reads_one_partition(spark, tmp_path):
     b, s = str(tmp_path / "bronze"), str(tmp_path / "silver")
     append_table(bronze(spark, raw_row("01/05/2024", "GYM"), raw_row("03/05/2024", "GYM")), b)

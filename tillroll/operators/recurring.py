@@ -33,46 +33,41 @@ def detect_recurring(
     merchant without one (a single charge, or a median that is not positive) does not recur.
     ``with_months`` adds the sorted months.
 
-    One shuffle on merchant and category: every task reduces its rows to one buffer per group
-    first, and a buffer is bounded by the accuracy and the number of months, whatever the number
-    of charges. Months are counted from their set, as a distinct count would add a second shuffle
-    and carry all buffers through it.
+    The distinct count makes Spark reduce in two rounds: each task keeps one small buffer per
+    merchant and month, buffers are merged per merchant and month, and only the results of that
+    meet per merchant. So a merchant with a large part of all charges has its buffers merged by as
+    many tasks as it has months, and no row of it goes through a shuffle.
     """
-    months = F.array_sort("months_seen")
-    occurrence = F.size("months_seen").cast("bigint")
     cv = ratio_if_positive(F.col("amount_stddev"), F.col("median_amount"))
-    recurs = (occurrence >= min_months) & (F.col("amount_cv") < amount_cv_threshold)
+    recurs = (F.col("occurrence_months") >= min_months) & (
+        F.col("amount_cv") < amount_cv_threshold
+    )
     kind = (
         F.when(~F.col("is_recurring"), "IRREGULAR")
         .when(F.col("occurrence_months") >= monthly_from, "MONTHLY")
         .otherwise("OCCASIONAL")
     )
     median = F.percentile_approx("amount", 0.5, accuracy)
-    grouped = (
+    months = F.array_sort(F.collect_set("statement_month")).alias("months_seen")
+    return (
         without_credits(silver)
         .groupBy("description_norm", "category")
         .agg(
             F.round(median, 2).alias("median_amount"),
+            F.countDistinct("statement_month").alias("occurrence_months"),
             F.round(F.stddev_samp("amount"), 2).alias("amount_stddev"),
-            F.collect_set("statement_month").alias("months_seen"),
+            *([months] if with_months else []),
         )
         .withColumn("amount_cv", cv)
-    )
-    return grouped.select(
-        "description_norm",
-        "category",
-        "median_amount",
-        occurrence.alias("occurrence_months"),
-        F.coalesce(recurs, F.lit(False)).alias("is_recurring"),
-        "amount_cv",
-        months.alias("months_seen"),
-    ).select(
-        "description_norm",
-        "category",
-        "median_amount",
-        "occurrence_months",
-        "is_recurring",
-        kind.alias("recurrence_type"),
-        "amount_cv",
-        *(["months_seen"] if with_months else []),
+        .withColumn("is_recurring", F.coalesce(recurs, F.lit(False)))
+        .select(
+            "description_norm",
+            "category",
+            "median_amount",
+            "occurrence_months",
+            "is_recurring",
+            kind.alias("recurrence_type"),
+            "amount_cv",
+            *(["months_seen"] if with_months else []),
+        )
     )

@@ -61,17 +61,24 @@ def build_silver(
     *,
     gate_log: str | None = None,
     gate_rules: Sequence[QualityRule] | None = None,
+    search_all_months: bool = False,
     **normalize_options,
 ) -> list[QualityResult] | None:
     """Append the bronze rows that the silver table lacks, typed and categorised, by month.
 
-    The fingerprint covers the transaction date, so the silver table is searched only in the
-    months that the new rows span. With ``gate_log`` the new rows are staged and checked before
+    The fingerprint covers the transaction date, and the date gives the month, so the silver table
+    is searched only in the months that the new rows span. Where earlier rows were put into months
+    by other rules (another cut day or date format), ask to ``search_all_months``. With ``gate_log`` the new rows are staged and checked before
     any of them is published; a failed ERROR rule raises and leaves the table as it is.
     """
     typed = normalize_statements(read_table(spark, bronze, BRONZE_SCHEMA), **normalize_options)
     fresh = drop_known_rows(
-        spark, typed, silver, key=FINGERPRINT, prune_by=MONTH, schema=SILVER_SCHEMA
+        spark,
+        typed,
+        silver,
+        key=FINGERPRINT,
+        prune_by=None if search_all_months else MONTH,
+        schema=SILVER_SCHEMA,
     )
     results = None
     if gate_log is not None:
