@@ -95,8 +95,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(table: DataFrame, *row_id: str) -> DataFrame:
+    """Deal the rows of a table with fewer splits than there are cores out to all cores.
+
+    Each test table is a single row group, which one task would read and transform alone. A table
+    of ordinary size has more splits than the cluster has cores and is left as it is.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores, *row_id)
+
+
 def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lineitem_feed(_table(spark, sf_dir, "lineitem"), _table(spark, sf_dir, "part"))
+    lineitem = _spread(_table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    return lineitem_feed(lineitem, _table(spark, sf_dir, "part"))
 
 
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
