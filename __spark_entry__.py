@@ -461,7 +461,7 @@ def _stream(spark, sf_dir, drops, **options):
 
 
 def _stream_ingest(spark, sf_dir):
-    """All drops in one run, file by file; one row of each is kept, however files fall."""
+    """All drops in one run; one row of each is kept, however files fall into micro-batches."""
     drop, bronze = scratch_path(spark, "drop"), scratch_path(spark, "bronze")
     for which in (0, 1):
         _drop_files(spark, sf_dir, drop, which)
@@ -470,7 +470,6 @@ def _stream_ingest(spark, sf_dir):
         drop,
         bronze,
         scratch_path(spark, "checkpoint"),
-        max_files_per_trigger=1,
         dedupe_within_batch=True,
     ).awaitTermination()
     return read_table(spark, bronze).select(*RAW_COLUMNS, "_row_hash")

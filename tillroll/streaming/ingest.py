@@ -39,7 +39,8 @@ def ingest_statements_stream(
     one that is delivered again after a failure, or a file dropped under a second name, adds
     nothing. Copies of a row within one micro-batch all stay and those in a later one do not,
     so the result depends on how files fall into micro-batches unless ``dedupe_within_batch`` is
-    set.
+    set. Each micro-batch searches the whole table, so load a large backlog with
+    :func:`~tillroll.plans.ingest_statements` first, which searches it once.
     """
     if checkpoint.rstrip("/").startswith(bronze.rstrip("/") + "/") or checkpoint == bronze:
         raise ValueError("the checkpoint must lie outside the table")
