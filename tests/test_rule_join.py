@@ -54,6 +54,13 @@ def test_random_rules_match_brute_force(spark):
     )
 
 
+def test_other_columns_are_kept(spark):
+    df = texts(spark).withColumn("rule", F.lit("mine")).withColumn("keyword", F.lit("too"))
+    got = categorize_by_table(df, rule_table(spark), max_inline_rules=0)
+    assert got.columns == [*df.columns, "category"]
+    assert got.select("rule", "keyword").distinct().collect() == [("mine", "too")]
+
+
 def test_rules_are_normalized_and_least_priority_wins(spark):
     rules = spark.createDataFrame(
         [(5, "shop", "late"), (1, "Shop!", "first"), (9, "***", "nothing"), (0, "none", "no")],

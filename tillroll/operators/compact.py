@@ -56,12 +56,12 @@ def compact_table(
     n = max(1, math.ceil(bytes_before / target_file_bytes))
     order = [c for c in (partition_by, *cluster_by) if c is not None]
     if order:
-        position = ["_file", "_row"]
+        position = ["_position_file", "_position_row"]
         laid_out = (
             table.select(
                 "*",
-                F.xxhash64("_metadata.file_path").alias("_file"),
-                F.col("_metadata.row_index").alias("_row"),
+                F.xxhash64("_metadata.file_path").alias(position[0]),
+                F.col("_metadata.row_index").alias(position[1]),
             )
             .repartitionByRange(n, *order, *position)
             .sortWithinPartitions(*order)

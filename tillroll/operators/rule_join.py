@@ -64,12 +64,12 @@ def _first_rule(rules: DataFrame, key: str) -> DataFrame:
     what lets Spark split the rows of a key that very many of the other side share.
     """
     return rules.groupBy(key, F.crc32(F.col(key).cast("binary")).alias("_crc")).agg(
-        F.min("rule").alias("rule")
+        F.min("_rule").alias("_rule")
     ).drop("_crc")
 
 
 def match_rules(texts: DataFrame, rules: DataFrame, text: str = "description_norm") -> DataFrame:
-    """``(_text_key, rule)`` of each distinct text in which a keyword occurs; the first rule wins.
+    """``(_text_key, _rule)`` of each distinct text in which a keyword occurs; the first rule wins.
 
     Substring search as an equality join: at each position of each distinct text, the piece that
     starts there is looked up in every length that keywords have. The work grows with the length
@@ -78,7 +78,7 @@ def match_rules(texts: DataFrame, rules: DataFrame, text: str = "description_nor
     """
     sizes = sorted(rules.agg(F.collect_set(F.octet_length("keyword"))).first()[0])
     keywords = _first_rule(
-        rules.select("keyword", F.struct("priority", "category").alias("rule")), "keyword"
+        rules.select("keyword", F.struct("priority", "category").alias("_rule")), "keyword"
     )
     longest = max(sizes, default=1)
     # Each access to a binary column copies it, so long texts are first cut into blocks, which
@@ -96,7 +96,7 @@ def match_rules(texts: DataFrame, rules: DataFrame, text: str = "description_nor
         .select("_text_key", F.explode_outer(_windows(F.col("block"), longest)).alias("shown"))
         .select("_text_key", F.explode_outer(F.array_distinct(F.array(*pieces))).alias("keyword"))
     )
-    return _first_rule(looked_up.join(keywords, "keyword").select("_text_key", "rule"), "_text_key")
+    return _first_rule(looked_up.join(keywords, "keyword").select("_text_key", "_rule"), "_text_key")
 
 
 def categorize_by_table(
@@ -125,6 +125,6 @@ def categorize_by_table(
     keyed = df.withColumn("_text_key", _text_key(text))
     return (
         keyed.join(match_rules(df, ready, text), "_text_key", "left")
-        .withColumn("category", F.coalesce(F.col("rule.category"), *rest))
-        .drop("_text_key", "rule")
+        .withColumn("category", F.coalesce(F.col("_rule.category"), *rest))
+        .drop("_text_key", "_rule")
     )
