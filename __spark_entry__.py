@@ -6,6 +6,7 @@ parts (see ``tillroll.sources.feeds``); others run on orders, events, customers
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 from datetime import date
 
@@ -88,6 +89,17 @@ SILVER_OUT = [
 ]
 
 
+def _training_data():
+    """The queries of the training-data operators, or None where that subpackage is not installed."""
+    try:
+        return importlib.import_module("tillroll.llm.queries")
+    except ModuleNotFoundError as missing:
+        name = missing.name or ""
+        if name != "corpus_pipeline" and not name.startswith("tillroll.llm"):
+            raise
+        return None
+
+
 # ------------------------------------------------------------------------------------ inputs
 
 
@@ -481,6 +493,11 @@ def _stream_two_drops(spark, sf_dir):
 
 def queries() -> dict[str, Query]:
     """Each takes a session and the folder of the tables and returns a DataFrame."""
+    more = _training_data()
+    return _statement_queries() | (more.QUERIES if more else {})
+
+
+def _statement_queries() -> dict[str, Query]:
     return {
         "row_fingerprint": _row_fingerprint,
         "row_fingerprint_skip_nulls": _row_fingerprint_skip_nulls,
@@ -740,7 +757,13 @@ _DEFAULT_KEYWORDS = [(keyword.replace(".", " "), category) for keyword, category
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL for DuckDB per query. ``source_files`` has none: it lists file names, not rows."""
+    """SQL for DuckDB per query that SQL can express."""
+    more = _training_data()
+    return _statement_sql() | (more.ORACLE_SQL if more else {})
+
+
+def _statement_sql() -> dict[str, str]:
+    """``source_files`` has none: it lists file names, not rows."""
     silver_cols = ", ".join(SILVER_OUT)
     bronze_cols = f"{_RAW}, _batch_id, _row_hash"
     silver_rows = _with("silver", f"SELECT {silver_cols} FROM silver")

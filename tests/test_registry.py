@@ -1,6 +1,7 @@
 """Every registered query next to its SQL in DuckDB, on whole tables of the smallest size."""
 
 import os
+import sys
 
 import pytest
 
@@ -17,16 +18,24 @@ def duck():
 
 
 def test_every_query_but_the_file_listing_has_sql():
-    assert set(registry.queries()) - set(registry.oracle_sql()) == {"source_files"}
+    assert set(registry._statement_queries()) - set(registry._statement_sql()) == {"source_files"}
     assert set(registry.oracle_sql()) <= set(registry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registry._statement_sql()))
 def test_query_equals_sql(spark, duck, name):
     df = registry.queries()[name](spark, TESTDATA)
     assert difference(df, duck, registry.oracle_sql()[name]) is None
 
 
+def test_registry_without_the_training_data_operators(monkeypatch):
+    for name in [n for n in sys.modules if n.startswith("tillroll.llm") or n == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "tillroll.llm.queries", None)
+    assert set(registry.queries()) == set(registry._statement_queries())
+    assert set(registry.oracle_sql()) == set(registry._statement_sql())
+
+
 def test_source_files(spark):
     rows = registry.queries()["source_files"](spark, TESTDATA).collect()
     assert [os.path.basename(r[0]) for r in rows] == ["lineitem.parquet"]
