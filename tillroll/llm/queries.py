@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm.chat import format_conversations, loss_texts, read_turns
+from tillroll.llm.exact_dedup import exact_duplicates
+from tillroll.llm.sharding import shard_by_bytes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,10 +54,42 @@ _OP1_SQL = r"""
             AS formatted_chars
     FROM placed GROUP BY conv_id"""
 
+def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard_by_bytes(_table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
+_OP10_SQL = r"""
+    WITH bare AS (
+        SELECT doc_id, length(coalesce(text, '')) AS n,
+            regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t
+        FROM documents
+    ), ranked AS (
+        SELECT doc_id, t, first_value(doc_id) OVER (PARTITION BY t ORDER BY n DESC, doc_id) AS keep_id,
+            count(*) OVER (PARTITION BY t) AS group_size
+        FROM bare
+    )
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM ranked"""
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op4_shards": op4_shards,
+    "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLE_SQL = {
     "op1_chat_format": _OP1_SQL,
+    "op10_exact_dedup": _OP10_SQL,
 }
