@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.chat import format_conversations, loss_texts, read_turns
 from tillroll.llm.exact_dedup import exact_duplicates
+from tillroll.llm.near_dedup import near_duplicates
 from tillroll.llm.sharding import shard_by_bytes
 
 
@@ -54,6 +55,33 @@ _OP1_SQL = r"""
             AS formatted_chars
     FROM placed GROUP BY conv_id"""
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+_OP2_SQL = r"""
+    WITH RECURSIVE worded AS (
+        SELECT doc_id, [w FOR w IN string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x20\x09-\x0D]+') IF w <> ''] AS w
+        FROM documents
+    ), sets AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+            ELSE list_distinct([array_to_string(w[i:i+4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s
+        FROM worded
+    ), shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+    links AS (
+        SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n
+        HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+    ), reach AS (
+        SELECT doc_id, doc_id AS other FROM documents
+        UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+    ), least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+    SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, component_id, s.doc_id = component_id AS kept
+    FROM sets s JOIN least USING (doc_id)"""
+
+
 def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_by_bytes(_table(spark, sf_dir, "documents"))
     return placed.select(
@@ -85,11 +113,13 @@ _OP10_SQL = r"""
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op2_near_dedup": op2_near_dedup,
     "op4_shards": op4_shards,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLE_SQL = {
     "op1_chat_format": _OP1_SQL,
+    "op2_near_dedup": _OP2_SQL,
     "op10_exact_dedup": _OP10_SQL,
 }
