@@ -32,10 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm import golomb
+from tillroll.llm.key_filter import FILTER_BYTES, broadcast_filter, possible
 from tillroll.llm.staging import staged
 
 WHITE_SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
-FILTER_BYTES = 8 << 20
 _ROWS = (
     "doc_id long, n_chars long, fingerprint long, text_sha256 string, part long, owner int, "
     "place int, repeated boolean, message binary"
@@ -130,37 +130,12 @@ def _answers(messages: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"part": messages["part"], "owner": messages["owner"], "bitmap": bitmaps})
 
 
-def _filter_places(prints: np.ndarray, n_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two positions in the Bloom filter; fingerprints are parts of a digest and thus spread."""
-    values, mask = prints.view(np.uint64), np.uint64(n_bits - 1)
-    return values & mask, (values >> np.uint64(29)) & mask
-
-
-def _filter_of(suspects: DataFrame, n_bits: int) -> np.ndarray:
-    """The Bloom filter of the suspects' fingerprints: words that Spark merges, then one array."""
-    places = F.expr(
-        f"array(fingerprint & {n_bits - 1}L, shiftrightunsigned(fingerprint, 29) & {n_bits - 1}L)"
-    )
-    merged = (
-        suspects.select(F.explode(places).alias("bit"))
-        .groupBy(F.expr("bit div 64").alias("at"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, int(bit % 64))")).alias("word"))
-    ).toPandas()
-    words = np.zeros(n_bits // 64, dtype=np.int64)
-    words[merged["at"].to_numpy(dtype=np.int64)] = merged["word"].to_numpy(dtype=np.int64)
-    return words.view(np.uint8)
-
-
-def _possible_suspects(shared_filter, n_bits: int):
+def _possible_suspects(suspects):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(shared_filter.value, bitorder="little")
         for batch in batches:
             found = list(_stripped(batch.column(1)))
-            prints = np.array(
-                [_fingerprint(hashlib.sha256(raw).digest()) for raw, _ in found], dtype=np.int64
-            )
-            first, second = _filter_places(prints, n_bits)
-            hits = np.flatnonzero(bits[first] & bits[second])
+            prints = [_fingerprint(hashlib.sha256(raw).digest()) for raw, _ in found]
+            hits = np.flatnonzero(possible(suspects.value, np.array(prints, dtype=np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(hits)),
@@ -194,11 +169,10 @@ def exact_duplicates(
     )
     elsewhere = F.expr("getbit(bitmap[place div 64], place % 64) = 1")
     suspects = rows.join(bitmaps, ["part", "owner"]).where(F.col("repeated") | elsewhere)
-    n_bits = filter_bytes * 8
-    shared_filter = spark.sparkContext.broadcast(_filter_of(suspects, n_bits))
+    wanted = broadcast_filter(suspects, "fingerprint", filter_bytes)
     verified = (
         texts.mapInArrow(
-            _possible_suspects(shared_filter, n_bits), "doc_id long, n_chars long, bare binary"
+            _possible_suspects(wanted), "doc_id long, n_chars long, bare binary"
         )
         .groupBy("bare")
         .agg(
