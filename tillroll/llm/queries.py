@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import functools
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.llm import bpe
 from tillroll.llm.chat import format_conversations, loss_texts, read_turns
 from tillroll.llm.exact_dedup import exact_duplicates
 from tillroll.llm.near_dedup import near_duplicates
+from tillroll.llm.packing import pack, token_pieces
 from tillroll.llm.sharding import shard_by_bytes
+from tillroll.llm.shipping import ship_package
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +88,11 @@ _OP2_SQL = r"""
     FROM sets s JOIN least USING (doc_id)"""
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return pack(token_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
 def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_by_bytes(_table(spark, sf_dir, "documents"))
     return placed.select(
@@ -95,6 +106,18 @@ def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), path), path)
+    decimal = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(decimal, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -111,12 +134,24 @@ _OP10_SQL = r"""
     )
     SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM ranked"""
 
-QUERIES = {
+def _shipped(query):
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_near_dedup": op2_near_dedup,
+    "op3_packing": op3_packing,
     "op4_shards": op4_shards,
+    "op6_byte_bpe": op6_byte_bpe,
     "op10_exact_dedup": op10_exact_dedup,
 }
+QUERIES = {name: _shipped(query) for name, query in _QUERIES.items()}
 
 ORACLE_SQL = {
     "op1_chat_format": _OP1_SQL,

@@ -52,20 +52,26 @@ def text_blocks(
 
 @dataclass
 class Words:
-    """Words of a block in order: byte range ``starts:ends`` in ``data`` and the text's number."""
+    """Words of a block in order: byte range ``starts:ends`` in ``data`` and the text's number.
+
+    Text ``i`` has the words ``bounds[i]:bounds[i + 1]`` and the bytes from ``text_starts[i]`` up to
+    ``text_ends[i]``.
+    """
 
     data: np.ndarray
     raw: bytes
     starts: np.ndarray
     ends: np.ndarray
     text: np.ndarray
-    n_texts: int
+    bounds: np.ndarray
+    text_starts: np.ndarray
+    text_ends: np.ndarray
 
     def __len__(self) -> int:
         return len(self.starts)
 
     def counts(self) -> np.ndarray:
-        return np.bincount(self.text, minlength=self.n_texts)
+        return np.diff(self.bounds)
 
 
 def find_words(texts: Sequence[bytes], lower_ascii: bool = False) -> Words:
@@ -80,9 +86,11 @@ def find_words(texts: Sequence[bytes], lower_ascii: bool = False) -> Words:
     edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=np.int8(0)))
     starts, ends = edges[::2], edges[1::2]
     lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-    text_starts = np.cumsum(lengths + 1) - lengths - 1
-    text = np.searchsorted(text_starts, starts, side="right") - 1
-    return Words(data, raw, starts, ends, text, len(texts))
+    text_ends = np.cumsum(lengths + 1) - 1
+    text_starts = text_ends - lengths
+    bounds = np.append(np.searchsorted(starts, text_starts), len(starts))
+    text = np.repeat(np.arange(len(texts)), np.diff(bounds))
+    return Words(data, raw, starts, ends, text, bounds, text_starts, text_ends)
 
 
 def hash_ranges(data: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
