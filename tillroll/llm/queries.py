@@ -13,6 +13,7 @@ from tillroll.llm.chat import format_conversations, loss_texts, read_turns
 from tillroll.llm.exact_dedup import exact_duplicates
 from tillroll.llm.near_dedup import near_duplicates
 from tillroll.llm.packing import pack, token_pieces
+from tillroll.llm.quality_rules import quality_rules
 from tillroll.llm.sharding import shard_by_bytes
 from tillroll.llm.shipping import ship_package
 
@@ -118,6 +119,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged, measures = quality_rules(_table(spark, sf_dir, "documents"), ["doc_id"])
+    return judged.select("doc_id", f"{measures}.*")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -149,6 +155,7 @@ _QUERIES = {
     "op3_packing": op3_packing,
     "op4_shards": op4_shards,
     "op6_byte_bpe": op6_byte_bpe,
+    "op8_quality_rules": op8_quality_rules,
     "op10_exact_dedup": op10_exact_dedup,
 }
 QUERIES = {name: _shipped(query) for name, query in _QUERIES.items()}
