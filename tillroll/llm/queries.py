@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tillroll.llm import bpe
 from tillroll.llm.chat import format_conversations, loss_texts, read_turns
 from tillroll.llm.exact_dedup import exact_duplicates
+from tillroll.llm.language_id import identify_languages, train_language_models
+from tillroll.llm.lm_scoring import cross_entropy_difference
 from tillroll.llm.near_dedup import near_duplicates
 from tillroll.llm.packing import pack, token_pieces
 from tillroll.llm.quality_rules import quality_rules
@@ -107,6 +109,12 @@ def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target is what labels call good; all documents are the background."""
+    good = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return cross_entropy_difference(_table(spark, sf_dir, "documents"), good)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     coded = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), path), path)
@@ -119,6 +127,14 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    number = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    held_out = number % 5 == 0
+    models = train_language_models(docs.where(~held_out))
+    return identify_languages(docs, models).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged, measures = quality_rules(_table(spark, sf_dir, "documents"), ["doc_id"])
     return judged.select("doc_id", f"{measures}.*")
@@ -154,7 +170,9 @@ _QUERIES = {
     "op2_near_dedup": op2_near_dedup,
     "op3_packing": op3_packing,
     "op4_shards": op4_shards,
+    "op5_lm_score": op5_lm_score,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
     "op10_exact_dedup": op10_exact_dedup,
 }
