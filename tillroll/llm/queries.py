@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from tillroll.llm.language_id import identify_languages, train_language_models
 from tillroll.llm.lm_scoring import cross_entropy_difference
 from tillroll.llm.near_dedup import near_duplicates
 from tillroll.llm.packing import pack, token_pieces
+from tillroll.llm.pii import replace_pii
 from tillroll.llm.quality_rules import quality_rules
 from tillroll.llm.sharding import shard_by_bytes
 from tillroll.llm.shipping import ship_package
@@ -140,6 +142,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", f"{measures}.*")
 
 
+def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with surrogates, and the number of mentions that were replaced."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return replace_pii(docs, corpus_pipeline.PII_KEY, count="n_replaced")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -174,10 +182,13 @@ _QUERIES = {
     "op6_byte_bpe": op6_byte_bpe,
     "op7_language_id": op7_language_id,
     "op8_quality_rules": op8_quality_rules,
+    "op9_pii_surrogates": op9_pii_surrogates,
     "op10_exact_dedup": op10_exact_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 QUERIES = {name: _shipped(query) for name, query in _QUERIES.items()}
 
+# The pipeline has none: SQL expresses neither its tokenizer nor its surrogates.
 ORACLE_SQL = {
     "op1_chat_format": _OP1_SQL,
     "op2_near_dedup": _OP2_SQL,
