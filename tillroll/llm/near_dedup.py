@@ -10,13 +10,15 @@
    a pair at the threshold is missed with a probability of 2.5e-7.
 4. **Links to leaders.** In each band the least id of a bucket is its leader. Every class is compared
    with the leader it shares most bands with: one pair per class, however large the bucket is.
-5. **The rest.** Buckets that now lie within one component need nothing more. In the others, all
-   pairs between different components are estimated from the registers, in blocks of bounded size;
-   pairs within a component, and blocks of one component, are skipped. So no link between different
-   components is lost, and the pairs that a group of near copies has are never listed.
-6. **Verification.** A pair is a candidate if its Jaccard index, estimated from the registers and
-   corrected for chance collisions of compressed registers, may reach the threshold. Candidates are
-   verified on their full shingle sets.
+5. **The rest.** Buckets that now lie within one component need nothing more. In the others, pairs
+   between different components are looked at in blocks of bounded size; pairs within a component,
+   and blocks of one component, are skipped. So no link between different components is lost, and
+   the pairs that a group of near copies has are never listed. A pair is looked at in the first
+   band it shares, and leaves its block only if its sets may reach the threshold.
+6. **Verification.** Whether a pair may reach the threshold is told by its sizes, then by the Jaccard
+   index estimated from the registers, corrected for chance collisions of compressed registers;
+   within a block then by the ``BOTTOM`` least shingles, which are all of most texts. Pairs that
+   remain are verified on their full shingle sets.
 
 Defined cases: words are runs of other bytes than ASCII white space, A-Z in lower case. A text with
 fewer words than a shingle has is one shingle, one without words or NULL has none and is linked with
@@ -45,7 +47,10 @@ REGISTERS, MANTISSA = 256, 10
 BAND_SIZE, BANDS = 4, 40
 # Five standard deviations of an estimate at the threshold; shorter sets are not pruned by estimate.
 MARGIN, LEAST_ESTIMATED = 0.17, 24
-BLOCK_ROWS = 1024
+# The least hashes of a set, and what an estimate from them may be off; whole sets are exact but for
+# chance equality of their 32 bits.
+BOTTOM, BOTTOM_MARGIN, WHOLE_MARGIN = 1024, 0.07, 0.01
+BLOCK_ROWS, BIN_ROWS, PAIR_CHUNK = 1024, 4096, 8192
 _SEED = np.uint64(0x5851F42D4C957F2D)
 _BORROW_ROUNDS = 4096
 _borrow_order: list[np.ndarray] = []
@@ -206,9 +211,15 @@ def _sets_of(wanted):
             for start, stop, texts in text_blocks(batch.filter(pa.array(hits))):
                 values, owner = shingles(texts)
                 bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
-                sets = [values[i:j].tobytes() for i, j in zip(bounds[:-1], bounds[1:])]
+                spans = list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
+                sets = [values[i:j].tobytes() for i, j in spans]
+                high = (values >> np.uint64(32)).astype(np.uint32)
+                bottoms = [high[i : min(j, i + BOTTOM)].tobytes() for i, j in spans]
                 ids = batch.filter(pa.array(hits)).column(0).slice(start, stop - start)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(sets, pa.binary())], names=["doc_id", "shingles"])
+                yield pa.RecordBatch.from_arrays(
+                    [ids, pa.array(sets, pa.binary()), pa.array(bottoms, pa.binary())],
+                    names=["doc_id", "shingles", "bottom"],
+                )
 
     return run
 
@@ -218,7 +229,7 @@ def _shingle_sets(texts: DataFrame, ids: DataFrame) -> DataFrame:
     hashed = ids.select("doc_id", F.xxhash64("doc_id").alias("id_hash"))
     wanted = broadcast_filter(hashed, "id_hash")
     sets = texts.select("doc_id", "text", F.xxhash64("doc_id").alias("id_hash")).mapInArrow(
-        _sets_of(wanted), "doc_id long, shingles binary"
+        _sets_of(wanted), "doc_id long, shingles binary, bottom binary"
     )
     return staged(sets.join(ids, "doc_id", "left_semi"), "near-sets")
 
@@ -272,7 +283,7 @@ def _blocks(members: DataFrame, block_rows: int) -> DataFrame:
         )
         .withColumn("number", F.pmod(F.xxhash64("doc_id"), F.col("n_blocks")).cast("int"))
         .withColumn("block", block)
-        .select("key", "doc_id", "root", "block")
+        .select("key", "band", "doc_id", "root", "block")
     )
     apart = F.filter(
         "others", lambda o: ~(o["own"] & F.col("block.own") & (o["unit"] == F.col("block.unit")))
@@ -280,6 +291,7 @@ def _blocks(members: DataFrame, block_rows: int) -> DataFrame:
     paired = placed.join(listed, "key").withColumn("other", F.explode(apart))
     return paired.select(
         "key",
+        "band",
         "doc_id",
         "root",
         F.least("block", "other").alias("low"),
@@ -288,31 +300,79 @@ def _blocks(members: DataFrame, block_rows: int) -> DataFrame:
     )
 
 
+def _index_pairs(group: np.ndarray, left: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs of each group, rows being sorted by group: within one block, or across two."""
+    edges = np.flatnonzero(np.diff(group)) + 1
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+    for start, end in zip(np.append(0, edges), np.append(edges, len(group))):
+        own = left[start:end]
+        one = np.arange(start, end)[own]
+        two = one if own.all() else np.arange(start, end)[~own]
+        step = max(1, PAIR_CHUNK // max(1, len(two)))
+        for at in range(0, len(one), step):
+            i = np.repeat(one[at : at + step], len(two))
+            j = np.tile(two, len(one[at : at + step]))
+            keep = j > i if own.all() else slice(None)
+            held.append((i[keep], j[keep]))
+            size += len(held[-1][0])
+            if size >= PAIR_CHUNK:
+                yield tuple(map(np.concatenate, zip(*held)))
+                held, size = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
+def _bottoms_may_link(one: np.ndarray, two: np.ndarray) -> bool:
+    """Whether two sets may reach the threshold, judged by their least hashes."""
+    shared = np.intersect1d(one, two, assume_unique=False)
+    if len(one) < BOTTOM and len(two) < BOTTOM:
+        union, margin = len(one) + len(two) - len(shared), WHOLE_MARGIN
+    else:
+        least = np.union1d(one, two)[:BOTTOM]
+        shared = shared[shared <= least[-1]]
+        union, margin = len(least), BOTTOM_MARGIN
+    return len(shared) >= (THRESHOLD / 100 - margin) * union
+
+
 def _cross_pairs(members: pd.DataFrame) -> pd.DataFrame:
-    """Pairs between one block and another, or within one, that may link different components."""
+    """Pairs of a bin's groups that lie in different components and may be linked."""
+    members = members.sort_values("group", kind="stable", ignore_index=True)
     table, sizes = _table(members["registers"]), members["n_shingles"].to_numpy()
-    ids, roots = members["doc_id"].to_numpy(), members["root"].to_numpy()
-    left = members["left"].to_numpy()
-    within = bool(left.all())
+    ids, roots, bands = (members[c].to_numpy() for c in ("doc_id", "root", "band"))
+    bottoms = [np.frombuffer(x, dtype=np.uint32) for x in members["bottom"]]
     found = [np.empty((0, 2), dtype=np.int64)]
-    for i in np.flatnonzero(left):
-        others = np.arange(i + 1, len(ids)) if within else np.flatnonzero(~left)
-        others = others[roots[others] != roots[i]]
-        others = others[_may_link(table[others], table[i], sizes[others], np.full(len(others), sizes[i]))]
-        found.append(np.stack([np.full(len(others), ids[i]), ids[others]], axis=1))
+    for i, j in _index_pairs(members["group"].to_numpy(), members["left"].to_numpy()):
+        keep = (roots[i] != roots[j]) & (
+            100 * np.minimum(sizes[i], sizes[j]) >= THRESHOLD * np.maximum(sizes[i], sizes[j])
+        )
+        i, j = i[keep], j[keep]
+        if not len(i):
+            continue
+        equal = (table[i] == table[j]).reshape(len(i), -1, BAND_SIZE).all(axis=2)[:, :BANDS]
+        first = equal.argmax(axis=1) == bands[i]
+        i, j = i[first], j[first]
+        near = _may_link(table[i], table[j], sizes[i], sizes[j])
+        pairs = [(a, b) for a, b in zip(i[near], j[near]) if _bottoms_may_link(bottoms[a], bottoms[b])]
+        if pairs:
+            found.append(ids[np.array(pairs)])
     pairs = np.sort(np.concatenate(found), axis=1)
     return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
-def _rest(members: DataFrame, roots: DataFrame, sketches: DataFrame, block_rows: int) -> DataFrame:
+def _rest(members: DataFrame, roots: DataFrame, sketches: DataFrame, sets: DataFrame, block_rows: int) -> DataFrame:
     """Candidate pairs of members of one bucket that the links so far leave in different components."""
     known = members.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    known = staged(known.select("key", "doc_id", F.coalesce("root", "doc_id").alias("root")), "near-members")
+    known = staged(known.select("key", "band", "doc_id", F.coalesce("root", "doc_id").alias("root")), "near-members")
     mixed = known.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
-    pairs = _blocks(staged(known.join(mixed, "key"), "near-mixed"), block_rows)
+    pairs = staged(_blocks(staged(known.join(mixed, "key"), "near-mixed"), block_rows), "near-blocks")
+    bins = max(1, pairs.count() // BIN_ROWS)
+    group = F.xxhash64("key", "low", "high")
     return (
         pairs.join(sketches.select("doc_id", "n_shingles", "registers"), "doc_id")
-        .groupBy("key", "low", "high")
+        .join(sets.select("doc_id", "bottom"), "doc_id")
+        .select("doc_id", "root", "band", "left", "n_shingles", "registers", "bottom", group.alias("group"))
+        .groupBy(F.pmod("group", F.lit(bins)).alias("bin"))
         .applyInPandas(_cross_pairs, "a long, b long")
         .distinct()
     )
@@ -335,7 +395,7 @@ def near_duplicates(docs: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
         lambda i: F.xxhash64(i, F.substring("registers", i * (2 * BAND_SIZE) + 1, F.lit(2 * BAND_SIZE))),
     )
-    banded = sketches.select("doc_id", F.explode(band).alias("key"))
+    banded = sketches.select("doc_id", F.posexplode(band).alias("band", "key"))
     leaders = (
         banded.groupBy("key").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last"))
     ).where("leader < last")
@@ -351,7 +411,7 @@ def near_duplicates(docs: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     sets = _shingle_sets(texts, members.select("doc_id").distinct())
     links = _verified(_estimated(best, sketches), sets)
     roots = connected_components(links, "a", "b")
-    more = _verified(_rest(members, roots, sketches, block_rows), sets)
+    more = _verified(_rest(members, roots, sketches, sets, block_rows), sets)
     roots = connected_components(
         more.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))), "a", "b"
     )
