@@ -9,6 +9,7 @@ from __future__ import annotations
 import importlib
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -482,7 +483,6 @@ def _stream_ingest(spark, sf_dir):
         drop,
         bronze,
         scratch_path(spark, "checkpoint"),
-        dedupe_within_batch=True,
     ).awaitTermination()
     return read_table(spark, bronze).select(*RAW_COLUMNS, "_row_hash")
 
@@ -491,6 +491,35 @@ def _stream_two_drops(spark, sf_dir):
     return _stream(spark, sf_dir, (0, 1))
 
 
+def _stream_caps(spark, sf_dir):
+    """The same files, taken one, seven and a thousand at a time, with and without copies."""
+    drop, results = scratch_path(spark, "drop"), []
+    for which in (0, 1):
+        rows = _drops(spark, sf_dir)[which].select(*RAW_COLUMNS)
+        rows.repartition(4, "Transaction Date").write.mode("append").option("header", "true").csv(drop)
+    for cap in (1, 7, 1000):
+        for keep in (False, True):
+            bronze = scratch_path(spark, "bronze")
+            ingest_statements_stream(
+                spark, drop, bronze, scratch_path(spark, "checkpoint"), max_files_per_trigger=cap, keep_copies=keep
+            ).awaitTermination()
+            labels = [F.lit(cap).alias("cap"), F.lit(keep).alias("keep_copies")]
+            results.append(read_table(spark, bronze).select(*labels, *RAW_COLUMNS))
+    return reduce(DataFrame.unionByName, results)
+
+
+def _compact_codes(spark, sf_dir):
+    """Codes that look like numbers and NULLs, as directories, compacted by other columns."""
+    table, out = scratch_path(spark, "codes"), scratch_path(spark, "compact")
+    codes = _table(spark, sf_dir, "events").select(
+        "event_id", F.expr("element_at(array('01', '1', 'A7', NULL), CAST(event_id % 4 AS INT) + 1)").alias("code")
+    )
+    schema = codes.schema
+    append_partitioned(codes, table, "code")
+    compact_table(spark, table, out, partition_by="code", cluster_by=["event_id"])
+    return read_table(spark, out, schema)
+
+
 def queries() -> dict[str, Query]:
     """Each takes a session and the folder of the tables and returns a DataFrame."""
     more = _training_data()
@@ -546,6 +575,8 @@ def _statement_queries() -> dict[str, Query]:
         "compact_plain": _compact_plain,
         "stream_ingest": _stream_ingest,
         "stream_two_drops": _stream_two_drops,
+        "stream_caps": _stream_caps,
+        "compact_codes": _compact_codes,
     }
 
 
@@ -876,7 +907,20 @@ def _statement_sql() -> dict[str, str]:
         "compact_preserves_rows": silver_rows,
         "compact_plain": "SELECT * FROM events",
         "stream_ingest": _with("charges", f"SELECT DISTINCT {_RAW}, _row_hash FROM charges"),
-        "stream_two_drops": from_files,
+        "stream_two_drops": _with("charges", f"SELECT DISTINCT {_RAW}, _row_hash FROM charges"),
+        "stream_caps": _with("charges", f"""
+            , drops AS (
+                SELECT 1 AS which, * FROM charges WHERE day < '{FIRST_DROP_UNTIL}'
+                UNION ALL SELECT 2, * FROM charges WHERE day >= '{SECOND_DROP_FROM}'
+            ), counted AS (
+                SELECT {_RAW}, which, count(*) AS n FROM drops GROUP BY ALL
+            ), most AS (SELECT {_RAW}, max(n) AS n FROM counted GROUP BY ALL)
+            SELECT cap, keep AS keep_copies, {_RAW}
+            FROM most, unnest([1, 7, 1000]) AS c(cap), unnest([false, true]) AS k(keep),
+                generate_series(1, CASE WHEN keep THEN n ELSE 1 END)"""),
+        "compact_codes": """
+            SELECT event_id, CASE event_id % 4 WHEN 0 THEN '01' WHEN 1 THEN '1' WHEN 2 THEN 'A7' END AS code
+            FROM events""",
     }
 
 

@@ -40,7 +40,7 @@ def test_gold_tables_equal_the_operators(spark, silver, tmp_path):
         got = spark.read.parquet(f"{gold}/{name}")
         assert got.columns == want.columns
         assert rows_of(got) == rows_of(want)
-        assert file_sizes(got).count() == 1
+        assert file_sizes(spark, f"{gold}/{name}").count() == 1
     assert not spark.sparkContext._jsc.getPersistentRDDs()
 
 
@@ -74,7 +74,7 @@ def test_compaction_keeps_all_rows(spark, tmp_path, partition_by, cluster_by):
     after = spark.read.parquet(out)
     assert rows_of(after.select(df.columns)) == rows_of(df)
     assert result.files_before == 12
-    assert result.files_after == (3 if partition_by else 1) == file_sizes(after).count()
+    assert result.files_after == (3 if partition_by else 1) == file_sizes(spark, out).count()
     assert result.bytes_after > 0
 
 
@@ -82,7 +82,7 @@ def test_compaction_spreads_equal_rows_and_orders_files(spark, tmp_path):
     rows = [("SAME", "C", 1.0, "2024-01")] * 4000 + [("OTHER", "C", 2.0, "2024-02")] * 2000
     path, out = str(tmp_path / "in"), str(tmp_path / "out")
     append_table(spend_df(spark, *rows).repartition(8), path)
-    size = file_sizes(spark.read.parquet(path)).agg({"file_size": "sum"}).first()[0]
+    size = file_sizes(spark, path).agg({"file_size": "sum"}).first()[0]
     compact_table(spark, path, out, cluster_by=["statement_month"], target_file_bytes=size // 6)
     per_file = spark.read.parquet(out).groupBy("_metadata.file_path").agg(
         F.count("*"), F.countDistinct("statement_month")
@@ -103,3 +103,29 @@ def test_scratch_is_below_the_shared_folder(spark):
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first != second
     assert first.startswith(spark.conf.get("spark.checkpoint.dir") + "/tillroll/x-")
+
+
+CODES = [("a", "01"), ("b", "1"), ("c", None), ("d", "A7"), ("e", "01")]
+
+
+def test_compaction_keeps_values_of_directories(spark, tmp_path):
+    df, path, out = spark.createDataFrame(CODES[:3], "k string, code string"), str(tmp_path / "in"), str(tmp_path / "out")
+    df.write.partitionBy("code").parquet(path)
+    compact_table(spark, path, out, partition_by="code")
+    assert rows_of(read_table(spark, out, df.schema)) == rows_of(df)
+
+
+def test_an_empty_text_cannot_name_a_directory(spark, tmp_path):
+    df, path = spark.createDataFrame([("a", ""), ("b", "x")], "k string, code string"), str(tmp_path / "in")
+    append_table(df, path)
+    with pytest.raises(ValueError, match="code"):
+        compact_table(spark, path, str(tmp_path / "out"), partition_by="code")
+    compact_table(spark, path, str(tmp_path / "plain"), cluster_by=["code"])
+    assert rows_of(read_table(spark, str(tmp_path / "plain"))) == rows_of(df)
+
+
+def test_thresholds_reach_the_gold_tables(spark, silver, tmp_path):
+    gold = str(tmp_path / "gold-thresholds")
+    build_gold(spark, silver, gold, stability={"fixed_below": 0.0, "variable_below": 0.0}, recurring={"min_months": 99})
+    assert {r[0] for r in spark.read.parquet(f"{gold}/fixed_vs_variable").select("classification").collect()} == {"DISCRETIONARY"}
+    assert not any(r[0] for r in spark.read.parquet(f"{gold}/recurring").select("is_recurring").collect())

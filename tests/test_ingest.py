@@ -1,4 +1,5 @@
 import os
+import re
 import shutil
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import plan, raw_df, raw_row, rows_of, write_csv
 from tillroll.operators import add_ingest_metadata, only_charges, source_files
+from tillroll.operators.merge import rows_absent_from
 from tillroll.plans import bronze_rows, ingest_statements
 from tillroll.schemas import BRONZE_SCHEMA, RAW_COLUMNS
 from tillroll.sources import read_statements
@@ -81,7 +83,7 @@ def test_batch_ingest_is_idempotent(spark, drop, tmp_path):
     ingest_statements(spark, drop, bronze)
     assert names(spark, bronze) == ["A", "B", "C, D"]
     table = spark.read.parquet(bronze)
-    assert [f.name for f in table.schema] == BRONZE_SCHEMA.fieldNames()
+    assert [f.name for f in table.schema] == [*BRONZE_SCHEMA.fieldNames(), "_month"]
     files = sorted(os.path.basename(r[0]) for r in source_files(table).collect())
     assert files == ["q1.csv", "q2.csv"]
 
@@ -119,7 +121,7 @@ def test_stream_equals_batch_with_dedupe(spark, drop, tmp_path, files):
     write_csv(f"{drop}/q2.csv", SECOND)
     batch = str(tmp_path / "batch")
     ingest_statements(spark, drop, batch, dedupe_within_batch=True)
-    stream = run_stream(spark, drop, tmp_path, max_files_per_trigger=files, dedupe_within_batch=True)
+    stream = run_stream(spark, drop, tmp_path, max_files_per_trigger=files)
     columns = [*RAW_COLUMNS, "_row_hash", "_batch_id"]
     quoted = [F.col(f"`{c}`") for c in columns]
     assert rows_of(spark.read.parquet(stream).select(*quoted)) == rows_of(
@@ -155,3 +157,39 @@ def test_continuous_stream_can_be_listed_and_stopped(spark, drop, tmp_path):
 def test_checkpoint_inside_the_table_is_refused(spark, drop, tmp_path):
     with pytest.raises(ValueError):
         ingest_statements_stream(spark, drop, str(tmp_path / "t"), str(tmp_path / "t/_checkpoint"))
+
+
+def equal_purchases(drop):
+    """Three files with one equal purchase each, one of them twice."""
+    for number in range(3):
+        write_csv(f"{drop}/same{number}.csv", [raw_row(text="SAME")] * (2 if number == 1 else 1))
+
+
+@pytest.mark.parametrize("files", [1, 7, 1000])
+@pytest.mark.parametrize("keep_copies, count", [(False, 1), (True, 2)])
+def test_the_file_cap_decides_nothing(spark, drop, tmp_path, files, keep_copies, count):
+    equal_purchases(drop)
+    bronze = run_stream(spark, drop, tmp_path, max_files_per_trigger=files, keep_copies=keep_copies)
+    assert names(spark, bronze).count("SAME") == count
+    ingest_statements(spark, drop, str(tmp_path / "batch"), keep_copies=True)
+    assert names(spark, str(tmp_path / "batch")).count("SAME") == 2
+
+
+def test_a_half_committed_merge_is_completed(spark, drop, tmp_path):
+    equal_purchases(drop)
+    whole, half = str(tmp_path / "whole"), str(tmp_path / "half")
+    ingest_statements(spark, drop, whole, keep_copies=True)
+    table = spark.read.parquet(whole)
+    for lost in [r["_row_hash"] for r in table.where("Description = 'SAME'").collect()]:
+        path = f"{half}-{lost[:8]}"
+        table.where(F.col("_row_hash") != lost).write.partitionBy("_month").parquet(path)
+        ingest_statements(spark, drop, path, keep_copies=True)
+        assert names(spark, path) == names(spark, whole)
+
+
+def test_ingest_searches_the_months_of_new_files_only(spark, drop, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    ingest_statements(spark, drop, bronze)
+    batch = spark.createDataFrame([("x", "2031-05"), ("y", "1990-01")], "_row_hash string, _month string")
+    text = plan(rows_absent_from(batch, spark.read.parquet(bronze), "_row_hash", prune_by="_month"))
+    assert re.search(r"PartitionFilters: \[.*_month#\d+ IN \((1990-01,2031-05|2031-05,1990-01)\)", text)

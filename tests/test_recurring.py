@@ -1,3 +1,5 @@
+import statistics
+
 import pytest
 
 from tests.helpers import plan, spend_df
@@ -75,12 +77,26 @@ def test_credits_are_left_out(spark):
     assert (row["median_amount"], row["occurrence_months"]) == (5.0, 2)
 
 
-def test_charges_are_reduced_before_each_of_two_shuffles(spark):
-    text = plan(detect_recurring(spend_df(spark)))
-    assert text.count("Exchange") == 2
-    assert "partial_percentile_approx" in text
-    first = text[text.rindex("Exchange hashpartitioning(") :].splitlines()[0]
-    assert "statement_month" in first
+@pytest.mark.parametrize("parts", [1, 3, 7, 16])
+def test_a_hot_merchant_has_its_exact_median_and_deviation(spark, parts):
+    amount = "CAST((id * 7919) % 100003 AS DOUBLE) / 4"
+    many = spark.range(0, 120_000, 1, parts).selectExpr(
+        "'hot' AS description_norm", "'c' AS category", f"{amount} AS amount",
+        "concat('2024-0', 1 + id % 6) AS statement_month", "false AS is_credit",
+    )
+    few = spend_df(spark, ("even", "c", 1.0, "2024-01"), ("even", "c", 2.0, "2024-02"), ("even", "c", 10.0, "2024-03"), ("even", "c", 20.0, "2024-03"), (None, None, -3.5, "2024-01"))
+    values = sorted((i * 7919 % 100003) / 4 for i in range(120_000))
+    rows = {r["description_norm"]: r for r in detect_recurring(many.unionByName(few), amount_cv_threshold=10.0).collect()}
+    median = values[(len(values) + 1) // 2 - 1]
+    assert rows["hot"]["median_amount"] == round(median, 2)
+    assert rows["hot"]["amount_cv"] == round(statistics.stdev(values), 2) / round(median, 2)
+    assert rows["even"]["median_amount"] == 2.0 and rows[None]["median_amount"] == -3.5
+
+
+def test_sketches_are_an_option(spark):
+    df = spend_df(spark, *[("m", "c", float(i), f"2024-0{1 + i % 3}") for i in range(9)])
+    exact = detect_recurring(df).collect()
+    assert detect_recurring(df, median_accuracy=10_000, approximate_months=True).collect() == exact
 
 
 def test_top_takes_the_largest_and_breaks_ties(spark):

@@ -124,3 +124,14 @@ def test_a_text_shared_by_very_many_rows_is_split(spark):
             spark.conf.set(key, value)
     assert "skew=true" in text.replace("isSkew=true", "skew=true")
     assert dict(rows_of(result.groupBy("category").count())) == {"Hot": 20_000, "Shop": 20_000}
+
+
+@pytest.mark.parametrize("count", [199, 200, 201])
+def test_short_and_long_tables_agree(spark, count):
+    """NULL priorities, ties and rules without a category, around the size where the plan changes."""
+    rules = [(i, f"word{i}", f"C{i}") for i in range(count - 5)]
+    rules += [(None, "shop", "Z"), (1, "shop", "Y"), (1, "my", None), (1, "my", "M"), (1, "my", "L")]
+    table = spark.createDataFrame(rules, "priority int, keyword string, category string")
+    texts = spark.createDataFrame([("MY SHOP", "x"), ("MY WORD3", "x"), ("WORD7 WORD3", "x"), ("NONE", "x")], "description_norm string, chase_category string")
+    got = {r[0]: r[1] for r in categorize_by_table(texts, table).select("description_norm", "category").collect()}
+    assert got == {"MY SHOP": "Z", "MY WORD3": "L", "WORD7 WORD3": "C3", "NONE": "Uncategorized"}

@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,3 +115,17 @@ def test_spend_adds_up(spark):
     assert total[1] == 200
     shares = monthly_by_category(df).groupBy("statement_month").agg(F.sum("pct_of_month"))
     assert all(abs(share - 100) < 0.2 for _, share in rows_of(shares))
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7, 16])
+def test_large_totals_are_exact(spark, parts):
+    """Totals above 1e12, whose cents a sum of doubles would lose with the order of rows."""
+    rows = spark.range(0, 300_000, 1, parts).selectExpr(
+        "'2024-01' AS statement_month", "'c' AS category",
+        "CAST((id * 104729) % 1200000007 AS DOUBLE) * 10 + (id % 100) / 100D AS amount",
+        "'m' AS description_norm", "false AS is_credit",
+    )
+    exact = sum(Decimal((i * 104729) % 1200000007) * 10 + Decimal(i % 100) / 100 for i in range(300_000))
+    row = monthly_by_category(rows).first()
+    assert exact > 10**12
+    assert row["total_spend"] == float(exact)

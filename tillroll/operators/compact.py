@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tillroll.sources.tables import read_table
 
@@ -24,16 +25,30 @@ class Compaction:
     bytes_after: int
 
 
-def file_sizes(table: DataFrame) -> DataFrame:
-    """``(file_path, file_size)`` of the files of a table that hold rows."""
-    return table.select("_metadata.file_path", "_metadata.file_size").distinct()
+def file_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """``(file_path, file_size)`` of the data files of a table, from a listing; no row is read."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true")
+        .load(path)
+    )
+    return files.select(F.col("path").alias("file_path"), F.col("length").alias("file_size"))
 
 
-def _measure(table: DataFrame) -> tuple[int, int]:
-    row = file_sizes(table).agg(F.count(F.lit(1)), F.coalesce(F.sum("file_size"), F.lit(0))).first()
+def _measure(spark: SparkSession, path: str) -> tuple[int, int]:
+    row = file_sizes(spark, path).agg(F.count(F.lit(1)), F.coalesce(F.sum("file_size"), F.lit(0))).first()
     return row[0], row[1]
 
 
+def _stored_schema(spark: SparkSession, path: str) -> StructType:
+    """The types in the data files; columns that only directories hold are strings, as named there."""
+    found = read_table(spark, path).schema
+    one_file = file_sizes(spark, path).first()
+    in_files = {} if one_file is None else {f.name: f for f in read_table(spark, one_file["file_path"]).schema}
+    return StructType([in_files.get(f.name, StructField(f.name, StringType())) for f in found])
+
+
 def compact_table(
     spark: SparkSession,
     path: str,
@@ -42,6 +57,7 @@ def compact_table(
     cluster_by: Sequence[str] = (),
     partition_by: str | None = None,
     target_file_bytes: int = TARGET_FILE_BYTES,
+    schema: StructType | None = None,
 ) -> Compaction:
     """Write the rows of ``path`` to the new table ``out_path`` in files of about the target size.
 
@@ -50,9 +66,17 @@ def compact_table(
     most of them. Ranges end in the position of a row in its file: it tells equal rows apart, so
     that a value which fills a large part of the table is spread over several files, and it is the
     same when a lost task runs again. Without columns to order by, nothing is shuffled.
+
+    Values are kept as they are. A column that is stored as directories is text unless ``schema``
+    says otherwise; read the new table with the same schema. A directory cannot tell an empty text
+    from NULL, so a table that holds one cannot become partitioned by it.
     """
-    table = read_table(spark, path)
-    files_before, bytes_before = _measure(table)
+    schema = schema or _stored_schema(spark, path)
+    table = read_table(spark, path, schema)
+    files_before, bytes_before = _measure(spark, path)
+    if partition_by is not None and isinstance(schema[partition_by].dataType, StringType):
+        if not table.where(F.col(partition_by) == "").isEmpty():
+            raise ValueError(f"{partition_by} holds an empty text, which a directory would turn into NULL")
     n = max(1, math.ceil(bytes_before / target_file_bytes))
     order = [c for c in (partition_by, *cluster_by) if c is not None]
     if order:
@@ -73,5 +97,5 @@ def compact_table(
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
     writer.parquet(out_path)
-    files_after, bytes_after = _measure(read_table(spark, out_path))
+    files_after, bytes_after = _measure(spark, out_path)
     return Compaction(files_before, files_after, bytes_before, bytes_after)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.numeric import ratio_if_positive
@@ -13,8 +15,65 @@ from tillroll.operators.spend import without_credits
 MIN_MONTHS = 2
 AMOUNT_CV_BELOW = 0.05
 MONTHLY_FROM = 6
-# Spark's own default for percentile_approx: exact for groups of up to as many rows.
-MEDIAN_ACCURACY = 10_000
+# Amounts are told apart to this part of a unit.
+AMOUNT_SCALE = 10_000
+_KEYS = ["description_norm", "category"]
+
+
+def counted_amounts(silver: DataFrame) -> DataFrame:
+    """How often each merchant charged each amount in each month.
+
+    A plain hash aggregate, reduced before its shuffle; all that follows works on its rows, and a
+    merchant with very many equal charges has few of them.
+    """
+    return without_credits(silver).groupBy(*_KEYS, "statement_month", "amount").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def _with_key(left: DataFrame, right: DataFrame, how: str, *more: str) -> DataFrame:
+    """``left`` joined by merchant and category, NULLs being equal, and by ``more`` columns."""
+    names = [*_KEYS, *more]
+    other = right.select(*[F.col(name).alias(f"_{name}") for name in names], *[c for c in right.columns if c not in names])
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in names]
+    return left.join(other, reduce(Column.__and__, same), how).drop(*[f"_{name}" for name in names])
+
+
+def exact_medians(amounts: DataFrame) -> DataFrame:
+    """The lower median per merchant and category of ``amount`` counted by ``n``; NULLs aside.
+
+    First the whole unit of amount that holds the middle charge is found from counts per unit, then
+    the middle among the amounts of that unit only. No task sees all amounts of a merchant.
+    """
+    known = amounts.where(F.col("amount").isNotNull()).groupBy(*_KEYS, "amount").agg(F.sum("n").alias("n"))
+    known = known.withColumn("unit", F.floor("amount"))
+    units = known.groupBy(*_KEYS, "unit").agg(F.sum("n").alias("in_unit"))
+    by_unit = Window.partitionBy(*_KEYS).orderBy("unit")
+    middle = F.expr("(total + 1) div 2")
+    holding = (
+        units.withColumn("up_to", F.sum("in_unit").over(by_unit))
+        .withColumn("total", F.sum("in_unit").over(Window.partitionBy(*_KEYS)))
+        .where((F.col("up_to") >= middle) & (F.col("up_to") - F.col("in_unit") < middle))
+        .select(*_KEYS, "unit", (middle - F.col("up_to") + F.col("in_unit")).alias("rank"))
+    )
+    by_amount = Window.partitionBy(*_KEYS).orderBy("amount")
+    return (
+        _with_key(known, holding, "inner", "unit")
+        .withColumn("up_to", F.sum("n").over(by_amount))
+        .where(F.col("up_to") >= F.col("rank"))
+        .groupBy(*_KEYS)
+        .agg(F.min("amount").alias("median"))
+    )
+
+
+def _deviation() -> Column:
+    """Sample standard deviation from exact moments of the counted amounts."""
+    scaled = F.round(F.col("amount") * AMOUNT_SCALE).try_cast("decimal(19,0)")
+    n = F.sum(F.when(F.col("amount").isNotNull(), F.col("n")))
+    total = F.sum(scaled * F.col("n")).cast("double")
+    squares = F.sum((scaled * scaled).cast("decimal(38,0)") * F.col("n").cast("decimal(10,0)")).cast("double")
+    spread = F.greatest(squares - total * total / n, F.lit(0.0))
+    return F.when(n > 1, F.sqrt(spread / (n - 1)) / AMOUNT_SCALE)
 
 
 def detect_recurring(
@@ -23,20 +82,17 @@ def detect_recurring(
     min_months: int = MIN_MONTHS,
     amount_cv_threshold: float = AMOUNT_CV_BELOW,
     monthly_from: int = MONTHLY_FROM,
-    accuracy: int = MEDIAN_ACCURACY,
+    median_accuracy: int | None = None,
+    approximate_months: bool = False,
     with_months: bool = False,
 ) -> DataFrame:
     """Per merchant and category: median amount, months seen, and whether the charge recurs.
 
-    The median is the lower of the two middle amounts where there are two; its rank is off by at
-    most ``1 / accuracy`` of the group. The coefficient of variation is of the rounded values. A
-    merchant without one (a single charge, or a median that is not positive) does not recur.
-    ``with_months`` adds the sorted months.
-
-    The distinct count makes Spark reduce in two rounds: each task keeps one small buffer per
-    merchant and month, buffers are merged per merchant and month, and only the results of that
-    meet per merchant. So a merchant with a large part of all charges has its buffers merged by as
-    many tasks as it has months, and no row of it goes through a shuffle.
+    The median is the lower of the two middle amounts where there are two. It is exact; with
+    ``median_accuracy`` it is a sketch whose rank is off by at most one part in so many, which
+    saves a join. ``approximate_months`` estimates the number of months. The coefficient of
+    variation is of the rounded values. A merchant without one (a single charge, or a median that is
+    not positive) does not recur. ``with_months`` adds the sorted months.
     """
     cv = ratio_if_positive(F.col("amount_stddev"), F.col("median_amount"))
     recurs = (F.col("occurrence_months") >= min_months) & (
@@ -47,22 +103,26 @@ def detect_recurring(
         .when(F.col("occurrence_months") >= monthly_from, "MONTHLY")
         .otherwise("OCCASIONAL")
     )
-    median = F.percentile_approx("amount", 0.5, accuracy)
+    amounts = counted_amounts(silver)
+    count = F.approx_count_distinct if approximate_months else F.countDistinct
+    if median_accuracy is not None:
+        sketch = F.percentile_approx("amount", 0.5, median_accuracy)
+        rows = without_credits(silver).groupBy(*_KEYS).agg(sketch.alias("median"))
+    else:
+        rows = exact_medians(amounts)
     months = F.array_sort(F.collect_set("statement_month")).alias("months_seen")
+    found = amounts.groupBy(*_KEYS).agg(
+        count("statement_month").alias("occurrence_months"),
+        F.round(_deviation(), 2).alias("amount_stddev"),
+        *([months] if with_months else []),
+    )
     return (
-        without_credits(silver)
-        .groupBy("description_norm", "category")
-        .agg(
-            F.round(median, 2).alias("median_amount"),
-            F.countDistinct("statement_month").alias("occurrence_months"),
-            F.round(F.stddev_samp("amount"), 2).alias("amount_stddev"),
-            *([months] if with_months else []),
-        )
+        _with_key(found, rows, "left")
+        .withColumn("median_amount", F.round("median", 2))
         .withColumn("amount_cv", cv)
         .withColumn("is_recurring", F.coalesce(recurs, F.lit(False)))
         .select(
-            "description_norm",
-            "category",
+            *_KEYS,
             "median_amount",
             "occurrence_months",
             "is_recurring",

@@ -18,10 +18,10 @@ BLOCK_BYTES = 2048
 
 
 def _normalized_rules(rules: DataFrame) -> DataFrame:
-    """Rules with normalised keywords, without those that have no letter or digit."""
+    """Rules with normalised keywords. Those without a letter or digit, or a category, never match."""
     return rules.select(
         "priority", normalize_text(F.col("keyword")).alias("keyword"), "category"
-    ).where(F.col("keyword") != "")
+    ).where((F.col("keyword") != "") & F.col("category").isNotNull())
 
 
 def _inline_rules(rules: DataFrame, max_rules: int) -> list[tuple[str, str]] | None:
@@ -29,7 +29,8 @@ def _inline_rules(rules: DataFrame, max_rules: int) -> list[tuple[str, str]] | N
     size = rules.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("keyword")).alias("chars")).first()
     if size["n"] > max_rules or (size["chars"] or 0) > INLINE_CHARS:
         return None
-    ordered = sorted(rules.collect(), key=lambda row: (row["priority"], row["category"]))
+    # Spark's order, in which a NULL priority comes first, as in the least struct of a long table
+    ordered = rules.orderBy("priority", "category").collect()
     return [(row["keyword"], row["category"]) for row in ordered]
 
 
@@ -111,6 +112,9 @@ def categorize_by_table(
 ) -> DataFrame:
     """Set ``category`` from a ``(priority, keyword, category)`` table; the least priority wins.
 
+    A NULL priority is the least, equal priorities go by category, and a rule without a category is
+    no rule, however long the table is.
+
     ``text`` must be normalised; keywords are normalised here. The result is that of
     :func:`~tillroll.functions.categorize` with the same rules. A short table becomes part of the
     plan and costs no join. A long one is matched against the distinct texts, and the matches are

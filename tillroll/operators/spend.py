@@ -12,20 +12,31 @@ FIXED_BELOW = 0.15
 VARIABLE_BELOW = 0.50
 
 
-# Sums of doubles depend in their last bits on the order in which tasks finish. Amounts are cents,
-# so a mean often lies halfway between two cents, where those bits would decide. Sums are cut to
-# this many decimals before anything is derived from them.
-SUM_DECIMALS = 6
+# Amounts are summed as decimals with so many digits and decimals: exactly, so that neither the order
+# in which tasks finish nor the size of a total decides a rounding between two cents.
+SUM_TYPE = "decimal(24,6)"
 
 
-def clean_sum(amount: str) -> Column:
-    """The sum of an amount, the same in whatever order it was added up."""
-    return F.round(F.sum(amount), SUM_DECIMALS)
+def exact_sum(amount: str) -> Column:
+    """The exact sum of an amount as a double; what is no finite number counts as NULL."""
+    return F.sum(F.col(amount).try_cast(SUM_TYPE)).cast("double")
 
 
-def clean_mean(amount: str) -> Column:
-    """The mean of an amount, from :func:`clean_sum`; NULL where there is no amount."""
-    return F.try_divide(clean_sum(amount), F.count(amount))
+def exact_mean(amount: str) -> Column:
+    """The mean of an amount, from :func:`exact_sum`; NULL where there is no amount."""
+    return F.try_divide(exact_sum(amount), F.count(amount))
+
+
+def sorted_deviation(values: Column) -> Column:
+    """Sample standard deviation of an array, taken in the order of its values.
+
+    The order makes the result the same in every run. NULL for fewer than two values.
+    """
+    n = F.size(values)
+    ordered = F.sort_array(values)
+    mean = F.aggregate(ordered, F.lit(0.0), lambda total, x: total + x) / n
+    squares = F.aggregate(ordered, F.lit(0.0), lambda total, x: total + (x - mean) * (x - mean))
+    return F.when(n > 1, F.sqrt(squares / (n - 1)))
 
 
 def without_credits(silver: DataFrame) -> DataFrame:
@@ -43,9 +54,9 @@ def month_category_totals(silver: DataFrame) -> DataFrame:
         without_credits(silver)
         .groupBy("statement_month", "category")
         .agg(
-            clean_sum("amount").alias("spend"),
+            exact_sum("amount").alias("spend"),
             F.count(F.lit(1)).alias("tx_count"),
-            clean_mean("amount").alias("mean"),
+            exact_mean("amount").alias("mean"),
         )
     )
 
@@ -83,8 +94,9 @@ def stability_from_totals(
     return (
         totals.groupBy("category")
         .agg(
-            F.round(clean_mean("spend"), 2).alias("avg_monthly"),
-            F.round(F.stddev_samp("spend"), 2).alias("stddev_monthly"),
+            F.round(exact_mean("spend"), 2).alias("avg_monthly"),
+            # one value per month and category, so the array is short
+            F.round(sorted_deviation(F.collect_list("spend")), 2).alias("stddev_monthly"),
             F.count(F.lit(1)).alias("sample_months"),
         )
         .withColumn("cv", cv)

@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.functions.dates import parse_statement_date
 from tillroll.operators.charges import add_ingest_metadata, only_charges
-from tillroll.operators.merge import drop_known_rows, insert_only_merge
+from tillroll.operators.merge import drop_known_rows, insert_only_merge, number_copies
 from tillroll.operators.normalize import normalize_statements
 from tillroll.operators.quality import QualityResult, run_quality
 from tillroll.operators.recurring import detect_recurring
@@ -21,10 +22,17 @@ from tillroll.rules import QualityRule
 from tillroll.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
 from tillroll.sources.scratch import scratch_path
 from tillroll.sources.statements import read_statements
-from tillroll.sources.tables import append_partitioned, append_table, read_table, replace_table
+from tillroll.sources.tables import (
+    append_partitioned,
+    append_table,
+    delete_table,
+    read_table,
+    replace_table,
+)
 
 FINGERPRINT = "_row_hash"
 MONTH = "statement_month"
+BRONZE_MONTH = "_month"
 
 
 def bronze_rows(raw: DataFrame, source: str, *, skip_nulls: bool = False) -> DataFrame:
@@ -43,15 +51,37 @@ def ingest_statements(
     glob: str = "*.csv",
     options: Mapping[str, str] | None = None,
     dedupe_within_batch: bool = False,
+    keep_copies: bool = False,
+    by_month: bool = True,
     skip_nulls: bool = False,
 ) -> None:
     """Merge the charges of all statement files below ``source`` into the bronze table.
 
-    Running it again, or on a directory that holds files ingested before, adds only new rows.
+    Running it again, or on a directory that holds files ingested before, adds only new rows. By
+    default all copies of a new row stay. ``dedupe_within_batch`` keeps a fingerprint once;
+    ``keep_copies`` gives each copy within a file a key of its own, so that a merge which died half
+    way is completed by running it again, whatever it had committed.
+
+    With ``by_month`` the table has a directory per month of the transaction date (``_month``), and
+    only the months of the new files are searched; the fingerprint covers the date. A table that
+    was begun without goes on without.
     """
     raw = read_statements(spark, source, glob=glob, options=options)
     rows = bronze_rows(raw, source, skip_nulls=skip_nulls)
-    insert_only_merge(spark, rows, bronze, FINGERPRINT, dedupe_within_batch=dedupe_within_batch)
+    merge_bronze(rows, bronze, dedupe=dedupe_within_batch, keep_copies=keep_copies, by_month=by_month)
+
+
+def merge_bronze(rows: DataFrame, bronze: str, *, dedupe: bool, keep_copies: bool, by_month: bool) -> None:
+    """Merge bronze rows into their table; see :func:`ingest_statements`."""
+    if keep_copies:
+        rows, dedupe = number_copies(rows, FINGERPRINT), True
+    if by_month:
+        day = parse_statement_date(F.col("Transaction Date"))
+        rows = rows.withColumn(BRONZE_MONTH, F.coalesce(F.date_format(day, "yyyy-MM"), F.lit("none")))
+    month = BRONZE_MONTH if by_month else None
+    insert_only_merge(
+        rows.sparkSession, rows, bronze, FINGERPRINT, partition_by=month, prune_by=month, dedupe_within_batch=dedupe
+    )
 
 
 def build_silver(
@@ -80,19 +110,33 @@ def build_silver(
         prune_by=None if search_all_months else MONTH,
         schema=SILVER_SCHEMA,
     )
-    results = None
-    if gate_log is not None:
-        staged = scratch_path(spark, "silver-staged")
+    if gate_log is None:
+        append_partitioned(fresh, silver, MONTH)
+        return None
+    staged = scratch_path(spark, "silver-staged")
+    try:
         append_table(fresh, staged)
         fresh = read_table(spark, staged, SILVER_SCHEMA)
         results = run_quality(spark, fresh, gate_log, gate_rules)
-    append_partitioned(fresh, silver, MONTH)
+        append_partitioned(fresh, silver, MONTH)
+    finally:
+        delete_table(spark, staged)
     return results
 
 
-def build_gold(spark: SparkSession, silver: str, gold: str) -> None:
+def build_gold(
+    spark: SparkSession,
+    silver: str,
+    gold: str,
+    *,
+    stability: Mapping[str, float] | None = None,
+    recurring: Mapping[str, object] | None = None,
+) -> None:
     """Write monthly spend, spend stability and recurring charges anew.
 
+    ``stability`` and ``recurring`` are thresholds and options of
+    :func:`~tillroll.operators.fixed_vs_variable` and :func:`~tillroll.operators.detect_recurring`.
+
     The first two come from one small aggregate of the transactions, which is kept while both are
     written; the transactions themselves are not cached, as they may be far larger than the
     memory of the cluster. Each of the two scans reads only the columns it needs.
@@ -101,7 +145,7 @@ def build_gold(spark: SparkSession, silver: str, gold: str) -> None:
     totals = month_category_totals(rows).persist()
     try:
         replace_table(monthly_from_totals(totals), f"{gold}/monthly_by_category")
-        replace_table(stability_from_totals(totals), f"{gold}/fixed_vs_variable")
+        replace_table(stability_from_totals(totals, **(stability or {})), f"{gold}/fixed_vs_variable")
     finally:
         totals.unpersist()
-    replace_table(detect_recurring(rows), f"{gold}/recurring")
+    replace_table(detect_recurring(rows, **(recurring or {})), f"{gold}/recurring")

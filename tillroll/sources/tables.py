@@ -60,7 +60,8 @@ def append_partitioned(df: DataFrame, path: str, partition_by: str) -> None:
 def replace_table(df: DataFrame, path: str) -> None:
     """Write a derived table anew. A small result gives one file, a large one as many as it needs.
 
-    ``df`` must not read from ``path``.
+    ``df`` must not read from ``path``. The old rows go first: if the job dies, there is no table
+    until it runs again.
     """
     df.hint("rebalance").write.mode("overwrite").parquet(path)
 
@@ -68,3 +69,9 @@ def replace_table(df: DataFrame, path: str) -> None:
 def count_per_value(df: DataFrame, column: str) -> DataFrame:
     """Rows per value of a column, in the order of the values."""
     return df.groupBy(column).count().orderBy(column)
+
+
+def delete_table(spark: SparkSession, path: str) -> None:
+    """Remove the table at ``path``, in whatever store it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

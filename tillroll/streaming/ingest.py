@@ -7,8 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tillroll.operators.merge import insert_only_merge
-from tillroll.plans.statements import FINGERPRINT, bronze_rows
+from tillroll.plans.statements import bronze_rows, merge_bronze
 from tillroll.sources.statements import stream_statements
 
 # Each micro-batch searches the table once, so files are taken many at a time.
@@ -25,7 +24,8 @@ def ingest_statements_stream(
     options: Mapping[str, str] | None = None,
     max_files_per_trigger: int = FILES_PER_TRIGGER,
     processing_time: str | None = None,
-    dedupe_within_batch: bool = False,
+    keep_copies: bool = False,
+    by_month: bool = True,
     skip_nulls: bool = False,
     name: str | None = None,
 ) -> StreamingQuery:
@@ -37,10 +37,10 @@ def ingest_statements_stream(
 
     Every micro-batch goes through the same merge as a batch ingest and reads the table anew, so
     one that is delivered again after a failure, or a file dropped under a second name, adds
-    nothing. Copies of a row within one micro-batch all stay and those in a later one do not,
-    so the result depends on how files fall into micro-batches unless ``dedupe_within_batch`` is
-    set. Each micro-batch searches the whole table, so load a large backlog with
-    :func:`~tillroll.plans.ingest_statements` first, which searches it once.
+    nothing. A fingerprint is kept once. With ``keep_copies`` a row stays as often as the file that
+    has it most often has it, as equal purchases in one file may all be real. Either way the result
+    depends on the files alone, not on how they fall into micro-batches. The table is searched in
+    the months of the micro-batch (see :func:`~tillroll.plans.ingest_statements`).
     """
     if checkpoint.rstrip("/").startswith(bronze.rstrip("/") + "/") or checkpoint == bronze:
         raise ValueError("the checkpoint must lie outside the table")
@@ -53,16 +53,10 @@ def ingest_statements_stream(
     )
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        # the merge looks at its batch twice; files are parsed once
+        # the merge looks at its batch more than once; files are parsed once
         batch.persist()
         try:
-            insert_only_merge(
-                batch.sparkSession,
-                batch,
-                bronze,
-                FINGERPRINT,
-                dedupe_within_batch=dedupe_within_batch,
-            )
+            merge_bronze(batch, bronze, dedupe=True, keep_copies=keep_copies, by_month=by_month)
         finally:
             batch.unpersist()
 
