@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tillroll.llm.chunks import ChunkCoder
+from tillroll.llm.chunks import ChunkCoder, gather, split_marks
 from tillroll.llm.words import find_words, text_blocks
 
 # Fixed value: how byte-level vocabularies split a text before merging.
@@ -71,47 +71,62 @@ class ByteBpe:
 
     # ------------------------------------------------------------------------------- encoding
 
-    def encode_chunks(self, chunks: list[bytes]) -> list[list[int]]:
-        """Ids of each chunk; special tokens in it become their ids."""
-        plan: list[list] = []
-        index: dict[str, int] = {}
+    def encode_chunks(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks, and their number per chunk; special tokens become their ids."""
+        index: dict[bytes, int] = {}
+        place = index.setdefault
+        steps: list[int] = []
+        counts: list[int] = []
         for chunk in chunks:
+            # Letters with a space before them or not are one piece.
+            if (chunk[1:] if chunk[0] == 32 else chunk).isalpha():
+                steps.append(place(chunk, len(index)))
+                counts.append(1)
+                continue
             text = chunk.decode()
-            parts = self._split.split(text) if self._split and self._split.search(text) else [text]
-            steps: list = []
-            for part in parts:
+            if (text[1:] if text[0] == " " else text).isalpha():
+                steps.append(place(chunk, len(index)))
+                counts.append(1)
+                continue
+            before = len(steps)
+            for part in self._split.split(text) if self._split else [text]:
                 if part in self.special:
                     steps.append(-1 - self.special[part])
                 else:
-                    steps.extend(index.setdefault(piece, len(index)) for piece in PRETOKEN.findall(part))
-            plan.append(steps)
-        coded = self.merge_pieces([piece.encode() for piece in index])
-        return [
-            coded[steps[0]]
-            if len(steps) == 1 and steps[0] >= 0
-            else [i for step in steps for i in (coded[step] if step >= 0 else (-1 - step,))]
-            for steps in plan
-        ]
-
-    def merge_pieces(self, pieces: list[bytes]) -> list[list[int]]:
-        """Apply all merges to pieces, rank by rank over the positions where each pair occurs."""
+                    steps.extend([place(piece.encode(), len(index)) for piece in PRETOKEN.findall(part)])
+            counts.append(len(steps) - before)
+        flat, bounds = self.merge_pieces(list(index))
+        special = sorted(self.special.values())
+        row = {-1 - i: len(index) + k for k, i in enumerate(special)}
+        flat = np.concatenate([flat, special])
+        bounds = np.concatenate([bounds, bounds[-1] + 1 + np.arange(len(special))])
+        rows = np.array(steps, dtype=np.int64)
+        for code, at in row.items():
+            rows[rows == code] = at
+        ids, sizes = gather(flat, bounds, rows)
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
+        return ids, np.diff(ends)
+
+    def merge_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Apply all merges to pieces, rank by rank over the positions where each pair occurs.
+
+        Returns all ids, and the bounds of each piece's ids.
+        """
         if not pieces:
-            return []
+            return np.empty(0, dtype=np.int64), np.zeros(1, dtype=np.int64)
         raw = np.frombuffer(b"".join(pieces), dtype=np.uint8)
         sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
         bounds = np.concatenate([[0], np.cumsum(sizes)])
         n = len(raw)
         following, preceding = np.arange(1, n + 1), np.arange(-1, n - 1)
-        following[bounds[1:][sizes > 0] - 1] = -1
-        preceding[bounds[:-1][sizes > 0]] = -1
+        following[bounds[1:] - 1] = -1
+        preceding[bounds[:-1]] = -1
         symbols = self._byte_id[raw].tolist()
         places = self._occurrences(raw, following)
         self._apply(symbols, following.tolist(), preceding.tolist(), places)
         done = np.array(symbols, dtype=np.int64)
         live = done >= 0
-        left = np.concatenate([[0], np.cumsum(live)])[bounds].tolist()
-        flat = done[live].tolist()
-        return [flat[a:b] for a, b in zip(left[:-1], left[1:])]
+        return done[live], np.concatenate([[0], np.cumsum(live)])[bounds]
 
     def _occurrences(self, raw: np.ndarray, following: np.ndarray) -> dict[int, list[int]]:
         """The positions of every pair of bytes that a merge joins, by the merge's rank."""
@@ -226,7 +241,7 @@ def encode(docs: DataFrame, tokenizer_path: str, keep: str = "doc_id") -> DataFr
         for batch in batches:
             for start, stop, texts in text_blocks(batch):
                 words = find_words(texts)
-                starts, ends, text = _chunk_ranges(words)
+                starts, ends, text = split_marks(words.data, *_chunk_ranges(words))
                 ids, sizes = coder(words.data, words.raw, starts, ends)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, stop - start), _lists(ids, sizes, text, len(texts))],
@@ -249,7 +264,7 @@ def decode(coded: DataFrame, tokenizer_path: str) -> DataFrame:
         tokens = _coder(tokenizer_path)[0].token_bytes
         sizes = np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens))
         table = np.frombuffer(b"".join(tokens), dtype=np.uint8)
-        begins = np.cumsum(sizes) - sizes
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
         for batch in batches:
             for part in _parts(batch, place):
                 lists = part.column(place)
@@ -260,11 +275,9 @@ def decode(coded: DataFrame, tokenizer_path: str) -> DataFrame:
                     held = np.concatenate([[0], np.cumsum(known)])
                     ends = np.cumsum(counts)
                     counts, ids = held[ends] - held[ends - counts], ids[known]
-                width = sizes[ids]
-                out_ends = np.cumsum(width)
-                source = np.repeat(begins[ids] - (out_ends - width), width) + np.arange(int(width.sum()))
-                raw = table[source].tobytes()
-                at = np.concatenate([[0], out_ends])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+                letters, width = gather(table, bounds, ids)
+                raw = letters.tobytes()
+                at = np.concatenate([[0], np.cumsum(width)])[np.concatenate([[0], np.cumsum(counts)])].tolist()
                 texts = [raw[i:j].decode("utf-8", "replace") for i, j in zip(at[:-1], at[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, "decoded"]

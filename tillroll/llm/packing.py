@@ -20,6 +20,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -27,13 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.chunks import ChunkCoder
+from tillroll.llm.chunks import ChunkCoder, split_marks
 from tillroll.llm.staging import staged
 from tillroll.llm.words import find_words, text_blocks
 
 SEQUENCE, END_ID = 2048, 0
 PARTITION_PIECES = 20_000
 _MAX_EXCHANGES = 8
+_BATCH = 4096
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _coders: dict[str, ChunkCoder] = {}
 
@@ -46,9 +48,12 @@ def _coder(path: str) -> ChunkCoder:
         tokenizer.no_truncation()
         tokenizer.no_padding()
 
-        def encode(chunks: list[bytes]) -> list[list[int]]:
-            texts = [chunk.decode() for chunk in chunks]
-            return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        def encode(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            ids: list[list[int]] = []
+            for at in range(0, len(chunks), _BATCH):
+                texts = [chunk.decode() for chunk in chunks[at : at + _BATCH]]
+                ids.extend(e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+            return np.array([*chain.from_iterable(ids)], dtype=np.int32), np.array([*map(len, ids)])
 
         _coders[path] = ChunkCoder(encode)
     return _coders[path]
@@ -59,7 +64,7 @@ def token_pieces(
 ) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32`` and, if asked for, ``ids``.
 
-    For tokenizers that encode what lies between white space on its own. ``ids_crc32`` is the check
+    For tokenizers that encode what lies between white space on its own, letters apart from marks. ``ids_crc32`` is the check
     sum of the piece's ids as little-endian 32-bit numbers.
     """
 
@@ -68,8 +73,10 @@ def token_pieces(
         for batch in batches:
             for start, stop, texts in text_blocks(batch):
                 words = find_words(texts)
-                ids, sizes = coder(words.data, words.raw, words.starts, words.ends)
-                done = np.concatenate([[0], np.cumsum(sizes)])[words.bounds]
+                starts, ends, text = split_marks(words.data, words.starts, words.ends, words.text)
+                ids, sizes = coder(words.data, words.raw, starts, ends)
+                bounds = np.searchsorted(text, np.arange(len(texts) + 1))
+                done = np.concatenate([[0], np.cumsum(sizes)])[bounds]
                 ids = ids.astype("<i4")
                 rows: list[tuple[int, int, int, int, int]] = []
                 held: list[np.ndarray] = []
