@@ -45,6 +45,7 @@ from tillroll.plans import build_gold, build_silver, ingest_statements
 from tillroll.rules import (
     KEYWORD_RULES,
     SEED_RULES,
+    SOURCE_CATEGORY_MAP,
     QualityRule,
     rule_table,
     silver_quality_rules,
@@ -108,19 +109,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(table: DataFrame, *row_id: str) -> DataFrame:
-    """Deal the rows of a table with fewer splits than there are cores out to all cores.
-
-    Each test table is a single row group, which one task would read and transform alone. A table
-    of ordinary size has more splits than the cluster has cores and is left as it is.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores, *row_id)
-
-
 def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = _spread(_table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
-    return lineitem_feed(lineitem, _table(spark, sf_dir, "part"))
+    return lineitem_feed(_table(spark, sf_dir, "lineitem"), _table(spark, sf_dir, "part"))
 
 
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -333,6 +323,31 @@ def _recurring_thresholds(spark, sf_dir):
     )
 
 
+def _steady_orders(spark, sf_dir):
+    """Orders that bill two of three customers the same amount each time."""
+    spend = order_spend(_table(spark, sf_dir, "orders"), _table(spark, sf_dir, "customer"))
+    number = F.substring_index("description_norm", "#", -1).cast("int")
+    steady = F.when(number % 3 == 0, F.col("amount")).otherwise((number % 90 + 10).cast("double"))
+    return spend.withColumn("amount", steady)
+
+
+def _recurring_defaults(spark, sf_dir):
+    """Default thresholds; merchants of all three kinds occur."""
+    return detect_recurring(_steady_orders(spark, sf_dir))
+
+
+def _default_rules(spark, sf_dir):
+    """The default rules on merchants of whom each default keyword and source category names some."""
+    words = F.array(*[F.lit(keyword) for keyword, _ in KEYWORD_RULES], F.lit("NO RULE"))
+    sources = F.array(*map(F.lit, SOURCE_CATEGORY_MAP), F.lit("Other"))
+    part = _table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.concat(F.lit("The "), F.get(words, F.expr(f"int(p_partkey % {len(KEYWORD_RULES) + 1})")), F.lit(" #"), "p_partkey").alias("merchant"),
+        F.get(sources, F.expr(f"int((p_partkey div 7) % {len(SOURCE_CATEGORY_MAP) + 1})")).alias("source"),
+    )
+    return part.select("p_partkey", categorize(normalize_text(F.col("merchant")), F.col("source")).alias("category"))
+
+
 def _recurring_top(spark, sf_dir):
     return top_recurring(detect_recurring(_spend(spark, sf_dir)), 25)
 
@@ -405,8 +420,14 @@ def _quality_log(spark, sf_dir):
 
 
 def _source_files(spark, sf_dir):
-    lineitem = _table(spark, sf_dir, "lineitem")
-    return source_files(lineitem.select(F.col("_metadata.file_path").alias("_source_file")))
+    """Name and rows of the files behind three tables."""
+    found = []
+    for name in ("lineitem", "orders", "part"):
+        rows = _table(spark, sf_dir, name).select(F.col("_metadata.file_path").alias("_source_file"))
+        counts = rows.groupBy("_source_file").agg(F.count(F.lit(1)).alias("row_count"))
+        found.append(source_files(rows).join(counts, "_source_file"))
+    file = F.element_at(F.split("_source_file", "/"), -1).alias("file")
+    return reduce(DataFrame.unionByName, found).select(file, "row_count")
 
 
 def _ingested(spark, sf_dir) -> str:
@@ -555,6 +576,8 @@ def _statement_queries() -> dict[str, Query]:
         "fixed_vs_variable": _fixed_vs_variable,
         "recurring_charges": _recurring_charges,
         "recurring_thresholds": _recurring_thresholds,
+        "recurring_defaults": _recurring_defaults,
+        "default_rules": _default_rules,
         "recurring_top": _recurring_top,
         "months_seen": _months_seen,
         "recurring_customers": _recurring_customers,
@@ -671,6 +694,12 @@ _CTES = {
                o_totalprice AS amount, strftime(o_orderdate, '%Y-%m') AS statement_month,
                o_orderstatus = 'F' AS is_credit
         FROM orders JOIN customer ON o_custkey = c_custkey""",
+    "steady_orders": """
+        SELECT upper(c_name) AS description_norm, o_orderpriority AS category,
+               CASE WHEN CAST(split_part(c_name, '#', 2) AS INT) % 3 = 0 THEN o_totalprice
+                    ELSE CAST(split_part(c_name, '#', 2) AS INT) % 90 + 10 END::DOUBLE AS amount,
+               strftime(o_orderdate, '%Y-%m') AS statement_month, o_orderstatus = 'F' AS is_credit
+        FROM orders JOIN customer ON o_custkey = c_custkey""",
     "event_spend": """
         SELECT 'USER ' || user_id AS description_norm, event_type AS category, value AS amount,
                strftime(ts, '%Y-%m-%d') AS statement_month, event_type = 'error' AS is_credit
@@ -794,7 +823,6 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _statement_sql() -> dict[str, str]:
-    """``source_files`` has none: it lists file names, not rows."""
     silver_cols = ", ".join(SILVER_OUT)
     bronze_cols = f"{_RAW}, _batch_id, _row_hash"
     silver_rows = _with("silver", f"SELECT {silver_cols} FROM silver")
@@ -886,6 +914,21 @@ def _statement_sql() -> dict[str, str]:
             "silver", select="description_norm, category, occurrence_months, months_seen"
         ),
         "recurring_customers": _recurring_sql("order_spend", 2, 0.5, 3),
+        "recurring_defaults": _recurring_sql("steady_orders"),
+        "default_rules": f"""
+            WITH merchants AS (
+                SELECT p_partkey, 'The ' || [{", ".join(_quoted(k) for k, _ in KEYWORD_RULES)}, 'NO RULE'][
+                    p_partkey % {len(KEYWORD_RULES) + 1} + 1] || ' #' || p_partkey AS merchant,
+                    [{", ".join(map(_quoted, SOURCE_CATEGORY_MAP))}, 'Other'][
+                    (p_partkey // 7) % {len(SOURCE_CATEGORY_MAP) + 1} + 1] AS source
+                FROM part
+            ), normal AS (SELECT *, {_norm("merchant")} AS t FROM merchants)
+            SELECT p_partkey, coalesce({_case("t", _DEFAULT_KEYWORDS)}, {_lookup("source", SOURCE_CATEGORY_MAP)},
+                'Uncategorized') AS category FROM normal""",
+        "source_files": " UNION ALL ".join(
+            f"SELECT '{name}.parquet' AS file, count(*) AS row_count FROM {name}"
+            for name in ("lineitem", "orders", "part")
+        ),
         "monthly_orders": _monthly_sql("order_spend"),
         "events_daily": _monthly_sql("event_spend"),
         "events_daily_stability": _stability_sql("event_spend"),

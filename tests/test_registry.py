@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as registry
 from tests.helpers import TESTDATA
+from tillroll.rules import CATEGORIES, KEYWORD_RULES
 from tools.compare import connect, difference
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(TESTDATA), reason="no test tables")
@@ -17,8 +18,8 @@ def duck():
     return connect(TESTDATA)
 
 
-def test_every_query_but_the_file_listing_has_sql():
-    assert set(registry._statement_queries()) - set(registry._statement_sql()) == {"source_files"}
+def test_every_query_has_sql():
+    assert set(registry._statement_queries()) == set(registry._statement_sql())
     assert set(registry.oracle_sql()) <= set(registry.queries())
 
 
@@ -36,9 +37,12 @@ def test_registry_without_the_training_data_operators(monkeypatch):
     assert set(registry.oracle_sql()) == set(registry._statement_sql())
 
 
-def test_source_files(spark):
-    rows = registry.queries()["source_files"](spark, TESTDATA).collect()
-    assert [os.path.basename(r[0]) for r in rows] == ["lineitem.parquet"]
+def test_queries_prove_the_defaults(spark):
+    kinds = registry.queries()["recurring_defaults"](spark, TESTDATA).select("recurrence_type").distinct()
+    assert {r[0] for r in kinds.collect()} == {"MONTHLY", "OCCASIONAL", "IRREGULAR"}
+    labels = registry.queries()["default_rules"](spark, TESTDATA).select("category").distinct()
+    missing = set(CATEGORIES) - {r[0] for r in labels.collect()}
+    assert missing <= {label for label in CATEGORIES if label not in dict(KEYWORD_RULES).values()}
 
 
 def test_entry(spark):
