@@ -41,7 +41,7 @@ from tillroll.operators import (
     top_recurring,
 )
 from tillroll.operators.quality import QualityError
-from tillroll.plans import build_gold, build_silver, ingest_statements
+from tillroll.plans import StatementPaths, build_gold, build_silver, ingest_statements
 from tillroll.rules import (
     KEYWORD_RULES,
     SEED_RULES,
@@ -443,23 +443,30 @@ def _batch_ingest(spark, sf_dir):
     return read_table(spark, _ingested(spark, sf_dir)).select(*RAW_COLUMNS, "_row_hash")
 
 
-def _built_silver(spark, sf_dir) -> str:
-    """Silver built after each drop."""
-    drop, bronze = scratch_path(spark, "drop"), scratch_path(spark, "bronze")
-    silver, log = scratch_path(spark, "silver"), scratch_path(spark, "gate-log")
+def _built_silver(spark, sf_dir, stored_rules=False) -> str:
+    """Silver built after each drop, with listed rules or those of a stored rule table."""
+    paths = StatementPaths.under(scratch_path(spark, "build"), scratch_path(spark, "drop"))
+    options = {"rules": FEED_RULES}
+    if stored_rules:
+        append_table(rule_table(spark, FEED_RULES), paths.merchant_rules)
+        options = {"merchant_rules": read_table(spark, paths.merchant_rules)}
     for which in (0, 1):
-        _drop_files(spark, sf_dir, drop, which)
-        ingest_statements(spark, drop, bronze)
-        build_silver(spark, bronze, silver, gate_log=log, rules=FEED_RULES, mapping=FEED_MAP)
-    return silver
+        _drop_files(spark, sf_dir, paths.source, which)
+        ingest_statements(spark, paths.source, paths.bronze)
+        build_silver(spark, paths.bronze, paths.silver, gate_log=paths.quality_log, mapping=FEED_MAP, **options)
+    return paths.silver
 
 
-def _silver_build(spark, sf_dir):
-    return read_table(spark, _built_silver(spark, sf_dir), SILVER_SCHEMA).select(
+def _silver_build(spark, sf_dir, stored_rules=False):
+    return read_table(spark, _built_silver(spark, sf_dir, stored_rules), SILVER_SCHEMA).select(
         *(name for name in SILVER_OUT if name != "_batch_id")
     )
 
 
+def _silver_build_rule_table(spark, sf_dir):
+    return _silver_build(spark, sf_dir, stored_rules=True)
+
+
 def _gold(name: str) -> Query:
     def query(spark, sf_dir):
         silver, gold = scratch_path(spark, "silver"), scratch_path(spark, "gold")
@@ -591,6 +598,7 @@ def _statement_queries() -> dict[str, Query]:
         "source_files": _source_files,
         "batch_ingest": _batch_ingest,
         "silver_build": _silver_build,
+        "silver_build_rule_table": _silver_build_rule_table,
         "gold_refresh": _gold("monthly_by_category"),
         "gold_stability": _gold("fixed_vs_variable"),
         "gold_recurring": _gold("recurring"),
@@ -834,6 +842,13 @@ def _statement_sql() -> dict[str, str]:
         WHERE NOT EXISTS (SELECT 1 FROM ({known}) k WHERE k._row_hash = silver._row_hash)"""
     first_run = _quality_sql("labelled", _LABEL_CHECKS)
     second_run = _quality_sql("labelled", _LABEL_CHECKS, strict=True)
+    built = _with(
+        "merged",
+        f"""
+        , built AS ({_CTES["typed"].replace("FROM bronze", "FROM merged")})
+        , labelled AS ({_CTES["silver"].replace("FROM typed", "FROM built")})
+        SELECT {", ".join(name for name in SILVER_OUT if name != "_batch_id")} FROM labelled""",
+    )
     return {
         "row_fingerprint": _with(
             "bronze", 'SELECT "Description", "Amount", _row_hash FROM bronze'
@@ -937,13 +952,8 @@ def _statement_sql() -> dict[str, str]:
         "quality_labels_strict": second_run,
         "quality_log": f"SELECT * FROM ({first_run}) UNION ALL SELECT * FROM ({second_run})",
         "batch_ingest": from_files,
-        "silver_build": _with(
-            "merged",
-            f"""
-            , built AS ({_CTES["typed"].replace("FROM bronze", "FROM merged")})
-            , labelled AS ({_CTES["silver"].replace("FROM typed", "FROM built")})
-            SELECT {", ".join(name for name in SILVER_OUT if name != "_batch_id")} FROM labelled""",
-        ),
+        "silver_build": built,
+        "silver_build_rule_table": built,
         "gold_refresh": _monthly_sql("silver"),
         "gold_stability": _stability_sql("silver"),
         "gold_recurring": _recurring_sql("silver"),

@@ -77,6 +77,17 @@ def test_text_is_normalized_once_per_row(spark, tmp_path):
     assert text.count("regexp_replace(replace(") == 1
 
 
+def test_build_from_new_rows_only(spark, tmp_path):
+    b, s = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    append_table(bronze(spark, raw_row("01/05/2024", "A")), b)
+    build_silver(spark, b, s)
+    last = read_table(spark, b).agg({"_ingest_ts": "max"}).first()[0]
+    append_table(bronze(spark, raw_row("06/05/2024", "B")), b)
+    build_silver(spark, b, s, ingested_since=last)
+    build_silver(spark, b, s, ingested_since=last)
+    assert [r[0] for r in rows_of(read_table(spark, s, SILVER_SCHEMA).select("description"))] == ["A", "B"]
+
+
 def test_build_is_incremental(spark, tmp_path):
     b, s = str(tmp_path / "bronze"), str(tmp_path / "silver")
     append_table(bronze(spark, raw_row("01/05/2024", "A"), raw_row("01/30/2024", "B")), b)

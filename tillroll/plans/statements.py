@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from tillroll.operators.merge import drop_known_rows, insert_only_merge, number_
 from tillroll.operators.normalize import normalize_statements
 from tillroll.operators.quality import QualityResult, run_quality
 from tillroll.operators.recurring import detect_recurring
+from tillroll.operators.rule_join import categorize_by_table
 from tillroll.operators.spend import (
     month_category_totals,
     monthly_from_totals,
@@ -92,16 +94,31 @@ def build_silver(
     gate_log: str | None = None,
     gate_rules: Sequence[QualityRule] | None = None,
     search_all_months: bool = False,
+    ingested_since: datetime | None = None,
+    merchant_rules: DataFrame | None = None,
     **normalize_options,
 ) -> list[QualityResult] | None:
     """Append the bronze rows that the silver table lacks, typed and categorised, by month.
 
     The fingerprint covers the transaction date, and the date gives the month, so the silver table
     is searched only in the months that the new rows span. Where earlier rows were put into months
-    by other rules (another cut day or date format), ask to ``search_all_months``. With ``gate_log`` the new rows are staged and checked before
+    by other rules (another cut day or date format), ask to ``search_all_months``.
+
+    ``ingested_since`` leaves out bronze rows that were ingested before, which an earlier build has
+    published; the build then reads, compares and searches the months of the new rows only. What it
+    lets through a second time is still found by its fingerprint.
+
+    ``merchant_rules`` is a rule table, such as the one at ``StatementPaths.merchant_rules``; it takes
+    the place of the rules in ``normalize_options``. With ``gate_log`` the new rows are staged and checked before
     any of them is published; a failed ERROR rule raises and leaves the table as it is.
     """
-    typed = normalize_statements(read_table(spark, bronze, BRONZE_SCHEMA), **normalize_options)
+    rows = read_table(spark, bronze, BRONZE_SCHEMA)
+    if ingested_since is not None:
+        rows = rows.where(F.col("_ingest_ts") >= F.lit(ingested_since))
+    typed = normalize_statements(rows, **normalize_options)
+    if merchant_rules is not None:
+        mapped = {k: v for k, v in normalize_options.items() if k == "mapping"}
+        typed = categorize_by_table(typed.drop("category"), merchant_rules, **mapped).select(*typed.columns)
     fresh = drop_known_rows(
         spark,
         typed,
