@@ -7,11 +7,13 @@ deduplication and always stays; rows that share id and text are one document, of
 
 from __future__ import annotations
 
+import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm.exact_dedup import exact_duplicates
+from tillroll.llm.key_filter import broadcast_filter, possible
 from tillroll.llm.near_dedup import near_duplicates
 from tillroll.llm.packing import pack, token_pieces
 from tillroll.llm.pii import replace_pii
@@ -30,16 +32,34 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.where(F.col(measures)["kept"]).select(*docs.columns)
 
 
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The documents whose id is not in ``dropped``.
+
+    Documents that a Bloom filter of the dropped ids rules out pass without a shuffle; only the few
+    others are joined.
+    """
+    hashed = dropped.select("doc_id", F.xxhash64("doc_id").alias("id_hash"))
+    words = broadcast_filter(hashed, "id_hash")
+
+    @F.pandas_udf("boolean")
+    def listed(hashes: pd.Series) -> pd.Series:
+        return pd.Series(possible(words.value, hashes.to_numpy()))
+
+    doubtful = listed(F.xxhash64(F.col("doc_id").cast("long")))
+    kept = docs.where(doubtful).join(dropped.hint("merge"), "doc_id", "left_anti")
+    return docs.where(~doubtful).unionByName(kept.select(*docs.columns))
+
+
 def _kept(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     """The documents that a deduplication keeps."""
     verdicts = staged(verdicts.select("doc_id", "kept"), "verdicts")
-    left = docs.join(verdicts.where("NOT kept").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    left = _without(docs, verdicts.where("NOT kept AND doc_id IS NOT NULL").select("doc_id"))
     repeated = verdicts.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
     repeated = staged(repeated.select("doc_id"), "repeated")
     if repeated.isEmpty():
         return left
     once = left.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    return _without(left, repeated).unionByName(once)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
