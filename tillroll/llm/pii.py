@@ -192,29 +192,28 @@ def _surrogate(key: str) -> Column:
     return result
 
 
+def _taken(drawn: DataFrame, units: DataFrame) -> DataFrame:
+    """Units that must draw again: their surrogate is a unit, or another unit holds it."""
+    shared = drawn.groupBy("unit", "surrogate").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # The holder of a surrogate is the unit with fewest draws, then the least value.
+    claims = drawn.join(shared, ["unit", "surrogate"])
+    holder = claims.groupBy("unit", "surrogate").agg(F.min(F.struct("draw", "value")).alias("holder"))
+    lost = claims.join(holder, ["unit", "surrogate"]).where(F.col("holder.value") != F.col("value"))
+    real = drawn.join(units.select("unit", F.col("value").alias("surrogate")), ["unit", "surrogate"], "left_semi")
+    columns = ["unit", "value", "draw"]
+    return lost.select(*columns).unionByName(real.select(*columns)).distinct()
+
+
 def assign_surrogates(units: DataFrame, key: str) -> DataFrame:
     """``unit, value, surrogate`` for distinct units, with distinct surrogates that are no unit."""
-    settled = None
-    current = staged(units.withColumn("draw", F.lit(0)).withColumn("surrogate", _surrogate(key)), "surrogates")
+    drawn = staged(units.withColumn("draw", F.lit(0)).withColumn("surrogate", _surrogate(key)), "surrogates")
     for _ in range(_MAX_DRAWS):
-        # The holder of a surrogate is the unit with fewest draws, then the least value.
-        holder = current.groupBy("unit", "surrogate").agg(F.min(F.struct("draw", "value")).alias("holder"))
-        known = units.select("unit", F.col("value").alias("surrogate"), F.lit(True).alias("known"))
-        judged = staged(
-            current.join(holder, ["unit", "surrogate"]).join(known, ["unit", "surrogate"], "left").select(
-                "unit",
-                "value",
-                "draw",
-                "surrogate",
-                (F.col("known").isNotNull() | (F.col("holder.value") != F.col("value"))).alias("again"),
-            ),
-            "surrogates",
-        )
-        settled = judged.where("NOT again").drop("again")
-        again = judged.where("again").select("unit", "value", (F.col("draw") + 1).alias("draw"))
+        again = staged(_taken(drawn, units), "surrogates")
         if again.isEmpty():
-            return settled.drop("draw")
-        current = staged(settled.unionByName(again.withColumn("surrogate", _surrogate(key))), "surrogates")
+            return drawn.drop("draw")
+        settled = drawn.join(again.drop("draw"), ["unit", "value"], "left_anti")
+        redrawn = again.withColumn("draw", F.col("draw") + 1).withColumn("surrogate", _surrogate(key))
+        drawn = staged(settled.unionByName(redrawn.select(*settled.columns)), "surrogates")
     raise RuntimeError(f"no distinct surrogates after {_MAX_DRAWS} draws")
 
 
@@ -276,13 +275,11 @@ def replace_pii(docs: DataFrame, key: str, count: str | None = None) -> DataFram
     """``docs`` with surrogates in ``text``. ``count`` names a column for the number of mentions."""
     first, second = F.xxhash64("text"), F.xxhash64(F.lit(1), "text")
     with_mention = docs.where(has_mention(F.col("text")))
-    found = staged(
-        with_mention.select(
-            first.alias("k1"), second.alias("k2"), F.regexp_extract_all("text", F.lit(ANY), F.lit(0)).alias("mentions")
-        ).dropDuplicates(["k1", "k2"]),
-        "pii-mentions",
+    mentions = F.regexp_extract_all("text", F.lit(ANY), F.lit(0))
+    placed = staged(
+        with_mention.select(first.alias("k1"), second.alias("k2"), F.posexplode(mentions).alias("place", "mention")).distinct(),
+        "pii-places",
     )
-    placed = staged(found.select("k1", "k2", F.posexplode("mentions").alias("place", "mention")), "pii-places")
     table = _replacements(placed, key)
     per_text = staged(
         placed.join(table, "mention")
