@@ -59,6 +59,13 @@ def test_distinct_units_stay_distinct(spark):
     assert not {(r["unit"], r["surrogate"]) for r in rows} & set(units)
 
 
+def test_many_short_addresses_get_distinct_surrogates(spark):
+    units = [("email", f"{chr(97 + i % 26)}@host{i}.org") for i in range(5000)] + [("email", f"{i % 10}@d{i}.org") for i in range(1000)]
+    rows = assign_surrogates(spark.createDataFrame(units, "unit string, value string"), "k").collect()
+    assert len(rows) == len(units) == len({r["surrogate"] for r in rows})
+    assert not {r["surrogate"] for r in rows} & {value for _, value in units}
+
+
 def test_columns_nulls_and_repeated_rows(spark):
     texts = [*HARD_TEXTS, TEXTS[0], TEXTS[0], None]
     docs = documents(spark, texts)

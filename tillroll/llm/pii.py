@@ -166,7 +166,9 @@ def _surrogate(key: str) -> Column:
     unit, value, draw = F.col("unit"), F.col("value"), F.col("draw")
     stream = _stream(key, unit, value, draw)
     local = _like(F.substring_index(value, "@", 1), stream)
-    domain = F.concat(F.lit("@mail"), (_number(stream, 5) % 10).cast("string"), F.lit(".example."))
+    # A later draw has another digit, so that there is always room for a distinct address.
+    digits = F.transform(F.sequence(F.lit(0), draw), lambda i: _pick("0123456789", _number(stream, i % 48 + 5)))
+    domain = F.concat(F.lit("@mail"), F.concat_ws("", digits), F.lit(".example."))
     email = F.concat(local, domain, F.get(F.array(F.lit("com"), F.lit("net"), F.lit("org")), _number(stream, 7) % 3))
     octets = [(_number(stream, 4 + 2 * k) % 256).cast("string") for k in range(3)]
     ip = F.concat_ws(".", (_number(stream, 0) % 15 + 240).cast("string"), *octets)
