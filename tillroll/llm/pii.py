@@ -1,6 +1,6 @@
 """Personal data and secrets are replaced by surrogates, with Spark expressions only.
 
-Patterns find mentions of emails, IP addresses, phone, card, account and social security numbers,
+Patterns find mentions of emails, IP addresses (both versions), phone, card, account and social security numbers,
 secrets, and persons named with a title. A mention is made of units: a number's digits, a given name,
 a surname. A unit's surrogate is drawn from a keyed hash of its kind and normal form, so that the same
 unit has the same surrogate in every document and every run with the same key. It is of the same
@@ -47,21 +47,45 @@ _SYLLABLES = {
     "cyrillic": ["ба", "ден", "фи", "гор", "хал", "ке", "лин", "мар", "но", "пел", "ри", "сан", "тор", "ул", "вен", "зи"],
 }
 _TITLE = "(?:" + "|".join(title for titles in TITLES.values() for title in titles) + ")"
+# What stands before a secret and stays: a key word with "=" or ":", or the header of a PEM block.
+_PASSWORD = r"(?i:password|passwd|pwd|passphrase|passwort|kennwort|mot de passe|contraseña|пароль)"
+_KEY_WORD = r"(?i:(?:[a-z]+[_-])*(?:token|secret|(?:api|access|secret|private)[ _-]?key)|clave|schlüssel|clé|ключ)"
+_ASSIGN, _QUOTE = r"[\"']?[ \t]{0,3}[:=][ \t]{0,3}", r"[\"']?"
+_PEM = r"-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----"
+_LEAD = rf"(?:{_PEM}|(?:{_PASSWORD}|{_KEY_WORD}){_ASSIGN}{_QUOTE})"
+_VALUE = r"[^\s\"'<>,;]"
+# A telephone number in any grouping; a date, a social security or a card number that begins with 0 is none.
+_DIGIT_GAP = r"[ \u00A0\u202F./()-]{0,3}"
+_NO_PHONE = (
+    r"(?!0[1-9][./-](?:0?[1-9]|1[0-2])[./-](?:19|20)?\d{2}(?!\d|[./-]\d))"
+    r"(?!\d{3}-\d{2}-\d{4}(?![\p{N}-]))(?!\d(?:[ -]?\d){15,18}(?!\p{N}))(?!0[.]\d)"
+)
+_HEXTETS = r"[0-9a-fA-F]{1,4}(?::[0-9a-fA-F]{1,4})"
 # In order of precedence. A pattern neither begins nor ends within a longer word or number.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
-    "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-fA-F]{32,128}|AKIA[0-9A-Z]{16}|(?:sk-|ghp_|xox[abp]-)[0-9A-Za-z_-]{16,})(?![\p{L}\p{N}])",
+    "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-fA-F]{32,128}|AKIA[0-9A-Z]{16}|(?:sk-|gh[pousr]_|github_pat_|xox[abp]-)[0-9A-Za-z_-]{16,}"
+    r"|eyJ[0-9A-Za-z_-]{5,}\.[0-9A-Za-z_-]{5,}(?:\.[0-9A-Za-z_-]*)?)(?![\p{L}\p{N}])"
+    rf"|{_PEM}(?:[^-]++(?:-(?!----)[^-]*+)*+(?=-----END)|(?:\s*[A-Za-z0-9+/=]{{40,}})+)"
+    rf"|(?<![\p{{L}}\p{{N}}])(?:{_PASSWORD}{_ASSIGN}{_QUOTE}{_VALUE}{{4,}}"
+    rf"|{_KEY_WORD}{_ASSIGN}{_QUOTE}(?={_VALUE}*[0-9]){_VALUE}{{8,}})"
+    r"|(?<![\p{L}\p{N}+/])(?=[A-Za-z0-9+/]{0,39}[0-9])(?=[A-Za-z0-9+/]{0,39}[a-z])(?=[A-Za-z0-9+/]{0,39}[A-Z])"
+    r"[A-Za-z0-9+/]{40}(?![\p{L}\p{N}+/])",
+    "ip6": rf"(?<![\p{{L}}\p{{N}}:.])(?:{_HEXTETS}{{7}}|(?=[a-fA-F:]{{0,38}}[0-9])(?:{_HEXTETS}{{0,5}})?::(?:{_HEXTETS}{{0,5}})?)(?![\p{{L}}\p{{N}}:]|\.\p{{N}})",
     "ip": r"(?<![\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\p{N})",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "phone": rf"\+\d{{1,3}}{_GAP}\d{{2,4}}{_GAP}\d{{3}}[-. ]?\d{{4}}(?!\p{{N}})"
-    r"|\+\d{9,14}(?!\p{N})|(?<![\p{L}\p{N}])\(?\d{3}\)?[-. ]\d{3}[-. ]\d{4}(?!\p{N})",
+    r"|\+\d{9,14}(?!\p{N})|(?<![\p{L}\p{N}])\(?\d{3}\)?[-. ]\d{3}[-. ]\d{4}(?!\p{N})"
+    rf"|(?<![\p{{L}}\p{{N}}+])\+\(?\d(?:{_DIGIT_GAP}\d){{6,14}}(?!\p{{N}})"
+    rf"|(?<![\p{{L}}\p{{N}}.,:/_#-])\(?{_NO_PHONE}0(?:{_DIGIT_GAP}\d){{6,14}}(?!\p{{N}})",
     "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{N}-])",
-    "card": r"(?<![\p{L}\p{N}])\d(?:[ -]?\d){12,18}(?!\p{N})",
+    # A book's number (ISBN-13) has 13 digits from 978 or 979 on, with which no card begins.
+    "card": r"(?<![\p{L}\p{N}])(?!97[89](?:[ -]?\d){10}(?![ -]?\p{N}))\d(?:[ -]?\d){12,18}(?!\p{N})",
     "person": rf"(?<![\p{{L}}\p{{N}}]){_TITLE}\.? {_NAME}(?: {_NAME})?(?![\p{{L}}\p{{N}}])",
 }
 ANY = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
 # What every mention has at least; cheap to look for.
-_HINT = rf"[0-9@]|AKIA|(?:sk-|ghp_|xox)|(?<!\p{{L}}){_TITLE}\.? \p{{Lu}}"
+_HINT = rf"[0-9@]|AKIA|(?:sk-|gh[pousr]_|github_pat_|xox)|eyJ|{_PEM}|{_PASSWORD}{_ASSIGN}|(?<!\p{{L}}){_TITLE}\.? \p{{Lu}}"
 
 
 def has_mention(text: Column) -> Column:
@@ -76,7 +100,7 @@ def _kind(mention: Column) -> Column:
     for name, pattern in reversed(PATTERNS.items()):
         kind = F.when(mention.rlike(f"^(?:{pattern})$"), F.lit(name)).otherwise(kind)
     # Patterns look at what stands around; a mention alone can only lose by that, never change kind.
-    return F.coalesce(kind, F.lit("card"))
+    return F.when(mention.rlike(f"^{_PEM}"), F.lit("secret")).otherwise(F.coalesce(kind, F.lit("card")))
 
 
 def _gender(mention: Column) -> Column:
@@ -104,11 +128,12 @@ def _units(mention: Column, kind: Column) -> Column:
         F.array(unit(given, F.lower(names[0])), unit(surname, F.lower(names[1]))),
     ).otherwise(F.array(unit(surname, F.lower(names[0]))))
     digits = F.regexp_replace(mention, r"\P{Nd}", "")
+    secret = F.regexp_replace(mention, f"^{_LEAD}", "")
     return (
         F.when(kind == "person", person)
         .when(kind.isin("phone", "card", "ssn"), F.array(unit(kind, digits)))
         .when(kind == "iban", F.array(unit(kind, F.replace(mention, F.lit(" "), F.lit("")))))
-        .when(kind == "secret", F.array(unit(kind, F.when(_is_hex(mention), F.lower(mention)).otherwise(mention))))
+        .when(kind == "secret", F.array(unit(kind, F.when(_is_hex(secret), F.lower(secret)).otherwise(secret))))
         .otherwise(F.array(unit(kind, F.lower(mention))))
     )
 
@@ -140,7 +165,7 @@ def _pick(letters: str, number: Column) -> Column:
 _LOWER, _UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def _like(value: Column, stream: Column, fixed: int = 0, hexadecimal: bool = False) -> Column:
+def _like(value: Column, stream: Column, fixed: int | Column = 0, hexadecimal: bool = False) -> Column:
     """Characters of the same classes; the first ``fixed`` ones are kept."""
 
     def drawn(c: Column, i: Column) -> Column:
@@ -172,10 +197,14 @@ def _surrogate(key: str) -> Column:
     email = F.concat(local, domain, F.get(F.array(F.lit("com"), F.lit("net"), F.lit("org")), _number(stream, 7) % 3))
     octets = [(_number(stream, 4 + 2 * k) % 256).cast("string") for k in range(3)]
     ip = F.concat_ws(".", (_number(stream, 0) % 15 + 240).cast("string"), *octets)
+    # Six groups of the network that is set aside for examples.
+    ip6 = F.concat_ws(":", F.lit("2001:db8"), *[F.substr(stream, F.lit(4 * k + 9), F.lit(4)) for k in range(6)])
     result = (
         F.when(unit == "email", email)
         .when(unit == "ip", ip)
-        .when(unit == "phone", _like(value, stream, 1))
+        .when(unit == "ip6", ip6)
+        # Later draws of a short number change its first digit too, as there are few others.
+        .when(unit == "phone", _like(value, stream, F.when(draw < 4, 1).otherwise(0)))
         .when(unit == "ssn", F.concat(F.lit("9"), F.substr(_like(value, stream), F.lit(2))))
         .when(unit == "iban", _like(value, stream, 2))
         .when((unit == "secret") & _is_hex(value), _like(value, stream, hexadecimal=True))
@@ -243,6 +272,8 @@ def _replacement() -> Column:
     only = found[0]
     title = F.regexp_extract(mention, rf"^{_TITLE}\.? ", 0)
     rest = F.substr(mention, F.char_length(title) + 1)
+    lead = F.regexp_extract(mention, f"^{_LEAD}", 0)
+    secret = F.substr(mention, F.char_length(lead) + 1)
 
     def capitals(name: Column) -> Column:
         return F.replace(F.initcap(F.replace(name, F.lit("-"), F.lit("- "))), F.lit("- "), F.lit("-"))
@@ -252,7 +283,7 @@ def _replacement() -> Column:
         F.when(kind == "person", F.concat(title, _cased(rest, names)))
         .when(kind.isin("phone", "card", "ssn"), _refill(mention, only, r"\p{Nd}"))
         .when(kind == "iban", _refill(mention, only, "A-Z0-9"))
-        .when((kind == "secret") & ~_is_hex(mention), only)
+        .when(kind == "secret", F.concat(lead, F.when(_is_hex(secret), _cased(secret, only)).otherwise(only)))
         .otherwise(_cased(mention, only))
     )
 
