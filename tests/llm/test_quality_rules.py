@@ -64,6 +64,29 @@ def test_divergent_texts_go_and_clean_ones_stay(spark):
     assert got[43] == got[0]
 
 
+COMMON_OF = {"en": COMMON, "fr": "le de la et les des un une que dans est pour qui sur pas au par il".split()}
+
+
+def written(lang, seed, n=300, share=0.4):
+    """A text of its language's common words and of invented ones."""
+    rng = np.random.default_rng(seed)
+    invented = ("".join(rng.choice(list("aeioubcdfglmnprst"), size=7)) for _ in range(n))
+    return " ".join(rng.choice(COMMON_OF[lang]) if rng.random() < share else w for w in invented)
+
+
+def in_languages(spark, rows):
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string")
+
+
+def test_other_languages_and_invented_words_go(spark):
+    clean = [(written(lang, i, n), lang) for lang in COMMON_OF for i, n in enumerate([60, 100, 300, 1000, 3000])]
+    wrong = [(written("fr", 50, n), "en") for n in (60, 300, 3000)] + [(written("en", 51, n), "fr") for n in (60, 300, 3000)]
+    wrong += [(written("en", 52, n, share=0), lang) for lang in COMMON_OF for n in (60, 300, 9000)]
+    known = language_references(in_languages(spark, [(written(lang, 100 + i), lang) for lang in COMMON_OF for i in range(30)]))
+    got = judged(in_languages(spark, clean + wrong), references=known)
+    assert [got[i]["kept"] for i in range(len(got))] == [True] * len(clean) + [False] * len(wrong)
+
+
 def test_without_languages_the_base_rules_decide(spark):
     docs = documents(spark, TEXTS + [prose(1)]).selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang")
     assert language_references(docs).languages == []

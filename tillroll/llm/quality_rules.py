@@ -3,7 +3,9 @@
 The base rules count words, symbols, repeated lines and repeated word windows. For the verdict, the
 histogram of character classes and that of a language's commonest words (with one bin for all other
 words) are compared with the same histograms of all documents of that language, by Jensen-Shannon
-distance (0: equal, 1: disjoint). A text that is too short for a histogram is not judged by it.
+distance (0: equal, 1: disjoint). The share of common words alone, which chance moves far less than
+the histogram, has a limit per language: half the distance of a text without any of them. A text
+whose share in another language is clearly higher, and normal there, is in that language and not in its own.
 
 References are counts over all documents. Only the ``COMMON_WORDS`` commonest words and the class
 counts of each language go through the driver.
@@ -42,6 +44,9 @@ LEAST_WORDS, MOST_REPEATED = 50, 50
 # chance, divided by the square root of the number of words. Shorter texts are not compared.
 MOST_CLASS_DISTANCE, CLASS_ALLOWANCE = 0.25, 0.4
 MOST_WORD_DISTANCE, WORD_ALLOWANCE = 0.44, 0.5
+# Part of the distance of a text without common words that is allowed, and the allowance for chance:
+# two and a half standard deviations of the distance, and two or more of the difference of two shares.
+MOST_SHARE, SHARE_ALLOWANCE = 0.5, 1.0
 LEAST_COMPARED = 50
 
 SYMBOLS = b"#*$%&|<>"
@@ -235,6 +240,37 @@ def _distances(words: Words, hashes, classes, languages: list, refs: References)
     return class_distance, word_distance
 
 
+def _share_distance(share: np.ndarray, usual: float) -> np.ndarray:
+    """Distance of shares of common words to the usual share, 0 where they are higher."""
+    low = np.minimum(share, usual)
+    return js_distance(np.stack([low, 1 - low], axis=-1), np.array([usual, 1 - usual]))
+
+
+def _common_shares(words: Words, hashes: np.ndarray, refs: References) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per reference and text: the share of common words, its distance, and the limit per reference."""
+    n = len(words.text_starts)
+    at = np.minimum(np.searchsorted(refs.hashes, hashes), len(refs.hashes) - 1)
+    common = refs.hashes[at] == hashes
+    at, text = at[common], words.text[common]
+    usual = 1 - refs.words[:, -1]
+    found = [np.bincount(text[refs.bins[k][at] < refs.words.shape[1] - 1], minlength=n) for k in range(len(usual))]
+    shares = np.stack(found) / np.maximum(words.counts(), 1)
+    distances = np.stack([_share_distance(x, u) for x, u in zip(shares, usual)])
+    limits = np.array([MOST_SHARE * _share_distance(np.zeros(1), u)[0] for u in usual])
+    return shares, distances, limits
+
+
+def _in_language(words: Words, hashes: np.ndarray, languages: list, refs: References) -> np.ndarray:
+    """False for texts with few of the common words of their language, or clearly more of another's."""
+    number = {lang: i for i, lang in enumerate(refs.languages)}
+    own = np.array([number.get(lang, -1) for lang in languages])
+    shares, distances, limits = _common_shares(words, hashes, refs)
+    chance = SHARE_ALLOWANCE / np.sqrt(np.maximum(words.counts(), 1))
+    column = np.arange(len(own))
+    foreign = ((shares > shares[own, column] + chance) & (distances <= limits[:, None])).any(axis=0)
+    return (own < 0) | ((distances[own, column] <= limits[own] + chance) & ~foreign)
+
+
 _METRICS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "class_distance double, word_distance double, base_failed boolean, kept boolean"
@@ -255,6 +291,7 @@ def _measures(texts: list[bytes], languages: list, refs: References) -> list[pa.
         chance = 1 / np.sqrt(np.maximum(n_words, 1))
         fits = by_class <= MOST_CLASS_DISTANCE + CLASS_ALLOWANCE * chance
         fits &= by_word <= MOST_WORD_DISTANCE + WORD_ALLOWANCE * chance
+        fits &= _in_language(words, hashes, languages, refs)
         kept &= fits | (n_words < LEAST_COMPARED)
     longs = (n_words, n_chars - classes[:, _SPACE], _symbols(words), repeated_lines(words), repeated)
     return [
