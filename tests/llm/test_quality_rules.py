@@ -87,6 +87,16 @@ def test_other_languages_and_invented_words_go(spark):
     assert [got[i]["kept"] for i in range(len(got))] == [True] * len(clean) + [False] * len(wrong)
 
 
+def test_languages_without_a_reference_are_left_to_the_base_rules(spark):
+    rng = np.random.default_rng(7)
+    russian = " ".join("".join(rng.choice(list("абвгдежиклмнопрст"), size=6)) for _ in range(300))
+    known = [(written(lang, 100 + i), lang) for lang in COMMON_OF for i in range(30)]
+    odd = [(russian, "ru"), (russian, None), (written("fr", 60), None), (written("fr", 60).replace(" ", "%%% %%% "), "fr")]
+    got = judged(in_languages(spark, odd + known))
+    assert [got[i]["kept"] for i in range(4)] == [True, True, True, False]
+    assert got[0]["word_distance"] == got[1]["word_distance"] == 0 < got[2]["word_distance"]
+
+
 def test_without_languages_the_base_rules_decide(spark):
     docs = documents(spark, TEXTS + [prose(1)]).selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang")
     assert language_references(docs).languages == []

@@ -10,9 +10,10 @@ whose share in another language is clearly higher, and normal there, is in that
 References are counts over all documents. Only the ``COMMON_WORDS`` commonest words and the class
 counts of each language go through the driver.
 
-Defined cases: a NULL text is empty and fails the base rules; a document whose language is NULL, or
-has too little text for a reference, is compared with the nearest reference, and without any
-reference the base rules decide; repeated rows are judged alike; an empty table gives no rows; other
+Defined cases: a NULL text is empty and fails the base rules; where a document's language has too
+little text for a reference, the base rules decide (distances of 0); a document whose language is NULL is
+compared with the nearest of the references whose usual share of common words it has, and without
+one the base rules decide; repeated rows are judged alike; an empty table gives no rows; other
 columns are kept if asked for.
 """
 
@@ -41,13 +42,12 @@ COMMON_WORDS = 100
 LEAST_REFERENCE_WORDS = 2000
 LEAST_WORDS, MOST_REPEATED = 50, 50
 # The largest distance of a document that is kept is a limit for long texts plus an allowance for
-# chance, divided by the square root of the number of words. Shorter texts are not compared.
+# chance, divided by the square root of the number of words.
 MOST_CLASS_DISTANCE, CLASS_ALLOWANCE = 0.25, 0.4
 MOST_WORD_DISTANCE, WORD_ALLOWANCE = 0.44, 0.5
 # Part of the distance of a text without common words that is allowed, and the allowance for chance:
 # two and a half standard deviations of the distance, and two or more of the difference of two shares.
 MOST_SHARE, SHARE_ALLOWANCE = 0.5, 1.0
-LEAST_COMPARED = 50
 
 SYMBOLS = b"#*$%&|<>"
 _LOWER, _UPPER, _DIGIT, _SPACE, _MARK, _SIGN, _WIDE, _OTHER, _INNER = range(9)
@@ -217,17 +217,14 @@ def _references(classes, common, common_words: int) -> References:
 # ------------------------------------------------------------------------------------ verdict
 
 
-def _distances(words: Words, hashes, classes, languages: list, refs: References):
-    """Class and word distance per text to the reference of its language, or to the nearest one."""
-    n, n_bins = len(languages), refs.words.shape[1]
-    number = {lang: i for i, lang in enumerate(refs.languages)}
-    own = np.array([number.get(lang, -1) for lang in languages])
+def _distances(words: Words, hashes, classes, asked_of: np.ndarray, refs: References):
+    """Class and word distance per text to the nearest of the references asked, or 0 without one."""
+    n, n_bins = len(words.text_starts), refs.words.shape[1]
     class_distance, word_distance = np.full(n, np.inf), np.full(n, np.inf)
     at = np.searchsorted(refs.hashes, hashes)
     at = np.minimum(at, len(refs.hashes) - 1)
     common = refs.hashes[at] == hashes
-    for k in range(len(refs.languages)):
-        asked = (own == k) | (own < 0)
+    for k, asked in enumerate(asked_of):
         if not asked.any():
             continue
         bins = np.where(common, refs.bins[k][at], n_bins - 1)
@@ -237,6 +234,8 @@ def _distances(words: Words, hashes, classes, languages: list, refs: References)
         nearer = by_class + by_word < class_distance[asked] + word_distance[asked]
         rows = np.flatnonzero(asked)[nearer]
         class_distance[rows], word_distance[rows] = by_class[nearer], by_word[nearer]
+    alone = ~asked_of.any(axis=0)
+    class_distance[alone] = word_distance[alone] = 0
     return class_distance, word_distance
 
 
@@ -260,15 +259,20 @@ def _common_shares(words: Words, hashes: np.ndarray, refs: References) -> tuple[
     return shares, distances, limits
 
 
-def _in_language(words: Words, hashes: np.ndarray, languages: list, refs: References) -> np.ndarray:
-    """False for texts with few of the common words of their language, or clearly more of another's."""
+def _in_language(words: Words, hashes: np.ndarray, languages: list, refs: References) -> tuple[np.ndarray, np.ndarray]:
+    """False for texts with few of the common words of their language, or clearly more of another's.
+
+    And per reference, the texts to compare with it.
+    """
     number = {lang: i for i, lang in enumerate(refs.languages)}
     own = np.array([number.get(lang, -1) for lang in languages])
     shares, distances, limits = _common_shares(words, hashes, refs)
     chance = SHARE_ALLOWANCE / np.sqrt(np.maximum(words.counts(), 1))
     column = np.arange(len(own))
     foreign = ((shares > shares[own, column] + chance) & (distances <= limits[:, None])).any(axis=0)
-    return (own < 0) | ((distances[own, column] <= limits[own] + chance) & ~foreign)
+    unnamed = np.array([lang is None for lang in languages])
+    asked_of = (own == np.arange(len(limits))[:, None]) | (unnamed & (distances <= limits[:, None]))
+    return (own < 0) | ((distances[own, column] <= limits[own] + chance) & ~foreign), asked_of
 
 
 _METRICS = (
@@ -287,12 +291,13 @@ def _measures(texts: list[bytes], languages: list, refs: References) -> list[pa.
     kept = ~failed
     by_class, by_word = np.zeros(len(texts)), np.zeros(len(texts))
     if refs.languages:
-        by_class, by_word = _distances(words, hashes, classes, languages, refs)
+        in_language, asked_of = _in_language(words, hashes, languages, refs)
+        by_class, by_word = _distances(words, hashes, classes, asked_of, refs)
         chance = 1 / np.sqrt(np.maximum(n_words, 1))
         fits = by_class <= MOST_CLASS_DISTANCE + CLASS_ALLOWANCE * chance
         fits &= by_word <= MOST_WORD_DISTANCE + WORD_ALLOWANCE * chance
-        fits &= _in_language(words, hashes, languages, refs)
-        kept &= fits | (n_words < LEAST_COMPARED)
+        fits &= in_language
+        kept &= fits
     longs = (n_words, n_chars - classes[:, _SPACE], _symbols(words), repeated_lines(words), repeated)
     return [
         *(pa.array(x.astype(np.int64)) for x in longs),
