@@ -6,7 +6,7 @@ import functools
 
 import corpus_pipeline
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import bpe
@@ -14,6 +14,7 @@ from tillroll.llm.chat import format_conversations, loss_texts, read_turns
 from tillroll.llm.exact_dedup import exact_duplicates
 from tillroll.llm.language_id import identify_languages, train_language_models
 from tillroll.llm.lm_scoring import cross_entropy_difference
+from tillroll.llm.merkle import fold_path, leaf_digest, merkle_manifest, path_digest
 from tillroll.llm.near_dedup import near_duplicates
 from tillroll.llm.packing import pack, token_pieces
 from tillroll.llm.pii import replace_pii
@@ -164,6 +165,95 @@ _OP10_SQL = r"""
     )
     SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM ranked"""
 
+
+def _crc32(spelled: Column) -> Column:
+    return F.crc32(F.coalesce(spelled.cast("string"), F.lit("")).cast("binary"))
+
+
+# CRC-32 in SQL, with a table of the 256 bytes' remainders.
+_CRC_TABLE = """crc_table AS (
+        SELECT list(r ORDER BY i) AS crc_table FROM (
+            SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS r
+            FROM range(256) AS b(i)))"""
+
+
+def _crc32_sql(spelled: str) -> str:
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+        [ascii(x)::BIGINT FOR x IN string_split({spelled}, '') IF x <> '']),
+        lambda c, x: xor(c >> 8, crc_table[xor(c & 255, x) + 1])))"""
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, and what half of them fold to with their line feeds deleted."""
+    docs = _table(spark, sf_dir, "documents")
+    tampered = F.when(_crc32(F.col("doc_id")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    changed = leaf_digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), tampered)
+    listed = merkle_manifest(docs.withColumn("changed_leaf", changed), keep=["doc_id", "changed_leaf"])
+    folded = listed.withColumn("folded_root", fold_path(F.col("changed_leaf"), F.col("path")))
+    return folded.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        path_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ["doc_id", "source", "lang", "n_chars", text]
+    parts = [f"coalesce(strlen({f}::VARCHAR) || ':' || {f}::VARCHAR, '-')" for f in fields]
+    return f"sha256({' || '.join(parts)})"
+
+
+_OP11_SQL = f"""
+    WITH RECURSIVE {_CRC_TABLE}, hashed AS (
+        SELECT doc_id, source, {_leaf_sql("text")} AS leaf,
+            CASE WHEN {_crc32_sql("coalesce(doc_id::VARCHAR, '')")} % 2 = 0
+                THEN {_leaf_sql("replace(text, chr(10), '')")} ELSE {_leaf_sql("text")} END AS changed
+        FROM documents, crc_table
+    ), numbered AS (
+        SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, changed) - 1 AS i FROM hashed
+    ), nodes AS (
+        SELECT source, 0 AS level, i, leaf AS node, count(*) OVER (PARTITION BY source) AS n FROM numbered
+        UNION ALL
+        SELECT source, level + 1, i // 3, sha256(string_agg(node, '' ORDER BY i)), (any_value(n) + 2) // 3
+        FROM nodes WHERE n > 1 GROUP BY source, level, i // 3
+    ), subroots AS (
+        SELECT source, level AS top, node AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS s
+        FROM nodes WHERE n = 1
+    ), upper AS (
+        SELECT 0 AS level, s AS i, subroot AS node, count(*) OVER () AS n FROM subroots
+        UNION ALL
+        SELECT level + 1, i // 3, sha256(string_agg(node, '' ORDER BY i)), (any_value(n) + 2) // 3
+        FROM upper WHERE n > 1 GROUP BY level, i // 3
+    ), steps AS (
+        SELECT source, level, i // 3 AS run, list(struct_pack(i := i, node := node) ORDER BY i) AS children
+        FROM nodes WHERE n > 1 GROUP BY source, level, i // 3
+    ), upper_steps AS (
+        SELECT level, i // 3 AS run, list(struct_pack(i := i, node := node) ORDER BY i) AS children
+        FROM upper WHERE n > 1 GROUP BY level, i // 3
+    ), walk AS (
+        SELECT doc_id, leaf, changed, subroot, top, s, source, 0 AS level, i, changed AS folded, '' AS proof
+        FROM numbered JOIN subroots USING (source)
+        UNION ALL
+        SELECT w.doc_id, w.leaf, w.changed, w.subroot, w.top, w.s, w.source, w.level + 1,
+            CASE WHEN w.level + 1 = w.top THEN w.s ELSE w.i // 3 END,
+            sha256(list_aggregate([CASE WHEN c.i = w.i THEN w.folded ELSE c.node END FOR c IN x.children], 'string_agg', '')),
+            w.proof || coalesce(list_aggregate([c.node FOR c IN x.children IF c.i <> w.i], 'string_agg', ''), '')
+        FROM walk w JOIN (
+            SELECT source, level, run, children FROM steps
+            UNION ALL
+            SELECT source, top + level, run, children FROM upper_steps, subroots
+        ) x ON x.source IS NOT DISTINCT FROM w.source AND x.level = w.level AND x.run = w.i // 3
+    )
+    SELECT doc_id, leaf, subroot, (SELECT node FROM upper WHERE n = 1) AS root, sha256(proof) AS proof_sha256,
+        folded AS folded_root, folded = (SELECT node FROM upper WHERE n = 1) AS verified
+    FROM walk WHERE level = top + (SELECT max(level) FROM upper)"""
+
+
 def _shipped(query):
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,6 +274,7 @@ _QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_pii_surrogates": op9_pii_surrogates,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 QUERIES = {name: _shipped(query) for name, query in _QUERIES.items()}
@@ -193,4 +284,5 @@ ORACLE_SQL = {
     "op1_chat_format": _OP1_SQL,
     "op2_near_dedup": _OP2_SQL,
     "op10_exact_dedup": _OP10_SQL,
+    "op11_merkle_manifest": _OP11_SQL,
 }
