@@ -18,6 +18,7 @@ from tillroll.llm.merkle import fold_path, leaf_digest, merkle_manifest, path_di
 from tillroll.llm.near_dedup import near_duplicates
 from tillroll.llm.packing import pack, token_pieces
 from tillroll.llm.pii import replace_pii
+from tillroll.llm.prefix_trie import trie_with_ends
 from tillroll.llm.quality_rules import quality_rules
 from tillroll.llm.sharding import shard_by_bytes
 from tillroll.llm.shipping import ship_package
@@ -254,6 +255,52 @@ _OP11_SQL = f"""
     FROM walk WHERE level = top + (SELECT max(level) FROM upper)"""
 
 
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of conversations that begin with turns of the first of their family."""
+    nodes = trie_with_ends(_table(spark, sf_dir, "conversations"), shared=True)
+    totals = ["n_convs", "n_children", "n_leaves", "saved_tokens"]
+    return nodes.select("conv_id", "depth", "parent_conv_id", *totals, "ends_sha256")
+
+
+_OP13_SQL = rf"""
+    WITH {_CRC_TABLE}, turns AS (
+        SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+            row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                sha256(coalesce(text, ''))) AS p
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), ids AS (
+        SELECT c, c - c % 20 AS base, {_crc32_sql("c::VARCHAR")} % 4 AS h FROM (SELECT DISTINCT c FROM turns), crc_table
+    ), rebuilt AS (
+        SELECT i.c, 0 AS own, t.p, role, text FROM ids i JOIN turns t ON t.c = i.base AND t.p <= i.h
+        UNION ALL
+        SELECT i.c, 1, t.p, role, text FROM ids i JOIN turns t ON t.c = i.c AND t.p > i.h
+    ), steps AS (
+        SELECT c, row_number() OVER (PARTITION BY c ORDER BY own, p) AS d,
+            sha256(strlen(role) || ':' || role || text) AS token,
+            len(regexp_extract_all(text, '[^ 	-]+')) AS words
+        FROM rebuilt
+    ), paths AS (
+        SELECT c, d, array_to_string(list(token) OVER (PARTITION BY c ORDER BY d), ',') AS node, words FROM steps
+        UNION ALL SELECT c, 0, '', 0 FROM ids
+    ), placed AS (
+        SELECT *, lag(node) OVER (PARTITION BY c ORDER BY d) AS parent, d = max(d) OVER (PARTITION BY c) AS ends FROM paths
+    ), nodes AS (
+        SELECT node, any_value(parent) AS parent, any_value(d) AS depth, min(c) AS conv_id, count(*) AS n_convs,
+            any_value(words) AS words, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '') AS ends
+        FROM placed GROUP BY node
+    ), children AS (SELECT parent AS node, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+    below AS (SELECT DISTINCT a.node AS top, b.node FROM placed a JOIN placed b ON a.c = b.c AND b.d >= a.d),
+    totals AS (
+        SELECT top, count(*) FILTER (k.n IS NULL) AS n_leaves, sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+        FROM below JOIN nodes USING (node) LEFT JOIN children k USING (node) GROUP BY top
+    )
+    SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children, n_leaves,
+        saved_tokens, sha256(n.ends) AS ends_sha256
+    FROM nodes n JOIN totals t ON t.top = n.node LEFT JOIN nodes p ON p.node = n.parent
+    LEFT JOIN children k ON k.node = n.node"""
+
+
 def _shipped(query):
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,6 +322,7 @@ _QUERIES = {
     "op9_pii_surrogates": op9_pii_surrogates,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_prefix_trie": op13_prefix_trie,
     "pipeline": corpus_pipeline.run,
 }
 QUERIES = {name: _shipped(query) for name, query in _QUERIES.items()}
@@ -285,4 +333,5 @@ ORACLE_SQL = {
     "op2_near_dedup": _OP2_SQL,
     "op10_exact_dedup": _OP10_SQL,
     "op11_merkle_manifest": _OP11_SQL,
+    "op13_prefix_trie": _OP13_SQL,
 }
