@@ -61,6 +61,34 @@ def test_nulls_and_repeated_rows(spark):
     assert states[5].select("doc_id").distinct().count() == 3
 
 
+LONGER = " ".join(f"word{i}" for i in range(80))
+OTHER = " ".join(f"other{i}" for i in range(80))
+
+
+@pytest.mark.parametrize(
+    "rows, want",
+    [
+        ([(1, "foo one"), (1, "bar two"), (2, "baz")], [(1, "bar two"), (1, "foo one"), (2, "baz")]),
+        ([(0, "foo one"), (1, "foo one"), (1, "bar two")], [(0, "foo one"), (1, "bar two")]),
+        ([(1, "a b"), (1, "a b"), (1, "a  b"), (1, None), (None, "a b")], [(1, None), (1, "a  b"), (None, "a b")]),
+    ],
+)
+def test_exact_copies_by_id_and_text(spark, rows, want):
+    docs = documents(spark, []).select(COLUMNS).unionByName(
+        spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    )
+    out = corpus_pipeline.drop_copies(spark, docs, TESTDATA)
+    assert out.columns == COLUMNS
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_near_copies_by_id_and_text(spark):
+    rows = [(0, LONGER), (1, LONGER + " more"), (1, OTHER), (1, OTHER), (2, "short one"), (2, "another short one")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.drop_near_copies(spark, docs, TESTDATA).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in out) == sorted([(0, LONGER), (1, OTHER), *rows[4:]])
+
+
 def test_empty_documents(spark):
     assert [s.count() for s in run_stages(spark, documents(spark, []).select(COLUMNS))] == [0] * 6
 

@@ -1,10 +1,11 @@
+import math
 import re
 from collections import Counter
 
 import numpy as np
 import pytest
 
-from tests.llm.helpers import HARD_TEXTS, documents, near_copies
+from tests.llm.helpers import HARD_TEXTS, TESTDATA, documents, near_copies, needs_tables
 from tillroll.llm.quality_rules import js_distance, language_references, quality_rules
 
 TEXTS = [
@@ -117,3 +118,112 @@ def test_columns_with_any_name_are_kept(spark):
 @pytest.mark.parametrize("left, right, want", [([1, 0], [1, 0], 0), ([1, 0], [0, 1], 1), ([0.5, 0.5], [1, 0], 0.5579)])
 def test_distance(left, right, want):
     assert js_distance(np.array(left), np.array(right)) == pytest.approx(want, abs=1e-4)
+
+
+# ---------------------------------------------------------------------- the verdict, worked out plainly
+
+
+def plain_js(left, right):
+    total = 0.0
+    for a, b in zip(left, right):
+        for x in (a, b):
+            if x > 0:
+                total += x * math.log2(x / ((a + b) / 2)) / 2
+    return math.sqrt(min(max(total, 0), 1))
+
+
+def plain_classes(text):
+    counts = [0] * 8
+    for c in text:
+        at = (
+            3 if c in " \t\n\v\f\r" else 6 if ord(c) > 127 else 0 if "a" <= c <= "z" else 1 if "A" <= c <= "Z"
+            else 2 if "0" <= c <= "9" else 4 if c in ".,;:!?'\"()-" else 5 if 33 <= ord(c) < 127 else 7
+        )
+        counts[at] += 1
+    return counts
+
+
+def plain_verdicts(rows):
+    """(kept, class distance, word distance) per row of (text, lang), against references from all rows."""
+    words_of = [re.findall(r"[^\x20\x09-\x0D]+", text or "") for text, _ in rows]
+    refs = {}
+    for lang in {lang for _, lang in rows if lang is not None}:
+        own = [i for i, (_, other) in enumerate(rows) if other == lang]
+        count = Counter(w for i in own for w in words_of[i])
+        total = sum(count.values())
+        if total >= 2000:
+            top = sorted(count, key=lambda w: (-count[w], w.encode()))[:100]
+            classes = [sum(x) for x in zip(*(plain_classes(rows[i][0] or "") for i in own))]
+            shares = [count[w] / total for w in top] + [0.0] * (100 - len(top))
+            refs[lang] = ([c / max(sum(classes), 1) for c in classes], top, [*shares, 1 - sum(shares)])
+    result = []
+    for (text, lang), words in zip(rows, words_of):
+        n, classes = len(words), plain_classes(text or "")
+        chance = 1 / math.sqrt(max(n, 1))
+        found, share, far = {}, {}, {}
+        for name, (of_class, top, of_word) in refs.items():
+            place = {w: k for k, w in enumerate(top)}
+            histogram = [0] * 101
+            for w in words:
+                histogram[place.get(w, 100)] += 1
+            by_word = plain_js([h / max(n, 1) for h in histogram], of_word)
+            by_class = plain_js([c / max(sum(classes), 1) for c in classes], of_class)
+            found[name] = (by_class, by_word)
+            usual = 1 - of_word[-1]
+            share[name] = sum(w in place for w in words) / max(n, 1)
+            low = min(share[name], usual)
+            far[name] = plain_js([low, 1 - low], [usual, 1 - usual]), 0.5 * plain_js([0, 1], [usual, 1 - usual])
+        asked = [lang] if lang in refs else [k for k in refs if lang is None and far[k][0] <= far[k][1]]
+        by_class, by_word = min((found[k] for k in sorted(asked)), key=sum, default=(0.0, 0.0))
+        fits = by_class <= 0.25 + 0.4 * chance and (n < 100 or by_word <= 0.44 + 0.5 * chance)
+        if lang in refs:
+            foreign = any(share[k] > share[lang] + chance and far[k][0] <= far[k][1] for k in refs)
+            fits = fits and far[lang][0] <= far[lang][1] + chance and not foreign
+        base_failed = expected(text)[5]
+        result.append((fits and not base_failed, by_class, by_word))
+    return result
+
+
+def compare_verdicts(spark, rows):
+    got = judged(in_languages(spark, rows))
+    want = plain_verdicts(rows)
+    for i, (kept, by_class, by_word) in enumerate(want):
+        assert got[i]["kept"] == kept, rows[i][0][:80]
+        assert got[i]["class_distance"] == pytest.approx(by_class, abs=1e-9)
+        assert got[i]["word_distance"] == pytest.approx(by_word, abs=1e-9)
+    return want
+
+
+def test_verdicts_equal_a_plain_version(spark):
+    rows = [(written(lang, i, n), lang) for lang in COMMON_OF for i, n in enumerate([40, 60, 99, 100, 101, 300, 1000])]
+    rows += [(t, lang) for t, _ in rows[:6] for lang in (None, "fr", "xx")]
+    rows += [(t, lang) for t in TEXTS for lang in ("en", None)]
+    rows += [(" ".join(["$$$ %%% a B 9"] * 30), "en"), (written("en", 9, 200, share=0), None)]
+    rows += [(written(lang, 100 + i), lang) for lang in COMMON_OF for i in range(12)]
+    want = compare_verdicts(spark, rows)
+    assert 10 < sum(kept for kept, _, _ in want) < len(rows) - 10
+
+
+@needs_tables
+def test_verdicts_of_a_whole_table_equal_a_plain_version(spark):
+    docs = spark.read.parquet(f"{TESTDATA}/documents.parquet").collect()
+    compare_verdicts(spark, [(r["text"], r["lang"]) for r in docs])
+
+
+def test_short_texts_are_not_compared_by_common_words(spark):
+    rng = np.random.default_rng(3)
+    known = language_references(in_languages(spark, [(written("en", 100 + i), "en") for i in range(30)]))
+
+    def one_word(n):  # the usual share of common words, but always the same one
+        return " ".join("the" if rng.random() < 0.4 else f"w{rng.integers(10**9)}" for _ in range(n))
+
+    got = judged(in_languages(spark, [(one_word(99), "en"), (one_word(400), "en")]), references=known)
+    assert [got[i]["word_distance"] > 0.44 + 0.5 / math.sqrt(n) for i, n in enumerate((99, 400))] == [True, True]
+    assert not got[1]["kept"]
+
+
+def test_only_the_largest_languages_get_a_reference(spark):
+    rows = [(written("en", i), lang) for i in range(24) for lang in (["a"] * 2 + ["b"])] + [("x y", f"junk{i}") for i in range(50)]
+    docs = in_languages(spark, rows)
+    assert language_references(docs).languages == ["a", "b"]
+    assert language_references(docs, most_languages=1).languages == ["a"]

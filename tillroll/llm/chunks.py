@@ -9,6 +9,7 @@ import numpy as np
 from tillroll.llm.words import hash_ranges
 
 
+_Encode = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 _AT_ONCE = 16_384
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
@@ -42,17 +43,25 @@ def gather(flat: np.ndarray, bounds: np.ndarray, rows: np.ndarray) -> tuple[np.n
 
 
 class ChunkCoder:
-    """Remembers ids by the hash of a chunk's bytes; ``limit`` bounds what a worker keeps.
+    """Remembers ids by the hash of a chunk's bytes; ``limit`` bounds the bytes that a worker keeps.
 
     ``encode`` gives the ids of distinct chunks, one after the other, and their number per chunk.
     Python workers are reused, so that later batches and tasks find most of their chunks known. What
-    is known lies in plain arrays, some 25 bytes a chunk.
+    is known lies in plain arrays, some 30 bytes a chunk.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], limit: int = 1_000_000):
+    def __init__(self, encode: _Encode | None = None, limit: int = 32 << 20):
         self._encode, self._limit = encode, limit
         self._clear()
 
+    def using(self, encode: _Encode) -> ChunkCoder:
+        """This coder, with what encodes unknown chunks from now on."""
+        self._encode = encode
+        return self
+
+    def held_bytes(self) -> int:
+        return self._hashes.nbytes + self._rows.nbytes + self._bounds.nbytes + self._ids.nbytes
+
     def _clear(self) -> None:
         self._hashes = np.empty(0, dtype=np.uint64)  # sorted
         self._rows = np.empty(0, dtype=np.int32)  # of each hash
@@ -84,7 +93,7 @@ class ChunkCoder:
         """All ids of the chunks ``starts:ends`` in order, and the number of ids of each chunk."""
         hashes = hash_ranges(data, raw, starts, ends)
         distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self) + len(distinct) > self._limit:
+        if self.held_bytes() > self._limit:
             self._clear()
         at, found = self._known(distinct)
         if not found.all():

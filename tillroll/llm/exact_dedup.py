@@ -55,66 +55,72 @@ def _fingerprint(digest: bytes) -> int:
 
 def _fingerprints(owners: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list = []
-        lengths: list[int] = []
-        prints: list[int] = []
-        digests: list[str] = []
+        # 48 bytes a row, and the ids as they came
+        ids: list[pa.Array] = []
+        lengths: list[np.ndarray] = []
+        digests: list[np.ndarray] = []
         for batch in batches:
-            ids.extend(batch.column(0).to_pylist())
-            for raw, n_chars in _stripped(batch.column(1)):
-                digest = hashlib.sha256(raw)
-                lengths.append(n_chars)
-                prints.append(_fingerprint(digest.digest()))
-                digests.append(digest.hexdigest())
+            ids.append(pa.concat_arrays([batch.column(0)]))
+            blob, sizes = bytearray(), np.empty(len(batch), dtype=np.int64)
+            for i, (raw, n_chars) in enumerate(_stripped(batch.column(1))):
+                blob += hashlib.sha256(raw).digest()
+                sizes[i] = n_chars
+            lengths.append(sizes)
+            digests.append(np.frombuffer(bytes(blob), dtype=np.uint8).reshape(-1, 32))
         if ids:
-            yield from _messages(owners, ids, lengths, np.array(prints, dtype=np.int64), digests)
+            yield from _messages(owners, pa.concat_arrays(ids), np.concatenate(lengths), np.concatenate(digests))
 
     return run
 
 
-def _messages(owners, ids, lengths, prints, digests) -> Iterator[pa.RecordBatch]:
+_ROWS_AT_ONCE = 20_000
+
+
+def _messages(owners, ids: pa.Array, lengths: np.ndarray, digests: np.ndarray) -> Iterator[pa.RecordBatch]:
     """A row per document with its place in the message to its owner, then the messages."""
     part = TaskContext.get().partitionId()
+    prints = np.ascontiguousarray(digests[:, :8]).view("<i8").ravel()
     values, inverse, counts = np.unique(
         prints.view(np.uint64), return_inverse=True, return_counts=True
     )
     span = np.uint64(-(-(1 << 64) // owners) if owners > 1 else (1 << 64) - 1)
     value_owner = np.minimum(values // span, np.uint64(owners - 1)).astype(np.int32)
     bounds = np.searchsorted(value_owner, np.arange(owners + 1))
-    place = np.arange(len(values)) - bounds[value_owner]
-    n = len(ids)
+    place = (np.arange(len(values)) - bounds[value_owner]).astype(np.int32)
     names = [field.split()[0] for field in _ROWS.split(", ")]
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(ids, pa.int64()),
-            pa.array(lengths, pa.int64()),
-            pa.array(prints),
-            pa.array(digests),
-            pa.array(np.full(n, part, dtype=np.int64)),
-            pa.array(value_owner[inverse]),
-            pa.array(place[inverse].astype(np.int32)),
-            pa.array(counts[inverse] > 1),
-            pa.nulls(n, pa.binary()),
-        ],
-        names=names,
-    )
-    sent = [o for o in range(owners) if bounds[o] < bounds[o + 1]]
-    blobs = [golomb.encode(values[bounds[o] : bounds[o + 1]]) for o in sent]
-    m = len(sent)
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.nulls(m, pa.int64()),
-            pa.nulls(m, pa.int64()),
-            pa.nulls(m, pa.int64()),
-            pa.nulls(m, pa.string()),
-            pa.array(np.full(m, part, dtype=np.int64)),
-            pa.array(sent, pa.int32()),
-            pa.nulls(m, pa.int32()),
-            pa.nulls(m, pa.bool_()),
-            pa.array(blobs, pa.binary()),
-        ],
-        names=names,
-    )
+    for start in range(0, len(ids), _ROWS_AT_ONCE):
+        rows = slice(start, start + _ROWS_AT_ONCE)
+        at = inverse[rows]
+        n = len(at)
+        yield pa.RecordBatch.from_arrays(
+            [
+                ids.slice(start, n),
+                pa.array(lengths[rows]),
+                pa.array(prints[rows]),
+                pa.array([digest.tobytes().hex() for digest in digests[rows]], pa.string()),
+                pa.array(np.full(n, part, dtype=np.int64)),
+                pa.array(value_owner[at]),
+                pa.array(place[at]),
+                pa.array(counts[at] > 1),
+                pa.nulls(n, pa.binary()),
+            ],
+            names=names,
+        )
+    for owner in np.flatnonzero(np.diff(bounds)).tolist():
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.nulls(1, pa.int64()),
+                pa.nulls(1, pa.int64()),
+                pa.nulls(1, pa.int64()),
+                pa.nulls(1, pa.string()),
+                pa.array([part], pa.int64()),
+                pa.array([owner], pa.int32()),
+                pa.nulls(1, pa.int32()),
+                pa.nulls(1, pa.bool_()),
+                pa.array([golomb.encode(values[bounds[owner] : bounds[owner + 1]])], pa.binary()),
+            ],
+            names=names,
+        )
 
 
 def _answers(messages: pd.DataFrame) -> pd.DataFrame:

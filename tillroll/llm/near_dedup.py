@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.components import connected_components
 from tillroll.llm.key_filter import broadcast_filter, possible
 from tillroll.llm.staging import staged
-from tillroll.llm.words import find_words, mix, text_blocks, window_hashes, word_hashes
+from tillroll.llm.words import SMALL_BLOCK, find_words, mix, text_blocks, window_hashes, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 75
@@ -122,7 +122,7 @@ def registers(values: np.ndarray, owner: np.ndarray, n_texts: int) -> np.ndarray
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for start, stop, texts in text_blocks(batch):
+        for start, stop, texts in text_blocks(batch, limit=SMALL_BLOCK):
             values, owner = shingles(texts)
             n = len(texts)
             sizes = np.bincount(owner, minlength=n)
@@ -208,7 +208,7 @@ def _sets_of(wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hits = possible(wanted.value, batch.column(2).to_numpy())
-            for start, stop, texts in text_blocks(batch.filter(pa.array(hits))):
+            for start, stop, texts in text_blocks(batch.filter(pa.array(hits)), limit=SMALL_BLOCK):
                 values, owner = shingles(texts)
                 bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
                 spans = list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))

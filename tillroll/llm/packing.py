@@ -20,7 +20,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import reduce
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,26 +36,34 @@ PARTITION_PIECES = 20_000
 _MAX_EXCHANGES = 8
 _BATCH = 4096
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
-_coders: dict[str, ChunkCoder] = {}
+# Ids that a worker remembers from task to task; the tokenizer itself goes with the task.
+_known: dict[str, ChunkCoder] = {}
 
 
-def _coder(path: str) -> ChunkCoder:
-    if path not in _coders:
+class _Encoder:
+    """Ids of chunks by a tokenizer that is read when the first unknown chunk comes."""
+
+    def __init__(self, path: str):
+        self._path, self._tokenizer = path, None
+
+    def _load(self):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
+        self._tokenizer = Tokenizer.from_file(self._path)
+        self._tokenizer.no_truncation()
+        self._tokenizer.no_padding()
 
-        def encode(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-            ids: list[list[int]] = []
-            for at in range(0, len(chunks), _BATCH):
-                texts = [chunk.decode() for chunk in chunks[at : at + _BATCH]]
-                ids.extend(e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False))
-            return np.array([*chain.from_iterable(ids)], dtype=np.int32), np.array([*map(len, ids)])
+    def close(self) -> None:
+        self._tokenizer = None
 
-        _coders[path] = ChunkCoder(encode)
-    return _coders[path]
+    def __call__(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        if self._tokenizer is None:
+            self._load()
+        ids: list[np.ndarray] = []
+        for at in range(0, len(chunks), _BATCH):
+            texts = [chunk.decode() for chunk in chunks[at : at + _BATCH]]
+            ids += [np.array(e.ids, dtype=np.int32) for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.concatenate(ids), np.array([*map(len, ids)])
 
 
 def token_pieces(
@@ -69,7 +76,8 @@ def token_pieces(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(tokenizer_path)
+        encoder = _Encoder(tokenizer_path)
+        coder = _known.setdefault(tokenizer_path, ChunkCoder()).using(encoder)
         for batch in batches:
             for start, stop, texts in text_blocks(batch):
                 words = find_words(texts)
@@ -99,6 +107,7 @@ def token_pieces(
                     columns.append(pa.array(held, pa.list_(pa.int32())))
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(columns)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        encoder.close()
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return texts.mapInArrow(run, _PIECE + (", ids array<int>" if with_ids else ""))

@@ -7,11 +7,15 @@ distance (0: equal, 1: disjoint). The share of common words alone, which chance
 the histogram, has a limit per language: half the distance of a text without any of them. A text
 whose share in another language is clearly higher, and normal there, is in that language and not in its own.
 
-References are counts over all documents. Only the ``COMMON_WORDS`` commonest words and the class
-counts of each language go through the driver.
+A document of fewer than ``LEAST_COMPARED`` words is judged without the histogram of common words, which says
+nothing of so few; its classes and its share of common words count, with an allowance for its length.
+
+References are counts over all documents, added up in each task before they are shuffled. Only the
+``COMMON_WORDS`` commonest words and the class counts of ``MOST_LANGUAGES`` languages at most go through the
+driver.
 
 Defined cases: a NULL text is empty and fails the base rules; where a document's language has too
-little text for a reference, the base rules decide (distances of 0); a document whose language is NULL is
+little text for a reference, or is not among the ``MOST_LANGUAGES`` largest, the base rules decide (distances of 0); a document whose language is NULL is
 compared with the nearest of the references whose usual share of common words it has, and without
 one the base rules decide; repeated rows are judged alike; an empty table gives no rows; other
 columns are kept if asked for.
@@ -27,7 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.llm.staging import staged
 from tillroll.llm.words import (
+    SMALL_BLOCK,
     SPACE,
     Words,
     find_words,
@@ -40,6 +46,11 @@ from tillroll.llm.words import (
 
 COMMON_WORDS = 100
 LEAST_REFERENCE_WORDS = 2000
+MOST_LANGUAGES = 500
+# The histogram of common words of a shorter document says nothing.
+LEAST_COMPARED = 100
+# What a task counts at a time.
+DISTINCT_WORDS = 200_000
 LEAST_WORDS, MOST_REPEATED = 50, 50
 # The largest distance of a document that is kept is a limit for long texts plus an allowance for
 # chance, divided by the square root of the number of words.
@@ -149,53 +160,124 @@ def _shares(counts: np.ndarray) -> np.ndarray:
 # --------------------------------------------------------------------------------- references
 
 
-def _class_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class _WordCounts:
+    """Counts per language and word, for so many distinct ones at a time."""
+
+    def __init__(self):
+        self._clear()
+
+    def _clear(self) -> None:
+        self._keys = np.empty(0, dtype=np.uint64)
+        self._counts = np.empty(0, dtype=np.int64)
+        self._names: list[tuple[str, bytes]] = []
+        self._rows = np.empty(0, dtype=np.int64)  # of ``_names``, per key
+
+    def __len__(self) -> int:
+        return len(self._keys)
+
+    def add(self, words: Words, hashes: np.ndarray, languages: list[str]) -> None:
+        """Count the words of texts in the given languages."""
+        names = sorted(set(languages))
+        number = {lang: i for i, lang in enumerate(names)}
+        salts = mix(hash_ranges(*_packed([lang.encode() for lang in names])))  # no word's own hash
+        own = np.array([number[lang] for lang in languages], dtype=np.int32)[words.text]
+        keys, first, counts = np.unique(mix(hashes ^ salts[own]), return_index=True, return_counts=True)
+        at = np.searchsorted(self._keys, keys)
+        known = np.zeros(len(keys), dtype=bool)
+        inside = at < len(self._keys)
+        known[inside] = self._keys[at[inside]] == keys[inside]
+        self._counts[at[known]] += counts[known]
+        fresh, new = first[~known], ~known
+        rows = len(self._names) + np.arange(len(fresh))
+        starts, ends = words.starts[fresh].tolist(), words.ends[fresh].tolist()
+        self._names += [(names[k], words.raw[s:e]) for k, s, e in zip(own[fresh].tolist(), starts, ends)]
+        self._keys = np.insert(self._keys, at[new], keys[new])
+        self._counts = np.insert(self._counts, at[new], counts[new])
+        self._rows = np.insert(self._rows, at[new], rows)
+
+    def take(self) -> pa.RecordBatch:
+        """All counts so far as rows, which are then forgotten."""
+        langs, words = zip(*self._names) if self._names else ([], [])
+        counts = np.empty(len(self), dtype=np.int64)
+        counts[self._rows] = self._counts
+        self._clear()
+        columns = [pa.array(langs, pa.string()), pa.nulls(len(counts), pa.int32())]
+        return _counted(*columns, pa.array(words, pa.binary()), pa.array(counts))
+
+
+def _packed(values: list[bytes]) -> tuple[np.ndarray, bytes, np.ndarray, np.ndarray]:
+    """Byte strings as one buffer and their ranges in it."""
+    raw = b"".join(values)
+    ends = np.cumsum([len(v) for v in values])
+    return np.frombuffer(raw + bytes(80), dtype=np.uint8), raw, ends - [len(v) for v in values], ends
+
+
+_COUNTED = "lang string, class int, word binary, n long"
+
+
+def _counted(*columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns), names=[field.split()[0] for field in _COUNTED.split(", ")])
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Characters per language and class (``word`` NULL) and words per language (``class`` NULL).
+
+    Added up in the task, for no more than ``DISTINCT_WORDS`` words at a time.
+    """
+    sums: dict[str, np.ndarray] = {}
+    counts = _WordCounts()
     for batch in batches:
         languages = batch.column(1).to_pylist()
-        sums: dict[str, np.ndarray] = {}
-        for start, _, texts in text_blocks(batch):
-            counts = class_counts(find_words(texts))
-            for i, row in enumerate(counts):
-                lang = languages[start + i]
+        for start, stop, texts in text_blocks(batch, limit=SMALL_BLOCK):
+            words = find_words(texts)
+            for lang, row in zip(languages[start:stop], class_counts(words)):
                 sums[lang] = sums.get(lang, 0) + row
-        rows = [(lang, k, int(v)) for lang, row in sums.items() for k, v in enumerate(row)]
-        columns = list(zip(*rows)) or [[], [], []]
-        kinds = (pa.string(), pa.int32(), pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["lang", "class", "n"]
-        )
+            counts.add(words, word_hashes(words), languages[start:stop])
+            if len(counts) > DISTINCT_WORDS or len(sums) > DISTINCT_WORDS:
+                yield counts.take()
+                yield _class_rows(sums)
+                sums = {}
+    yield counts.take()
+    yield _class_rows(sums)
+
 
+def _class_rows(sums: dict[str, np.ndarray]) -> pa.RecordBatch:
+    rows = [(lang, k, int(v)) for lang, row in sums.items() for k, v in enumerate(row)]
+    langs, classes, counts = zip(*rows) if rows else ([], [], [])
+    columns = [pa.array(langs, pa.string()), pa.array(classes, pa.int32())]
+    return _counted(*columns, pa.nulls(len(rows), pa.binary()), pa.array(counts, pa.int64()))
 
-def language_references(docs: DataFrame, common_words: int = COMMON_WORDS) -> References:
-    """References from all documents with a language."""
+
+def language_references(
+    docs: DataFrame, common_words: int = COMMON_WORDS, most_languages: int = MOST_LANGUAGES
+) -> References:
+    """References from all documents with a language.
+
+    Only the ``most_languages`` with most words, of those that have enough, get one.
+    """
     known = docs.select("text", F.col("lang").cast("string").alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
-    classes = known.mapInArrow(_class_sums, "lang string, class int, n long").groupBy("lang", "class").agg(
-        F.sum("n").alias("n")
-    )
-    counted = (
-        known.select("lang", F.explode(F.split("text", r"[\x20\x09-\x0D]+")).alias("word"))
-        .where("word <> ''")
-        .groupBy("lang", "word")
-        .agg(F.count("*").alias("n"))
-    )
+    summed = known.mapInArrow(_counts, _COUNTED).groupBy("lang", "class", "word").agg(F.sum("n").alias("n"))
+    counted = staged(summed, "language-counts")
+    words = counted.where("class IS NULL")
+    totals = words.groupBy("lang").agg(F.sum("n").alias("total")).where(F.col("total") >= LEAST_REFERENCE_WORDS)
+    chosen = F.broadcast(totals.orderBy(F.desc("total"), "lang").limit(most_languages))
     ranked = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    top = counted.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= common_words)
-    totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
-    common = top.join(totals, "lang").select("lang", "word", "n", "total").collect()
-    return _references(classes.collect(), common, common_words)
+    top = words.join(chosen, "lang").withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= common_words)
+    common = top.select("lang", F.col("word").cast("string").alias("word"), "n", "total").collect()
+    classes = counted.where("word IS NULL").join(chosen, "lang").select("lang", "class", "n").collect()
+    return _references(classes, common, common_words)
 
 
 def _references(classes, common, common_words: int) -> References:
     total = {row["lang"]: row["total"] for row in common}
-    languages = sorted(lang for lang, n in total.items() if n >= LEAST_REFERENCE_WORDS)
+    languages = sorted(total)
     number = {lang: i for i, lang in enumerate(languages)}
     class_table = np.zeros((len(languages), N_CLASSES))
     for row in classes:
-        if row["lang"] in number:
-            class_table[number[row["lang"]], row["class"]] = row["n"]
-    words = sorted({row["word"] for row in common if row["lang"] in number})
+        class_table[number[row["lang"]], row["class"]] = row["n"]
+    words = sorted({row["word"] for row in common})
     found = find_words([word.encode() for word in words])
     hashes = word_hashes(found)
     order = np.argsort(hashes)
@@ -204,11 +286,10 @@ def _references(classes, common, common_words: int) -> References:
     word_table = np.zeros((len(languages), common_words + 1))
     used = [0] * len(languages)
     for row in sorted(common, key=lambda r: (r["lang"], -r["n"], r["word"])):
-        at = number.get(row["lang"])
-        if at is not None:
-            bins[at, place[row["word"]]] = used[at]
-            word_table[at, used[at]] = row["n"]
-            used[at] += 1
+        at = number[row["lang"]]
+        bins[at, place[row["word"]]] = used[at]
+        word_table[at, used[at]] = row["n"]
+        used[at] += 1
     for lang, at in number.items():
         word_table[at, common_words] = total[lang] - word_table[at].sum()
     return References(languages, _shares(class_table), _shares(word_table), hashes[order], bins)
@@ -295,7 +376,7 @@ def _measures(texts: list[bytes], languages: list, refs: References) -> list[pa.
         by_class, by_word = _distances(words, hashes, classes, asked_of, refs)
         chance = 1 / np.sqrt(np.maximum(n_words, 1))
         fits = by_class <= MOST_CLASS_DISTANCE + CLASS_ALLOWANCE * chance
-        fits &= by_word <= MOST_WORD_DISTANCE + WORD_ALLOWANCE * chance
+        fits &= (n_words < LEAST_COMPARED) | (by_word <= MOST_WORD_DISTANCE + WORD_ALLOWANCE * chance)
         fits &= in_language
         kept &= fits
     longs = (n_words, n_chars - classes[:, _SPACE], _symbols(words), repeated_lines(words), repeated)
@@ -323,7 +404,7 @@ def quality_rules(docs: DataFrame, keep: list[str], references: References | Non
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             languages = batch.column(1).to_pylist()
-            for start, stop, texts in text_blocks(batch):
+            for start, stop, texts in text_blocks(batch, limit=SMALL_BLOCK):
                 measures = _measures(texts, languages[start:stop], shared.value)
                 part = batch.slice(start, stop - start)
                 yield pa.RecordBatch.from_arrays(

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK_BYTES = 2 << 20
+SMALL_BLOCK = 512 << 10  # for operators with many temporary arrays
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[32, *range(9, 14)]] = True
 _LONG_WORD = 64
