@@ -3,18 +3,21 @@
 Patterns find mentions of emails, IP addresses (both versions), phone, card, account and social security numbers,
 secrets, and persons named with a title. A mention is made of units: a number's digits, a given name,
 a surname. A unit's surrogate is drawn from a keyed hash of its kind and normal form, so that the same
-unit has the same surrogate in every document and every run with the same key. It is of the same
-kind and format: digits for digits, letters for letters, the same case and separators; names keep
-gender and script.
+unit has the same surrogate in every document. It is of the same kind and format: digits for digits,
+letters for letters, the same case and separators; names keep script and the gender that the titles
+before them tell in all documents (a given name with titles of both, or of none, is neutral). Of a
+secret, nothing is kept but the public prefix of a token.
 
 Distinct units get distinct surrogates, and none that is itself a unit of the corpus: units whose
 surrogate is taken draw again, the first by number of draws and value keeping it, until no two agree.
+Late draws are longer than the value, so that there is room however many units there are.
 
-Only texts with a mention are shuffled. They are cut at the mentions and joined again around the
-surrogates, so that surrogates are never searched.
+Every text is searched once and kept cut at its mentions; it is joined again around the surrogates,
+so that surrogates are never searched. Only texts with a mention are shuffled.
 
-Defined cases: a NULL or empty text stays as it is; equal mentions and repeated rows are replaced
-alike; an empty table gives no rows; all columns are kept, whatever their names.
+Defined cases: a NULL or empty text stays as it is; a masked secret, without a letter or digit, stays;
+equal mentions and repeated rows are replaced alike; an empty table gives no rows; all columns are
+kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.staging import staged
 
 _MAX_DRAWS = 64
+_GROWS_AT = 8
 _GAP = r"[^\p{L}\p{N}\n]{1,6}"
 _NAME = r"(?:\p{Lu}\p{Ll}+|\p{Lu}{2,})(?:-\p{Lu}\p{L}+)?"
 # Titles by the gender that they tell.
@@ -54,6 +58,13 @@ _ASSIGN, _QUOTE = r"[\"']?[ \t]{0,3}[:=][ \t]{0,3}", r"[\"']?"
 _PEM = r"-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----"
 _LEAD = rf"(?:{_PEM}|(?:{_PASSWORD}|{_KEY_WORD}){_ASSIGN}{_QUOTE})"
 _VALUE = r"[^\s\"'<>,;]"
+# Forms of tokens, and the prefixes that tell whose they are.
+_TOKENS = [
+    "AKIA[0-9A-Z]{16}",
+    "(?:sk-|gh[pousr]_|github_pat_|xox[abp]-)[0-9A-Za-z_-]{16,}",
+    r"eyJ[0-9A-Za-z_-]{5,}\.[0-9A-Za-z_-]{5,}(?:\.[0-9A-Za-z_-]*)?",
+]
+_PREFIX = "^(?:AKIA|sk-|gh[pousr]_|github_pat_|xox[abp]-|eyJ)"
 # A telephone number in any grouping; a date, a social security or a card number that begins with 0 is none.
 _DIGIT_GAP = r"[ \u00A0\u202F./()-]{0,3}"
 _NO_PHONE = (
@@ -64,8 +75,7 @@ _HEXTETS = r"[0-9a-fA-F]{1,4}(?::[0-9a-fA-F]{1,4})"
 # In order of precedence. A pattern neither begins nor ends within a longer word or number.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
-    "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-fA-F]{32,128}|AKIA[0-9A-Z]{16}|(?:sk-|gh[pousr]_|github_pat_|xox[abp]-)[0-9A-Za-z_-]{16,}"
-    r"|eyJ[0-9A-Za-z_-]{5,}\.[0-9A-Za-z_-]{5,}(?:\.[0-9A-Za-z_-]*)?)(?![\p{L}\p{N}])"
+    "secret": rf"(?<![\p{{L}}\p{{N}}])(?:[0-9a-fA-F]{{32,128}}|{'|'.join(_TOKENS)})(?![\p{{L}}\p{{N}}])"
     rf"|{_PEM}(?:[^-]++(?:-(?!----)[^-]*+)*+(?=-----END)|(?:\s*[A-Za-z0-9+/=]{{40,}})+)"
     rf"|(?<![\p{{L}}\p{{N}}])(?:{_PASSWORD}{_ASSIGN}{_QUOTE}{_VALUE}{{4,}}"
     rf"|{_KEY_WORD}{_ASSIGN}{_QUOTE}(?={_VALUE}*[0-9]){_VALUE}{{8,}})"
@@ -88,8 +98,15 @@ ANY = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
 _HINT = rf"[0-9@]|AKIA|(?:sk-|gh[pousr]_|github_pat_|xox)|eyJ|{_PEM}|{_PASSWORD}{_ASSIGN}|(?<!\p{{L}}){_TITLE}\.? \p{{Lu}}"
 
 
-def has_mention(text: Column) -> Column:
-    return F.coalesce(text.rlike(_HINT) & text.rlike(ANY), F.lit(False))
+def cut_at_mentions(text: Column) -> Column:
+    """The pieces of a text in order: what stands between mentions, and every second one a mention.
+
+    NULL for a text without a mention. The text is searched once; its mentions are set apart by a mark
+    made of the text's own digest, which no text holds.
+    """
+    mark = F.concat(F.lit("\x1f"), F.sha2(text, 256), F.lit("\x1f"))
+    pieces = F.split(F.regexp_replace(text, F.lit(ANY), F.concat(mark, F.lit("$0"), mark)), mark, -1)
+    return F.when(text.rlike(_HINT), pieces)
 
 
 # -------------------------------------------------------------------------------------- units
@@ -121,7 +138,7 @@ def _units(mention: Column, kind: Column) -> Column:
         return F.struct((name if isinstance(name, Column) else F.lit(name)).alias("unit"), value.alias("value"))
 
     names = F.split(F.regexp_replace(mention, rf"^{_TITLE}\.? ", ""), " ")
-    given = F.concat(F.lit("given-"), _gender(mention), F.lit("-"), _script(mention))
+    given = F.concat(F.lit("given-"), _script(mention))
     surname = F.concat(F.lit("surname-"), _script(mention))
     person = F.when(
         F.size(names) > 1,
@@ -133,13 +150,14 @@ def _units(mention: Column, kind: Column) -> Column:
         F.when(kind == "person", person)
         .when(kind.isin("phone", "card", "ssn"), F.array(unit(kind, digits)))
         .when(kind == "iban", F.array(unit(kind, F.replace(mention, F.lit(" "), F.lit("")))))
+        .when((kind == "secret") & ~secret.rlike(r"[\p{L}\p{Nd}]"), F.array().cast("array<struct<unit: string, value: string>>"))
         .when(kind == "secret", F.array(unit(kind, F.when(_is_hex(secret), F.lower(secret)).otherwise(secret))))
         .otherwise(F.array(unit(kind, F.lower(mention))))
     )
 
 
 def _is_hex(text: Column) -> Column:
-    return text.rlike("^[0-9a-fA-F]+$")
+    return text.rlike("^[0-9a-fA-F]{32,}$")
 
 
 # --------------------------------------------------------------------------------- surrogates
@@ -186,19 +204,25 @@ def _name(syllables: list[str], stream: Column, count: Column) -> Column:
     return F.concat_ws("", parts)
 
 
+def _digit(stream: Column):
+    return lambda i: _pick("0123456789", _number(stream, i % 48 + 5))
+
+
 def _surrogate(key: str) -> Column:
     """The surrogate of a unit in its ``draw``, in lower case where case is the mention's."""
     unit, value, draw = F.col("unit"), F.col("value"), F.col("draw")
     stream = _stream(key, unit, value, draw)
     local = _like(F.substring_index(value, "@", 1), stream)
     # A later draw has another digit, so that there is always room for a distinct address.
-    digits = F.transform(F.sequence(F.lit(0), draw), lambda i: _pick("0123456789", _number(stream, i % 48 + 5)))
+    digits = F.transform(F.sequence(F.lit(0), draw), _digit(stream))
     domain = F.concat(F.lit("@mail"), F.concat_ws("", digits), F.lit(".example."))
     email = F.concat(local, domain, F.get(F.array(F.lit("com"), F.lit("net"), F.lit("org")), _number(stream, 7) % 3))
     octets = [(_number(stream, 4 + 2 * k) % 256).cast("string") for k in range(3)]
     ip = F.concat_ws(".", (_number(stream, 0) % 15 + 240).cast("string"), *octets)
     # Six groups of the network that is set aside for examples.
     ip6 = F.concat_ws(":", F.lit("2001:db8"), *[F.substr(stream, F.lit(4 * k + 9), F.lit(4)) for k in range(6)])
+    prefix = F.regexp_extract(value, rf"^({'|'.join(_TOKENS)})$", 0)
+    public = F.when(prefix != "", F.char_length(F.regexp_extract(value, _PREFIX, 0))).otherwise(0)
     result = (
         F.when(unit == "email", email)
         .when(unit == "ip", ip)
@@ -208,29 +232,40 @@ def _surrogate(key: str) -> Column:
         .when(unit == "ssn", F.concat(F.lit("9"), F.substr(_like(value, stream), F.lit(2))))
         .when(unit == "iban", _like(value, stream, 2))
         .when((unit == "secret") & _is_hex(value), _like(value, stream, hexadecimal=True))
-        .when(unit == "secret", _like(value, stream, 3))
+        .when(unit == "secret", _like(value, stream, public))
         .when(unit == "card", _like(value, stream, 1))
     )
+    # Values of few characters can all be taken; from here on each draw has ten times the room.
+    more = F.concat_ws("", F.transform(F.sequence(F.lit(_GROWS_AT), draw), _digit(stream)))
+    grown = F.when(unit == "ip", F.concat(F.lit("."), more)).otherwise(more)
+    result = F.when((draw >= _GROWS_AT) & ~unit.isin("email", "ip6"), F.concat(result, grown)).otherwise(result)
     for script, syllables in _SYLLABLES.items():
         # A later draw has another syllable, so that there is always room for a distinct name.
         surname = _name(syllables, stream, draw + 3)
-        result = result.when(unit == f"surname-{script}", surname)
+        result = F.when(unit == f"surname-{script}", surname).otherwise(result)
         for gender in "fmn":
             names = GIVEN_NAMES[gender if script == "latin" else f"{gender}-{script}"]
             listed = F.get(F.array(*map(F.lit, names)), _number(stream, 20) % len(names))
             built = F.when(draw == 0, listed).otherwise(F.concat(listed, F.lit("-"), F.initcap(_name(syllables, stream, draw + 1))))
-            result = result.when(unit == f"given-{gender}-{script}", F.lower(built))
+            result = F.when(unit == f"given-{gender}-{script}", F.lower(built)).otherwise(result)
     return result
 
 
+def _space(unit: Column) -> Column:
+    """Units of one space must differ: given names of any gender are in the same."""
+    return F.regexp_replace(unit, "^given-[fmn]-", "given-")
+
+
 def _taken(drawn: DataFrame, units: DataFrame) -> DataFrame:
     """Units that must draw again: their surrogate is a unit, or another unit holds it."""
-    shared = drawn.groupBy("unit", "surrogate").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    drawn = drawn.withColumn("space", _space(F.col("unit")))
+    shared = drawn.groupBy("space", "surrogate").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     # The holder of a surrogate is the unit with fewest draws, then the least value.
-    claims = drawn.join(shared, ["unit", "surrogate"])
-    holder = claims.groupBy("unit", "surrogate").agg(F.min(F.struct("draw", "value")).alias("holder"))
-    lost = claims.join(holder, ["unit", "surrogate"]).where(F.col("holder.value") != F.col("value"))
-    real = drawn.join(units.select("unit", F.col("value").alias("surrogate")), ["unit", "surrogate"], "left_semi")
+    claims = drawn.join(shared, ["space", "surrogate"])
+    holder = claims.groupBy("space", "surrogate").agg(F.min(F.struct("draw", "value")).alias("holder"))
+    lost = claims.join(holder, ["space", "surrogate"]).where(F.col("holder.value") != F.col("value"))
+    real = units.select(_space(F.col("unit")).alias("space"), F.col("value").alias("surrogate"))
+    real = drawn.join(real, ["space", "surrogate"], "left_semi")
     columns = ["unit", "value", "draw"]
     return lost.select(*columns).unionByName(real.select(*columns)).distinct()
 
@@ -242,7 +277,7 @@ def assign_surrogates(units: DataFrame, key: str) -> DataFrame:
         again = staged(_taken(drawn, units), "surrogates")
         if again.isEmpty():
             return drawn.drop("draw")
-        settled = drawn.join(again.drop("draw"), ["unit", "value"], "left_anti")
+        settled = drawn.join(again.select("unit", "value"), ["unit", "value"], "left_anti")
         redrawn = again.withColumn("draw", F.col("draw") + 1).withColumn("surrogate", _surrogate(key))
         drawn = staged(settled.unionByName(redrawn.select(*settled.columns)), "surrogates")
     raise RuntimeError(f"no distinct surrogates after {_MAX_DRAWS} draws")
@@ -259,7 +294,9 @@ def _refill(mention: Column, characters: Column, inside: str) -> Column:
         before = F.char_length(F.regexp_replace(F.substr(mention, F.lit(1), i), f"[^{inside}]", ""))
         return F.when(c.rlike(f"^[{inside}]$"), F.substr(characters, before + 1, F.lit(1))).otherwise(c)
 
-    return F.concat_ws("", F.transform(letters, put))
+    # Characters beyond the mention's own come last.
+    own = F.char_length(F.regexp_replace(mention, f"[^{inside}]", ""))
+    return F.concat(F.concat_ws("", F.transform(letters, put)), F.substr(characters, own + 1))
 
 
 def _cased(mention: Column, text: Column) -> Column:
@@ -269,7 +306,7 @@ def _cased(mention: Column, text: Column) -> Column:
 
 def _replacement() -> Column:
     mention, kind, found = F.col("mention"), F.col("kind"), F.col("found")
-    only = found[0]
+    only = F.get(found, F.lit(0))
     title = F.regexp_extract(mention, rf"^{_TITLE}\.? ", 0)
     rest = F.substr(mention, F.char_length(title) + 1)
     lead = F.regexp_extract(mention, f"^{_LEAD}", 0)
@@ -283,6 +320,7 @@ def _replacement() -> Column:
         F.when(kind == "person", F.concat(title, _cased(rest, names)))
         .when(kind.isin("phone", "card", "ssn"), _refill(mention, only, r"\p{Nd}"))
         .when(kind == "iban", _refill(mention, only, "A-Z0-9"))
+        .when((kind == "secret") & (F.size(found) == 0), mention)
         .when(kind == "secret", F.concat(lead, F.when(_is_hex(secret), _cased(secret, only)).otherwise(only)))
         .otherwise(_cased(mention, only))
     )
@@ -290,28 +328,44 @@ def _replacement() -> Column:
 
 def _replacements(mentions: DataFrame, key: str) -> DataFrame:
     """``mention, replacement`` for the distinct strings in ``mentions``."""
-    kinds = mentions.select("mention").distinct().withColumn("kind", _kind(F.col("mention")))
+    mention = F.col("mention")
+    kinds = mentions.select("mention").distinct().withColumn("kind", _kind(mention))
+    # The outer form: a mention without a unit is replaced by itself.
+    unit = F.posexplode_outer(_units(mention, F.col("kind"))).alias("place", "u")
     parts = staged(
-        kinds.select("mention", "kind", F.posexplode(_units(F.col("mention"), F.col("kind"))).alias("place", "u")).select(
-            "mention", "kind", "place", "u.unit", "u.value"
+        kinds.select("mention", "kind", _gender(mention).alias("title"), unit).select(
+            "mention", "kind", "place", "u.unit", "u.value", F.when(F.col("u.unit").startswith("given-"), F.col("title")).alias("title")
         ),
         "pii-units",
     )
-    surrogates = assign_surrogates(parts.select("unit", "value").distinct(), key)
-    joined = parts.join(surrogates, ["unit", "value"]).groupBy("mention", "kind").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("place", "surrogate"))), lambda x: x["surrogate"]).alias("found")
+    told = F.when(F.col("title") != "n", F.col("title"))
+    gender = F.when(F.min(told) == F.max(told), F.min(told)).otherwise("n")
+    units = parts.where("unit IS NOT NULL").groupBy("unit", "value").agg(gender.alias("gender"))
+    gendered = F.when(F.col("unit").startswith("given-"), F.concat(F.lit("given-"), "gender", F.substr("unit", F.lit(6))))
+    units = staged(units.select(F.coalesce(gendered, "unit").alias("unit"), "value"), "pii-distinct")
+    surrogates = assign_surrogates(units, key).withColumn("unit", _space(F.col("unit")))
+    joined = parts.join(surrogates, ["unit", "value"], "left").groupBy("mention", "kind").agg(
+        F.sort_array(F.collect_list(F.when(F.col("surrogate").isNotNull(), F.struct("place", "surrogate")))).alias("placed")
     )
-    return staged(joined.select("mention", _replacement().alias("replacement")), "pii-replacements")
+    found = joined.withColumn("found", F.transform("placed", lambda x: x["surrogate"]))
+    return staged(found.select("mention", _replacement().alias("replacement")), "pii-replacements")
 
 
 def replace_pii(docs: DataFrame, key: str, count: str | None = None) -> DataFrame:
     """``docs`` with surrogates in ``text``. ``count`` names a column for the number of mentions."""
-    first, second = F.xxhash64("text"), F.xxhash64(F.lit(1), "text")
-    with_mention = docs.where(has_mention(F.col("text")))
-    mentions = F.regexp_extract_all("text", F.lit(ANY), F.lit(0))
+    names = docs.columns
+    at = names.index("text")
+    own = [F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(names)]
+    text = F.col(f"c{at}")
+    cut = docs.select(*own).withColumn("pieces", cut_at_mentions(text))
+    # A text without a mention is one piece. One with mentions is kept as its pieces only.
+    cut = cut.withColumn("pieces", F.when(F.size("pieces") > 1, F.col("pieces")))
+    cut = cut.select("*", F.xxhash64("pieces").alias("k1"), F.xxhash64(F.lit(1), "pieces").alias("k2"))
+    cut = staged(cut.withColumn(f"c{at}", F.when(F.col("pieces").isNull(), text)), "pii-pieces")
+    with_mention = cut.where("pieces IS NOT NULL")
+    mentions = F.filter("pieces", lambda _, i: i % 2 == 1)
     placed = staged(
-        with_mention.select(first.alias("k1"), second.alias("k2"), F.posexplode(mentions).alias("place", "mention")).distinct(),
-        "pii-places",
+        with_mention.select("k1", "k2", F.posexplode(mentions).alias("place", "mention")).distinct(), "pii-places"
     )
     table = _replacements(placed, key)
     per_text = staged(
@@ -320,16 +374,13 @@ def replace_pii(docs: DataFrame, key: str, count: str | None = None) -> DataFram
         .agg(F.sort_array(F.collect_list(F.struct("place", "replacement"))).alias("swap")),
         "pii-texts",
     )
-    names = docs.columns
-    plain = [F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(names)]
-    text = f"c{names.index('text')}"
-    hashed = with_mention.select(*plain, first.alias("k1"), second.alias("k2"))
-    pieces = F.split(F.col(text), ANY, -1)
     swapped = F.transform(
-        pieces, lambda p, i: F.concat(p, F.coalesce(F.get(F.col("swap"), i)["replacement"], F.lit("")))
+        "pieces",
+        lambda piece, i: F.when(i % 2 == 0, piece).otherwise(F.get(F.col("swap"), (i / 2).cast("int"))["replacement"]),
     )
+    plain = [f"c{i}" for i in range(len(names))]
+    changed = with_mention.join(per_text, ["k1", "k2"]).withColumn(f"c{at}", F.concat_ws("", swapped))
     counted = [F.size("swap").cast("long").alias("n")] if count else []
-    changed = hashed.join(per_text, ["k1", "k2"]).withColumn(text, F.concat_ws("", swapped))
-    changed = changed.select(*[f"c{i}" for i in range(len(names))], *counted)
-    same = docs.where(~has_mention(F.col("text"))).select(*plain, *([F.lit(0).cast("long").alias("n")] if count else []))
-    return same.unionByName(changed).toDF(*names, *([count] if count else []))
+    none = [F.lit(0).cast("long").alias("n")] if count else []
+    same = cut.where("pieces IS NULL").select(*plain, *none)
+    return same.unionByName(changed.select(*plain, *counted)).toDF(*names, *([count] if count else []))
