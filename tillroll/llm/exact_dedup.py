@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm import golomb
 from tillroll.llm.key_filter import FILTER_BYTES, broadcast_filter, possible
+from tillroll.llm.memory import tidied
 from tillroll.llm.staging import staged
 
 WHITE_SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -165,7 +166,7 @@ def exact_duplicates(
     spark = docs.sparkSession
     owners = owners or int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sent = staged(texts.mapInArrow(_fingerprints(owners), _ROWS), "exact-dedup")
+    sent = staged(texts.mapInArrow(tidied(_fingerprints(owners)), _ROWS), "exact-dedup")
     rows = sent.where("message IS NULL")
     bitmaps = (
         sent.where("message IS NOT NULL")
@@ -178,7 +179,7 @@ def exact_duplicates(
     wanted = broadcast_filter(suspects, "fingerprint", filter_bytes)
     verified = (
         texts.mapInArrow(
-            _possible_suspects(wanted), "doc_id long, n_chars long, bare binary"
+            tidied(_possible_suspects(wanted)), "doc_id long, n_chars long, bare binary"
         )
         .groupBy("bare")
         .agg(

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.components import connected_components
 from tillroll.llm.key_filter import broadcast_filter, possible
+from tillroll.llm.memory import tidied
 from tillroll.llm.staging import staged
 from tillroll.llm.words import SMALL_BLOCK, find_words, mix, text_blocks, window_hashes, word_hashes
 
@@ -229,7 +230,7 @@ def _shingle_sets(texts: DataFrame, ids: DataFrame) -> DataFrame:
     hashed = ids.select("doc_id", F.xxhash64("doc_id").alias("id_hash"))
     wanted = broadcast_filter(hashed, "id_hash")
     sets = texts.select("doc_id", "text", F.xxhash64("doc_id").alias("id_hash")).mapInArrow(
-        _sets_of(wanted), "doc_id long, shingles binary, bottom binary"
+        tidied(_sets_of(wanted)), "doc_id long, shingles binary, bottom binary"
     )
     return staged(sets.join(ids, "doc_id", "left_semi"), "near-sets")
 
@@ -252,7 +253,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("s_b")), "b")
         .select("a", "b", "s_a", "s_b")
     )
-    return staged(both.mapInArrow(_linked, "a long, b long").distinct(), "near-links")
+    return staged(both.mapInArrow(tidied(_linked), "a long, b long").distinct(), "near-links")
 
 
 # ----------------------------------------------------------------------------------- the rest
@@ -381,7 +382,7 @@ def _rest(members: DataFrame, roots: DataFrame, sketches: DataFrame, sets: DataF
 def near_duplicates(docs: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = staged(texts.mapInArrow(_sketches, _SKETCH), "near-sketches")
+    rows = staged(texts.mapInArrow(tidied(_sketches), _SKETCH), "near-sketches")
     prints = ["print1", "print2", "n_shingles"]
     usable = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = staged(usable.groupBy(*prints).agg(F.min("doc_id").alias("doc_id")), "near-classes")

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.chunks import ChunkCoder, split_marks
+from tillroll.llm.memory import tidied
 from tillroll.llm.staging import staged
 from tillroll.llm.words import find_words, text_blocks
 
@@ -110,7 +111,7 @@ def token_pieces(
         encoder.close()
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.mapInArrow(run, _PIECE + (", ids array<int>" if with_ids else ""))
+    return texts.mapInArrow(tidied(run), _PIECE + (", ids array<int>" if with_ids else ""))
 
 
 def lower_bound(lengths: np.ndarray, counts: np.ndarray, size: int) -> int:

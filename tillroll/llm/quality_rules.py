@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.llm.memory import tidied
 from tillroll.llm.staging import staged
 from tillroll.llm.words import (
     SMALL_BLOCK,
@@ -258,7 +259,7 @@ def language_references(
     known = docs.select("text", F.col("lang").cast("string").alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
-    summed = known.mapInArrow(_counts, _COUNTED).groupBy("lang", "class", "word").agg(F.sum("n").alias("n"))
+    summed = known.mapInArrow(tidied(_counts), _COUNTED).groupBy("lang", "class", "word").agg(F.sum("n").alias("n"))
     counted = staged(summed, "language-counts")
     words = counted.where("class IS NULL")
     totals = words.groupBy("lang").agg(F.sum("n").alias("total")).where(F.col("total") >= LEAST_REFERENCE_WORDS)
@@ -417,5 +418,5 @@ def quality_rules(docs: DataFrame, keep: list[str], references: References | Non
     kinds = dict(docs.select(*keep).dtypes)
     fields = [f"kept_{i} {kinds[c]}" for i, c in enumerate(keep)]
     struct = ", ".join(f"{name}: {kind}" for name, kind in (f.split() for f in _METRICS.split(", ")))
-    judged = inputs.mapInArrow(run, ", ".join([*fields, f"{result} struct<{struct}>"]))
+    judged = inputs.mapInArrow(tidied(run), ", ".join([*fields, f"{result} struct<{struct}>"]))
     return judged.toDF(*keep, result), result

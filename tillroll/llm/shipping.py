@@ -11,15 +11,18 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from tillroll.llm.memory import bound_batches
+
 _ROOT = Path(__file__).resolve().parents[2]
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send the package to the workers through Spark, once per application.
+    """Send the package to the workers through Spark, once per application, and bound their batches.
 
     Nothing is sent where it lies in ``PYTHONPATH`` or in the working folder, which workers inherit.
     """
+    bound_batches(spark)
     context = spark.sparkContext
     known = [Path.cwd(), *map(Path, filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep)))]
     if context.applicationId in _shipped or _ROOT in [path.resolve() for path in known]:
