@@ -60,32 +60,36 @@ class ChunkCoder:
         return self
 
     def held_bytes(self) -> int:
-        return self._hashes.nbytes + self._rows.nbytes + self._bounds.nbytes + self._ids.nbytes
+        return sum(h.nbytes + r.nbytes for h, r in self._levels) + self._bounds.nbytes + self._ids.nbytes
 
     def _clear(self) -> None:
-        self._hashes = np.empty(0, dtype=np.uint64)  # sorted
-        self._rows = np.empty(0, dtype=np.int32)  # of each hash
+        # Sorted hashes and their rows, in levels of falling size, so that adding is cheap.
+        self._levels: list[tuple[np.ndarray, np.ndarray]] = []
         self._bounds = np.zeros(1, dtype=np.int64)
         self._ids = np.empty(0, dtype=np.int32)
 
     def __len__(self) -> int:
-        return len(self._hashes)
-
-    def _known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where each hash is or belongs, and whether it is there."""
-        at = np.searchsorted(self._hashes, hashes)
-        found = np.zeros(len(hashes), dtype=bool)
-        inside = at < len(self._hashes)
-        found[inside] = self._hashes[at[inside]] == hashes[inside]
-        return at, found
-
-    def _add(self, hashes: np.ndarray, at: np.ndarray, chunks: list[bytes]) -> None:
+        return len(self._bounds) - 1
+
+    def _rows(self, hashes: np.ndarray) -> np.ndarray:
+        """The row of each hash, -1 where it is not known."""
+        result = np.full(len(hashes), -1, dtype=np.int32)
+        for held, rows in self._levels:
+            at = np.minimum(np.searchsorted(held, hashes), len(held) - 1)
+            found = held[at] == hashes
+            result[found] = rows[at[found]]
+        return result
+
+    def _add(self, hashes: np.ndarray, chunks: list[bytes]) -> None:
         coded = [self._encode(chunks[i : i + _AT_ONCE]) for i in range(0, len(chunks), _AT_ONCE)]
         flat, sizes = (np.concatenate(part) for part in zip(*coded))
-        rows = len(self) + np.arange(len(hashes), dtype=np.int32)
-        self._hashes, self._rows = np.insert(self._hashes, at, hashes), np.insert(self._rows, at, rows)
+        self._levels.append((hashes, len(self) + np.arange(len(hashes), dtype=np.int32)))
         self._bounds = np.concatenate([self._bounds, self._bounds[-1] + np.cumsum(sizes)])
         self._ids = np.concatenate([self._ids, flat.astype(np.int32)])
+        while len(self._levels) > 1 and len(self._levels[-2][0]) < 2 * len(self._levels[-1][0]):
+            held, rows = (np.concatenate(part) for part in zip(*self._levels[-2:]))
+            order = np.argsort(held)
+            self._levels[-2:] = [(held[order], rows[order])]
 
     def __call__(
         self, data: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray
@@ -95,10 +99,10 @@ class ChunkCoder:
         distinct, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if self.held_bytes() > self._limit:
             self._clear()
-        at, found = self._known(distinct)
-        if not found.all():
-            new = first[~found]
-            chunks = [raw[s:e] for s, e in zip(starts[new].tolist(), ends[new].tolist())]
-            self._add(distinct[~found], at[~found], chunks)
-        rows = self._rows[np.searchsorted(self._hashes, distinct)].astype(np.int64)
-        return gather(self._ids, self._bounds, rows[inverse])
+        rows = self._rows(distinct)
+        unknown = np.flatnonzero(rows < 0)
+        if len(unknown):
+            new = first[unknown]
+            rows[unknown] = len(self) + np.arange(len(new), dtype=np.int32)
+            self._add(distinct[unknown], [raw[s:e] for s, e in zip(starts[new].tolist(), ends[new].tolist())])
+        return gather(self._ids, self._bounds, rows.astype(np.int64)[inverse])

@@ -17,9 +17,11 @@ others; a NULL id is kept; an empty table gives no rows; other columns are ignor
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.chunks import ChunkCoder, split_marks
 from tillroll.llm.memory import tidied
 from tillroll.llm.staging import staged
-from tillroll.llm.words import find_words, text_blocks
+from tillroll.llm.words import SMALL_BLOCK, find_words, text_blocks
 
 SEQUENCE, END_ID = 2048, 0
 PARTITION_PIECES = 20_000
@@ -48,6 +50,8 @@ class _Encoder:
         self._path, self._tokenizer = path, None
 
     def _load(self):
+        # A task has one core; more threads would each keep memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(self._path)
@@ -60,11 +64,11 @@ class _Encoder:
     def __call__(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if self._tokenizer is None:
             self._load()
-        ids: list[np.ndarray] = []
+        ids: list[list[int]] = []
         for at in range(0, len(chunks), _BATCH):
             texts = [chunk.decode() for chunk in chunks[at : at + _BATCH]]
-            ids += [np.array(e.ids, dtype=np.int32) for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        return np.concatenate(ids), np.array([*map(len, ids)])
+            ids.extend(e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+        return np.array([*chain.from_iterable(ids)], dtype=np.int32), np.array([*map(len, ids)])
 
 
 def token_pieces(
@@ -80,7 +84,7 @@ def token_pieces(
         encoder = _Encoder(tokenizer_path)
         coder = _known.setdefault(tokenizer_path, ChunkCoder()).using(encoder)
         for batch in batches:
-            for start, stop, texts in text_blocks(batch):
+            for start, stop, texts in text_blocks(batch, limit=SMALL_BLOCK):
                 words = find_words(texts)
                 starts, ends, text = split_marks(words.data, words.starts, words.ends, words.text)
                 ids, sizes = coder(words.data, words.raw, starts, ends)
