@@ -2,7 +2,7 @@ import statistics
 
 import pytest
 
-from tests.helpers import plan, spend_df
+from tests.helpers import final_plan, plan, spend_df
 from tillroll.operators import detect_recurring, top_recurring
 
 
@@ -104,3 +104,21 @@ def test_top_takes_the_largest_and_breaks_ties(spark):
     rows += months("D", [1.0, 99.0])
     top = top_recurring(detect_recurring(spend_df(spark, *rows)), 2).collect()
     assert [row["description_norm"] for row in top] == ["C", "A"]
+
+
+def test_the_transactions_are_read_once(spark, tmp_path):
+    """One scan of them makes the counted amounts; all that follows reads those, with few shuffles."""
+    path = str(tmp_path / "silver")
+    spend_df(spark, *[(f"M{i % 40}", "X", float(i % 7), f"2024-{i % 12 + 1:02d}") for i in range(3000)]).write.parquet(path)
+    out = detect_recurring(spark.read.parquet(path))
+    assert path not in plan(out) and plan(out).count("counted-amounts") == plan(out).count("Scan parquet")
+    shown = final_plan(out)
+    initial = shown[: shown.find("== Initial Plan ==")] if "== Initial Plan ==" in shown else shown
+    assert initial.count("Exchange hashpartitioning") <= 8
+
+
+def test_null_merchants_and_categories_are_groups(spark):
+    rows = [(None, "X", 5.0, f"2024-{m:02d}") for m in (1, 2, 3)] + [("A", None, 7.0, f"2024-{m:02d}") for m in (1, 2)]
+    rows += [(None, None, 1.0, "2024-01"), ("A", "X", None, "2024-01")]
+    got = {(r[0], r[1]): (r["median_amount"], r["occurrence_months"], r["is_recurring"]) for r in detect_recurring(spend_df(spark, *rows)).collect()}
+    assert got == {(None, "X"): (5.0, 3, True), ("A", None): (7.0, 2, True), (None, None): (1.0, 1, False), ("A", "X"): (None, 1, False)}

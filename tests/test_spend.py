@@ -129,3 +129,13 @@ def test_large_totals_are_exact(spark, parts):
     row = monthly_by_category(rows).first()
     assert exact > 10**12
     assert row["total_spend"] == float(exact)
+
+
+def test_totals_from_counted_amounts_are_those_of_the_transactions(spark):
+    from tillroll.operators.recurring import counted_amounts
+    from tillroll.operators.spend import month_category_totals, totals_from_amounts
+
+    rows = [(f"M{i % 5}", ["X", "Y", None][i % 3], [0.1, 2.35, None, -4.0, float("nan")][i % 5], f"2024-{i % 4 + 1:02d}", i % 11 == 0) for i in range(400)]
+    silver = spend_df(spark, *rows)
+    assert rows_of(totals_from_amounts(counted_amounts(silver))) == rows_of(month_category_totals(silver))
+    assert totals_from_amounts(counted_amounts(spend_df(spark, *rows[:0]))).count() == 0

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.numeric import ratio_if_positive
 from tillroll.operators.spend import without_credits
+from tillroll.sources.scratch import staged_table
 
 # A recurring charge is seen in this many months or more, with amounts that vary
 # less than this; one seen in this many months counts as monthly.
@@ -20,6 +19,11 @@ AMOUNT_SCALE = 10_000
 _KEYS = ["description_norm", "category"]
 
 
+def _who() -> Column:
+    """Merchant and category as one value, which equals itself in a join where a part is NULL."""
+    return F.struct(*_KEYS).alias("who")
+
+
 def counted_amounts(silver: DataFrame) -> DataFrame:
     """How often each merchant charged each amount in each month.
 
@@ -31,38 +35,33 @@ def counted_amounts(silver: DataFrame) -> DataFrame:
     )
 
 
-def _with_key(left: DataFrame, right: DataFrame, how: str, *more: str) -> DataFrame:
-    """``left`` joined by merchant and category, NULLs being equal, and by ``more`` columns."""
-    names = [*_KEYS, *more]
-    other = right.select(*[F.col(name).alias(f"_{name}") for name in names], *[c for c in right.columns if c not in names])
-    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in names]
-    return left.join(other, reduce(Column.__and__, same), how).drop(*[f"_{name}" for name in names])
-
-
 def exact_medians(amounts: DataFrame) -> DataFrame:
-    """The lower median per merchant and category of ``amount`` counted by ``n``; NULLs aside.
+    """The lower median per ``who`` of ``amount`` counted by ``n``; NULLs aside.
 
     First the whole unit of amount that holds the middle charge is found from counts per unit, then
-    the middle among the amounts of that unit only. No task sees all amounts of a merchant.
+    the middle among the amounts of that unit only. No task sees all amounts of a merchant, and the
+    amounts are shuffled once, by merchant and unit: a merchant has one such unit, so that the windows
+    over it need no other shuffle. ``amounts`` is read twice.
     """
-    known = amounts.where(F.col("amount").isNotNull()).groupBy(*_KEYS, "amount").agg(F.sum("n").alias("n"))
-    known = known.withColumn("unit", F.floor("amount"))
-    units = known.groupBy(*_KEYS, "unit").agg(F.sum("n").alias("in_unit"))
-    by_unit = Window.partitionBy(*_KEYS).orderBy("unit")
+    known = amounts.where(F.col("amount").isNotNull()).withColumn("unit", F.floor("amount"))
+    units = known.groupBy("who", "unit").agg(F.sum("n").alias("in_unit"))
+    by_unit = Window.partitionBy("who").orderBy("unit")
     middle = F.expr("(total + 1) div 2")
     holding = (
         units.withColumn("up_to", F.sum("in_unit").over(by_unit))
-        .withColumn("total", F.sum("in_unit").over(Window.partitionBy(*_KEYS)))
+        .withColumn("total", F.sum("in_unit").over(Window.partitionBy("who")))
         .where((F.col("up_to") >= middle) & (F.col("up_to") - F.col("in_unit") < middle))
-        .select(*_KEYS, "unit", (middle - F.col("up_to") + F.col("in_unit")).alias("rank"))
+        .select("who", "unit", (middle - F.col("up_to") + F.col("in_unit")).alias("rank"))
     )
-    by_amount = Window.partitionBy(*_KEYS).orderBy("amount")
+    # Equal amounts of several months are peers in this order, and all counted at once.
+    by_amount = Window.partitionBy("who", "unit").orderBy("amount")
     return (
-        _with_key(known, holding, "inner", "unit")
+        known.join(holding, ["who", "unit"])
         .withColumn("up_to", F.sum("n").over(by_amount))
         .where(F.col("up_to") >= F.col("rank"))
-        .groupBy(*_KEYS)
+        .groupBy("who", "unit")
         .agg(F.min("amount").alias("median"))
+        .drop("unit")
     )
 
 
@@ -85,9 +84,13 @@ def detect_recurring(
     median_accuracy: int | None = None,
     approximate_months: bool = False,
     with_months: bool = False,
+    amounts: DataFrame | None = None,
 ) -> DataFrame:
     """Per merchant and category: median amount, months seen, and whether the charge recurs.
 
+    The transactions are read once, to the small table of :func:`counted_amounts`, which is staged;
+    pass ``amounts`` where it is staged already.
+
     The median is the lower of the two middle amounts where there are two. It is exact; with
     ``median_accuracy`` it is a sketch whose rank is off by at most one part in so many, which
     saves a join. ``approximate_months`` estimates the number of months. The coefficient of
@@ -103,26 +106,29 @@ def detect_recurring(
         .when(F.col("occurrence_months") >= monthly_from, "MONTHLY")
         .otherwise("OCCASIONAL")
     )
-    amounts = counted_amounts(silver)
-    count = F.approx_count_distinct if approximate_months else F.countDistinct
+    amounts = amounts if amounts is not None else staged_table(counted_amounts(silver), "counted-amounts")
+    amounts = amounts.select(_who(), "statement_month", "amount", "n")
+    # A merchant has few months, so that a set of them is small and needs no shuffle of its own.
+    seen = F.collect_set("statement_month")
+    n_months = F.approx_count_distinct("statement_month") if approximate_months else F.size(seen).cast("long")
     if median_accuracy is not None:
         sketch = F.percentile_approx("amount", 0.5, median_accuracy)
-        rows = without_credits(silver).groupBy(*_KEYS).agg(sketch.alias("median"))
+        medians = without_credits(silver).groupBy(_who()).agg(sketch.alias("median"))
     else:
-        rows = exact_medians(amounts)
-    months = F.array_sort(F.collect_set("statement_month")).alias("months_seen")
-    found = amounts.groupBy(*_KEYS).agg(
-        count("statement_month").alias("occurrence_months"),
+        medians = exact_medians(amounts)
+    months = F.array_sort(seen).alias("months_seen")
+    found = amounts.groupBy("who").agg(
+        n_months.alias("occurrence_months"),
         F.round(_deviation(), 2).alias("amount_stddev"),
         *([months] if with_months else []),
     )
     return (
-        _with_key(found, rows, "left")
+        found.join(medians, "who", "left")
         .withColumn("median_amount", F.round("median", 2))
         .withColumn("amount_cv", cv)
         .withColumn("is_recurring", F.coalesce(recurs, F.lit(False)))
         .select(
-            *_KEYS,
+            "who.*",
             "median_amount",
             "occurrence_months",
             "is_recurring",

@@ -61,6 +61,16 @@ def month_category_totals(silver: DataFrame) -> DataFrame:
     )
 
 
+def totals_from_amounts(amounts: DataFrame) -> DataFrame:
+    """:func:`month_category_totals` from amounts that are counted (``n``) per month and category."""
+    n = F.col("n").cast("decimal(10,0)")
+    spend = F.sum(F.col("amount").try_cast(SUM_TYPE) * n).cast("double")
+    known = F.sum(F.when(F.col("amount").isNotNull(), F.col("n")))
+    return amounts.groupBy("statement_month", "category").agg(
+        spend.alias("spend"), F.sum("n").alias("tx_count"), F.try_divide(spend, known).alias("mean")
+    )
+
+
 def monthly_from_totals(totals: DataFrame) -> DataFrame:
     """:func:`monthly_by_category` from the totals.
 

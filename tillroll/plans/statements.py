@@ -13,12 +13,12 @@ from tillroll.operators.charges import add_ingest_metadata, only_charges
 from tillroll.operators.merge import drop_known_rows, insert_only_merge, number_copies
 from tillroll.operators.normalize import normalize_statements
 from tillroll.operators.quality import QualityResult, run_quality
-from tillroll.operators.recurring import detect_recurring
+from tillroll.operators.recurring import counted_amounts, detect_recurring
 from tillroll.operators.rule_join import categorize_by_table
 from tillroll.operators.spend import (
-    month_category_totals,
     monthly_from_totals,
     stability_from_totals,
+    totals_from_amounts,
 )
 from tillroll.rules import QualityRule
 from tillroll.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
@@ -154,15 +154,22 @@ def build_gold(
     ``stability`` and ``recurring`` are thresholds and options of
     :func:`~tillroll.operators.fixed_vs_variable` and :func:`~tillroll.operators.detect_recurring`.
 
-    The first two come from one small aggregate of the transactions, which is kept while both are
-    written; the transactions themselves are not cached, as they may be far larger than the
-    memory of the cluster. Each of the two scans reads only the columns it needs.
+    The transactions are read once. All three tables come from how often each merchant charged each
+    amount in each month, which is staged in the shared folder while they are written.
     """
-    rows = read_table(spark, silver, SILVER_SCHEMA)
-    totals = month_category_totals(rows).persist()
+    path = scratch_path(spark, "counted-amounts")
     try:
-        replace_table(monthly_from_totals(totals), f"{gold}/monthly_by_category")
-        replace_table(stability_from_totals(totals, **(stability or {})), f"{gold}/fixed_vs_variable")
+        append_table(counted_amounts(read_table(spark, silver, SILVER_SCHEMA)), path)
+        amounts = read_table(spark, path)
+        totals = totals_from_amounts(amounts).persist()
+        try:
+            replace_table(monthly_from_totals(totals), f"{gold}/monthly_by_category")
+            replace_table(stability_from_totals(totals, **(stability or {})), f"{gold}/fixed_vs_variable")
+        finally:
+            totals.unpersist()
+        options = dict(recurring or {})
+        # A sketch of the median is of the charges themselves.
+        rows = read_table(spark, silver, SILVER_SCHEMA)
+        replace_table(detect_recurring(rows, amounts=amounts, **options), f"{gold}/recurring")
     finally:
-        totals.unpersist()
-    replace_table(detect_recurring(rows, **(recurring or {})), f"{gold}/recurring")
+        delete_table(spark, path)

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
 _local_base: str | None = None
@@ -33,3 +33,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError(f"set {_CONF} to a folder that all executors can reach")
         base = _make_local_base()
     return f"{base.rstrip('/')}/tillroll/{label}-{uuid.uuid4().hex}"
+
+
+def staged_table(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, for what is read more than once."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
