@@ -129,3 +129,40 @@ def test_thresholds_reach_the_gold_tables(spark, silver, tmp_path):
     build_gold(spark, silver, gold, stability={"fixed_below": 0.0, "variable_below": 0.0}, recurring={"min_months": 99})
     assert {r[0] for r in spark.read.parquet(f"{gold}/fixed_vs_variable").select("classification").collect()} == {"DISCRETIONARY"}
     assert not any(r[0] for r in spark.read.parquet(f"{gold}/recurring").select("is_recurring").collect())
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tillroll.sources import read_table, replace_table
+
+    path = str(tmp_path / "gold" / "report")
+    replace_table(spark.range(3), path)
+    bad = spark.range(1000).withColumn("id", F.when(F.col("id") < 990, F.col("id")).otherwise(F.raise_error(F.lit("lost")).cast("long")))
+    with pytest.raises(Exception, match="lost"):
+        replace_table(bad, path)
+    assert rows_of(read_table(spark, path)) == [(0,), (1,), (2,)]
+    replace_table(spark.range(5), path + "/")
+    assert read_table(spark, path).count() == 5
+    # A table may be made from itself, and nothing stays beside it.
+    replace_table(read_table(spark, path).where("id > 1"), path)
+    assert rows_of(read_table(spark, path)) == [(2,), (3,), (4,)]
+    assert [p.name for p in (tmp_path / "gold").iterdir() if not p.name.startswith(".")] == ["report"]
+
+
+def test_a_table_that_cannot_take_its_place_leaves_the_old_one(spark, tmp_path, monkeypatch):
+    from tillroll.sources import tables
+
+    path = str(tmp_path / "gold" / "report")
+    tables.replace_table(spark.range(3), path)
+    rename = tables._rename
+
+    def broken(files, source, target):
+        if "_new-" in source.toString():
+            raise OSError("no")
+        rename(files, source, target)
+
+    monkeypatch.setattr(tables, "_rename", broken)
+    with pytest.raises(OSError):
+        tables.replace_table(spark.range(9), path)
+    assert tables.read_table(spark, path).count() == 3

@@ -6,6 +6,8 @@ by a job that reads it.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -60,10 +62,39 @@ def append_partitioned(df: DataFrame, path: str, partition_by: str) -> None:
 def replace_table(df: DataFrame, path: str) -> None:
     """Write a derived table anew. A small result gives one file, a large one as many as it needs.
 
-    ``df`` must not read from ``path``. The old rows go first: if the job dies, there is no table
-    until it runs again.
+    The new table is written beside the old one, in a folder whose name readers ignore, and takes its
+    place by renaming when it is complete. A job that fails or dies before leaves the old table as it is.
+    The old one is deleted last; between the two renamings it lies in a folder ``_old-...`` beside.
     """
-    df.hint("rebalance").write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    place = _hadoop_path(spark, path.rstrip("/"))
+    files, tag = place.getFileSystem(spark._jsc.hadoopConfiguration()), uuid.uuid4().hex
+    new, old = (_hadoop_path(spark, f"{place.getParent().toString()}/_{kind}-{place.getName()}-{tag}") for kind in ("new", "old"))
+    try:
+        df.hint("rebalance").write.parquet(new.toString())
+        had_one = files.exists(place)
+        if had_one:
+            _rename(files, place, old)
+        try:
+            _rename(files, new, place)
+        except OSError:
+            if had_one:
+                _rename(files, old, place)
+            raise
+        files.delete(old, True)
+    finally:
+        files.delete(new, True)
+    # Readers of this session that know the old files forget them.
+    spark.catalog.refreshByPath(path)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _rename(files, source, target) -> None:
+    if not files.rename(source, target):
+        raise OSError(f"could not rename {source.toString()} to {target.toString()}")
 
 
 def count_per_value(df: DataFrame, column: str) -> DataFrame:
@@ -73,5 +104,5 @@ def count_per_value(df: DataFrame, column: str) -> DataFrame:
 
 def delete_table(spark: SparkSession, path: str) -> None:
     """Remove the table at ``path``, in whatever store it lies."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place = _hadoop_path(spark, path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
