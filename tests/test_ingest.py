@@ -193,3 +193,38 @@ def test_ingest_searches_the_months_of_new_files_only(spark, drop, tmp_path):
     batch = spark.createDataFrame([("x", "2031-05"), ("y", "1990-01")], "_row_hash string, _month string")
     text = plan(rows_absent_from(batch, spark.read.parquet(bronze), "_row_hash", prune_by="_month"))
     assert re.search(r"PartitionFilters: \[.*_month#\d+ IN \((1990-01,2031-05|2031-05,1990-01)\)", text)
+
+
+def executions(spark):
+    """Number and physical plan of the SQL executions of the session so far."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    found = store.executionsList()
+    return {found.apply(i).executionId(): found.apply(i).physicalPlanDescription() for i in range(found.size())}
+
+
+@pytest.mark.parametrize("options", [{}, {"keep_copies": True}, {"dedupe_within_batch": True}])
+def test_files_are_parsed_once(spark, tmp_path, options):
+    source, bronze = str(tmp_path / "drop"), str(tmp_path / "bronze")
+    write_csv(f"{source}/a.csv", [raw_row(f"01/{d:02d}/2024") for d in range(1, 9)])
+    ingest_statements(spark, source, bronze, **options)
+    write_csv(f"{source}/b.csv", [raw_row(f"02/{d:02d}/2024") for d in range(1, 9)])
+    before = set(executions(spark))
+    ingest_statements(spark, source, bronze, **options)
+    plans = [text for number, text in executions(spark).items() if number not in before]
+    trees = [text.split("== Initial Plan ==")[0] for text in plans]  # what ran, not what was planned at first
+    scans = [scan for tree in trees for scan in re.findall(r"Scan csv +\(\d+\)", tree)]
+    assert len(plans) > 1 and len(scans) == 1
+    assert spark.read.parquet(bronze).count() == 16
+
+
+def test_nothing_new_and_nothing_at_all(spark, tmp_path):
+    """A batch without rows, and one of which every row is known, add nothing and leave nothing staged."""
+    source, bronze = str(tmp_path / "drop"), str(tmp_path / "bronze")
+    write_csv(f"{source}/a.csv", [raw_row()])
+    ingest_statements(spark, source, bronze)
+    write_csv(f"{tmp_path}/none/b.csv", [])
+    ingest_statements(spark, f"{tmp_path}/none", bronze)
+    ingest_statements(spark, source, bronze)
+    assert spark.read.parquet(bronze).count() == 1
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:") + "/tillroll"
+    assert not os.path.isdir(shared) or not any(name.startswith("merge-batch") for name in os.listdir(shared))
