@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import final_plan, plan, rows_of
 from tillroll.functions import categorize, normalize_keyword
-from tillroll.operators import categorize_by_table, match_rules
+from tillroll.operators import categorize_by_table, match_rules, rule_join
 from tillroll.rules import KEYWORD_RULES, SEED_RULES, rule_table
 
 TEXTS = [
@@ -135,3 +135,35 @@ def test_short_and_long_tables_agree(spark, count):
     texts = spark.createDataFrame([("MY SHOP", "x"), ("MY WORD3", "x"), ("WORD7 WORD3", "x"), ("NONE", "x")], "description_norm string, chase_category string")
     got = {r[0]: r[1] for r in categorize_by_table(texts, table).select("description_norm", "category").collect()}
     assert got == {"MY SHOP": "Z", "MY WORD3": "L", "WORD7 WORD3": "C3", "NONE": "Uncategorized"}
+
+
+def test_keywords_around_the_size_of_an_anchor(spark):
+    """Shorter, equal and longer keywords, in many scripts, at both ends of a text and in texts as short."""
+    words = ["A", "AB", "ABC", "ABCD", "ABCDE", "É", "ÉÉ", "ÉÉÉ", "日本", "日本語", "XABCD", "BCDEF", "😀"]
+    lines = sorted({"", "Z", *words, *(f"{w} Z" for w in words), *(f"Z{w}" for w in words), "ABC ABCD", "日 本語", "ÉÉ É"})
+    rules = spark.createDataFrame([(i, w, w) for i, w in enumerate(words)], "priority int, keyword string, category string")
+    texts = spark.createDataFrame([(line,) for line in lines], "description_norm string")
+    found = match_rules(texts, rules).join(
+        texts.select(F.unhex(F.sha2("description_norm", 256)).alias("_text_key"), "description_norm"), "_text_key"
+    )
+    got = {r["description_norm"]: r["_rule"]["category"] for r in found.collect()}
+    assert got == {line: next(w for w in words if w in line) for line in lines if any(w in line for w in words)}
+
+
+def test_one_lookup_per_position_whatever_the_lengths(spark, monkeypatch):
+    """The pieces that are looked up are of one size, although the keywords have twenty."""
+    seen = []
+    pieces = rule_join._pieces
+    monkeypatch.setattr(rule_join, "_pieces", lambda data, sizes: seen.append(sizes) or pieces(data, sizes))
+    rules = rule_table(spark, [("KEYWORD"[: 4 + i % 3] + "X" * i, f"c{i}") for i in range(20)])
+    assert match_rules(texts(spark), rules).count() == 0
+    assert seen == [[rule_join.ANCHOR_BYTES]]
+
+
+def test_keywords_are_filed_under_their_rarest_piece(spark):
+    words = [f"SHOP {n}" for n in ("NORTH", "SOUTH", "EASTERN")] + ["SHOP", "CAB"]
+    anchors = rule_join._anchored(spark.createDataFrame([(w, w) for w in words], "keyword string, _rule string"))
+    filed = dict(rows_of(anchors.select("keyword", "anchor")))
+    assert filed["SHOP"] == "SHOP" and filed["CAB"] == "CAB"
+    assert all(filed[w] not in ("SHOP", "HOP ") and filed[w] in w for w in words[:3])
+    assert len(set(filed.values())) == len(words)

@@ -15,6 +15,8 @@ from tillroll.rules import SOURCE_CATEGORY_MAP, UNCATEGORIZED
 INLINE_RULES = 200
 INLINE_CHARS = 64 * INLINE_RULES
 BLOCK_BYTES = 2048
+# Size of the piece by which a keyword is looked up.
+ANCHOR_BYTES = 4
 
 
 def _normalized_rules(rules: DataFrame) -> DataFrame:
@@ -49,12 +51,30 @@ def _slices(data: Column, step: int, size: int) -> Column:
     return F.transform(starts, lambda at: F.substring(data, at, F.lit(size)))
 
 
-def _windows(block: Column, size: int) -> Column:
-    """The distinct texts that a window of ``size`` bytes shows along a block, as strings."""
-    starts = F.sequence(F.lit(1), F.least(F.lit(BLOCK_BYTES), F.octet_length(block)))
-    return F.array_distinct(
-        F.transform(starts, lambda at: F.substring(block, at, F.lit(size)).cast("string"))
-    )
+def _pieces(data: Column, sizes: list[int]) -> Column:
+    """The distinct pieces of the given sizes that begin at any byte, as strings; shorter ones at the end."""
+    starts = F.sequence(F.lit(1), F.octet_length(data))
+
+    def cut(size: int) -> Column:
+        return F.transform(starts, lambda at: F.substring(data, at, F.lit(size)).cast("string"))
+
+    return F.array_distinct(F.concat(*map(cut, sizes)))
+
+
+def _anchored(keywords: DataFrame) -> DataFrame:
+    """``keywords`` with the ``anchor`` under which each is filed.
+
+    It is the keyword's piece of ``ANCHOR_BYTES`` bytes that the fewest keywords have, so that few
+    candidates come of a hit; the least of several. A shorter keyword is its own anchor.
+    """
+    whole = F.octet_length("keyword") < ANCHOR_BYTES
+    data = F.col("keyword").cast("binary")
+    starts = F.sequence(F.lit(1), F.octet_length("keyword") - ANCHOR_BYTES + 1)
+    grams = F.array_distinct(F.transform(starts, lambda at: F.substring(data, at, F.lit(ANCHOR_BYTES)).cast("string")))
+    filed = keywords.select("keyword", "_rule", F.explode(F.when(whole, F.array("keyword")).otherwise(grams)).alias("anchor"))
+    shared = filed.groupBy("anchor").agg(F.count(F.lit(1)).alias("_sharing"))
+    rarest = F.min(F.struct("_sharing", "anchor"))["anchor"].alias("anchor")
+    return filed.join(shared, "anchor").groupBy("keyword", "_rule").agg(rarest)
 
 
 def _first_rule(rules: DataFrame, key: str) -> DataFrame:
@@ -72,32 +92,40 @@ def _first_rule(rules: DataFrame, key: str) -> DataFrame:
 def match_rules(texts: DataFrame, rules: DataFrame, text: str = "description_norm") -> DataFrame:
     """``(_text_key, _rule)`` of each distinct text in which a keyword occurs; the first rule wins.
 
-    Substring search as an equality join: at each position of each distinct text, the piece that
-    starts there is looked up in every length that keywords have. The work grows with the length
-    of the texts and the number of those lengths, and with the matches, but not with
-    texts × rules.
+    Substring search as equality joins: each keyword is filed under one piece of itself of a fixed
+    size, its anchor. The piece at each position of each distinct text is looked up once, whatever
+    lengths the keywords have, and the keywords filed under it are then searched for in the block of
+    text around it. Keywords shorter than an anchor are looked up in their own sizes, which are
+    fewer than ``ANCHOR_BYTES``. The work grows with the length of the texts and the candidates, but
+    not with texts × rules. Both joins shuffle rows of a piece, or of a block, so Spark can split the
+    pieces that very many texts share.
     """
     sizes = sorted(rules.agg(F.collect_set(F.octet_length("keyword"))).first()[0])
     keywords = _first_rule(
         rules.select("keyword", F.struct("priority", "category").alias("_rule")), "keyword"
     )
     longest = max(sizes, default=1)
+    looked_up = [*(n for n in sizes if n < ANCHOR_BYTES), ANCHOR_BYTES]
     # Each access to a binary column copies it, so long texts are first cut into blocks, which
     # overlap by all of a keyword but its first byte.
-    blocks = _slices(F.col("data"), BLOCK_BYTES, BLOCK_BYTES + longest - 1)
-    # prefixes of a window as bytes, too; one that would be longer than the window is the window
-    pieces = [F.substring(F.col("shown").cast("binary"), 1, n).cast("string") for n in sizes or [1]]
+    cut = _slices(F.col("data"), BLOCK_BYTES, BLOCK_BYTES + longest - 1)
     # the outer form of explode, as the plain one would have each array built twice: once more in a
     # filter for empty ones. A NULL that it leaves meets no keyword.
-    looked_up = (
+    blocks = (
         texts.select(_text_key(text).alias("_text_key"), text)
         .distinct()
         .select("_text_key", F.col(text).cast("binary").alias("data"))
-        .select("_text_key", F.explode_outer(blocks).alias("block"))
-        .select("_text_key", F.explode_outer(_windows(F.col("block"), longest)).alias("shown"))
-        .select("_text_key", F.explode_outer(F.array_distinct(F.array(*pieces))).alias("keyword"))
+        .select("_text_key", F.posexplode_outer(cut).alias("block", "data"))
+    )
+    candidates = (
+        blocks.select("_text_key", "block", F.explode_outer(_pieces(F.col("data"), looked_up)).alias("anchor"))
+        .join(_anchored(keywords), "anchor")
+        .select("_text_key", "block", "keyword", "_rule")
+    )
+    found = candidates.join(blocks, ["_text_key", "block"]).where(
+        F.contains(F.col("data"), F.col("keyword").cast("binary"))
     )
-    return _first_rule(looked_up.join(keywords, "keyword").select("_text_key", "_rule"), "_text_key")
+    return _first_rule(found.select("_text_key", "_rule"), "_text_key")
 
 
 def categorize_by_table(
