@@ -1,3 +1,6 @@
+import glob
+
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,3 +169,52 @@ def test_a_table_that_cannot_take_its_place_leaves_the_old_one(spark, tmp_path,
     with pytest.raises(OSError):
         tables.replace_table(spark.range(9), path)
     assert tables.read_table(spark, path).count() == 3
+
+
+def skipped(folder, column, low, high):
+    """Share of the files whose statistics say that no value of ``column`` lies in ``low`` to ``high``."""
+    spans = []
+    for place in glob.glob(f"{folder}/*.parquet"):
+        meta = pq.ParquetFile(place).metadata
+        at = meta.schema.names.index(column)
+        stats = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+        spans += [(s.min, s.max) for s in stats if s.has_min_max]
+    return sum(last < low or first > high for first, last in spans) / len(spans)
+
+
+def test_interleaved_clustering_serves_both_columns(spark, tmp_path):
+    df = spark.range(20_000).selectExpr(
+        "id", "cast(hash(id) % 1000 as double) a", "concat('t', lpad(abs(hash(id, 7)) % 1000, 3, '0')) b"
+    )
+    path = str(tmp_path / "in")
+    append_table(df.repartition(4), path)
+    size = file_sizes(spark, path).agg({"file_size": "sum"}).first()[0]
+    share = {}
+    for interleave in (False, True):
+        out = str(tmp_path / f"out-{interleave}")
+        compact_table(spark, path, out, cluster_by=["a", "b"], interleave=interleave, target_file_bytes=size // 60)
+        assert rows_of(spark.read.parquet(out)) == rows_of(df)
+        share[interleave] = skipped(out, "b", "t100", "t110"), skipped(out, "a", 100.0, 110.0)
+    assert share[False][0] == 0 and share[True][0] > 0.6 and share[True][1] > 0.6
+
+
+@pytest.mark.parametrize("partition_by", [None, "c"])
+def test_interleaving_keeps_rows_of_all_kinds(spark, tmp_path, partition_by):
+    """NULL, NaN, dates, decimals, long texts, a column without values and a table without rows."""
+    df = spark.range(200).selectExpr(
+        "if(id % 7 = 0, null, if(id % 5 = 0, double('NaN'), double(id))) x",
+        "if(id % 3 = 0, null, date_add(date '2024-01-01', cast(id as int))) d",
+        "cast(id / 3 as decimal(9,2)) m",
+        "repeat(cast(id as string), 100) t",
+        "cast(null as long) n",
+        "concat('c', id % 2) c",
+    )
+    text = [F.col(c).cast("string") for c in df.columns]  # as NaN is not equal to itself
+    for rows, name in ((df, "some"), (df.limit(0), "none")):
+        path, out = str(tmp_path / f"in-{name}"), str(tmp_path / f"out-{name}")
+        append_table(rows, path)
+        columns = ["x", "d", "m", "t", "n"]
+        compact_table(spark, path, out, cluster_by=columns, interleave=True, partition_by=partition_by, schema=df.schema)
+        assert rows_of(read_table(spark, out, df.schema).select(*text)) == rows_of(rows.select(*text))
+    with pytest.raises(ValueError, match="columns can be interleaved"):
+        compact_table(spark, path, str(tmp_path / "x"), cluster_by=["x"] * 8, interleave=True)
