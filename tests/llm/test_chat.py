@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 from pyspark.sql import functions as F
 
@@ -56,6 +57,27 @@ def test_empty_table_and_a_long_conversation(spark):
     assert got["loss"] == [r[3] for r in rows if r[2] == "assistant"]
 
 
+def test_very_many_turns_in_one_conversation(spark):
+    """100,000 turns, whose spans and texts are checked against plain sums."""
+    n = 100_000
+    turns = spark.range(n).selectExpr(
+        "1L conv_id", "id turn", "if(id % 3 = 0, 'assistant', 'user') role", "concat('t', id) text"
+    )
+    start = time.perf_counter()
+    row = format_conversations(turns).select(
+        "formatted", "turn_spans", loss_texts(F.col("formatted"), F.col("turn_spans")).alias("loss")
+    ).first()
+    assert time.perf_counter() - start < 60  # a square of turns takes many minutes
+    at = 0
+    for i, span in enumerate(row["turn_spans"]):
+        role = "user" if i % 3 else "assistant"
+        at += 0 if i % 3 == 2 else len(f"### {role}:\n")
+        assert (span["start"], span["length"], span["loss"]) == (at, len(f"t{i}"), i % 3 == 0)
+        at += len(f"t{i}</turn>\n")
+    assert at == len(row["formatted"]) and len(row["turn_spans"]) == n
+    assert row["loss"] == [f"t{i}" for i in range(0, n, 3)]
+
+
 def test_no_python_in_the_plan(spark):
     df = format_conversations(spark.createDataFrame([], SCHEMA))
     assert "Python" not in df._jdf.queryExecution().toString()

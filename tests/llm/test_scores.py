@@ -135,6 +135,14 @@ def test_spans_of_mixed_texts(spark):
     assert rows[6]["lang_pred"] == "de" and len(rows[6]["spans"]) == 1
 
 
+def test_marks_without_a_letter_are_no_text(spark):
+    texts = ["\u0301", "12 \u0301\u0302 - 7", "\u0301 " + ENGLISH, ENGLISH.replace("house", "hou\u0301se")]
+    rows = {r["doc_id"]: r for r in identify_languages(documents(spark, texts), models(spark)).collect()}
+    assert [(rows[i]["lang_pred"], rows[i]["score"]) for i in (0, 1)] == [("und", 0.0)] * 2
+    assert [rows[i]["lang_pred"] for i in (2, 3)] == ["en", "en"]
+    assert rows[2]["spans"][0]["start"] == 2
+
+
 def test_without_training_rows(spark):
     empty = train_language_models(documents(spark, []))
     assert {r["lang_pred"] for r in identify_languages(documents(spark), empty).collect()} == {"und"}

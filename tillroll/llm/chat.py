@@ -1,7 +1,7 @@
 """Chat formatting with Spark expressions only.
 
 The turns of a conversation are collected as structs and sorted, neighbours of one role are merged
-into blocks by an array aggregation, and the blocks are concatenated::
+into blocks, each by an aggregation of its array of turns, and the blocks are concatenated::
 
     ### user:
     first text</turn>
@@ -12,7 +12,8 @@ into blocks by an array aggregation, and the blocks are concatenated::
 Inside roles and texts the backslash and all control strings are written as two-character codes, each
 a backslash and a digit, so that no control string of the template occurs in them and reading back
 is exact. A conversation is one output row, so it must fit in a row; everything before its
-concatenation is done per turn, and Spark combines turns before it shuffles them.
+concatenation is done per turn, and Spark combines turns before it shuffles them. The work on a
+conversation grows with its turns, not with their square.
 
 Defined cases: a NULL role or text counts as empty; turns with equal numbers are ordered by role,
 then text, NULL numbers come first; repeated rows are kept as turns of their own; rows with a NULL
@@ -21,6 +22,8 @@ id form one conversation; an empty table gives no rows; other columns are ignore
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +31,8 @@ HEADER, ROLE_END, TURN_END = "### ", ":\n", "</turn>\n"
 # Control strings and their codes; the backslash comes first in writing and last in reading.
 _CODES = (("\\", "\\0"), ("</turn>", "\\1"), ("###", "\\2"))
 _ROLE_CODES = (*_CODES, (":", "\\3"))
+# Turns whose sums are made together.
+_RUN = 256
 
 
 def _escape(text: Column, codes) -> Column:
@@ -60,31 +65,40 @@ def format_conversations(
         F.struct(F.col(order).alias("turn"), role.alias("role"), text.alias("text")).alias("t"),
     )
     grouped = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    blocks = grouped.withColumn("blocks", _blocks(F.col("turns")))
-    formatted = F.concat_ws("", F.transform("blocks", lambda b: _block_text(F.col("turns"), b)))
-    return blocks.select(
+    formatted = _bind(
+        F.col("turns"),
+        lambda turns: F.concat_ws("", F.transform(_blocks(turns), lambda b: _block_text(turns, b))),
+    )
+    loss = _escape(F.lit(loss_role), _ROLE_CODES)
+    return grouped.select(
         "conv_id",
         formatted.alias("formatted"),
-        _spans(F.col("turns"), _escape(F.lit(loss_role), _ROLE_CODES)).alias("turn_spans"),
+        _bind(F.col("turns"), lambda turns: _spans(turns, loss)).alias("turn_spans"),
     )
 
 
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of ``value``, which is computed once, even where ``use`` needs it for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _opens(turns: Column, turn: Column, i: Column) -> Column:
+    """Whether the turn at ``i`` has another role than the one before it."""
+    return (i == 0) | (F.get(turns, i - 1)["role"] != turn["role"])
+
+
 def _blocks(turns: Column) -> Column:
     """Runs of neighbours of one role: the role, the first turn (from 1) and how many there are."""
+    marked = F.transform(turns, lambda t, i: F.struct(_opens(turns, t, i).alias("opens"), (i + 1).alias("first")))
+    firsts = F.transform(F.filter(marked, lambda m: m["opens"]), lambda m: m["first"])
 
-    def add(done: Column, turn: Column) -> Column:
-        last = F.element_at(done, -1)
-        grown = F.struct(last["role"].alias("role"), last["first"].alias("first"), (last["n"] + 1).alias("n"))
-        opened = F.struct(
-            turn["role"].alias("role"), (last["first"] + last["n"]).alias("first"), F.lit(1).alias("n")
+    def block(firsts: Column, first: Column, i: Column) -> Column:
+        end = F.coalesce(F.get(firsts, i + 1), F.size(turns) + 1)
+        return F.struct(
+            F.get(turns, first - 1)["role"].alias("role"), first.alias("first"), (end - first).alias("n")
         )
-        same = last["role"] == turn["role"]
-        return F.when(
-            same, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(grown))
-        ).otherwise(F.concat(done, F.array(opened)))
 
-    first = F.array(F.struct(turns[0]["role"].alias("role"), F.lit(1).alias("first"), F.lit(1).alias("n")))
-    return F.aggregate(F.slice(turns, 2, F.size(turns)), first, add)
+    return _bind(firsts, lambda bound: F.transform(bound, lambda first, i: block(bound, first, i)))
 
 
 def _block_text(turns: Column, block: Column) -> Column:
@@ -94,12 +108,11 @@ def _block_text(turns: Column, block: Column) -> Column:
 
 
 def _spans(turns: Column, loss_role: Column) -> Column:
-    """Where each turn's text lies: a running sum over the lengths of headers and texts."""
+    """Where each turn's text lies: sums over the headers and texts before it."""
 
     def header(turn: Column, i: Column) -> Column:
-        new = (i == 0) | (F.get(turns, i - 1)["role"] != turn["role"])
         size = F.char_length(turn["role"]) + len(HEADER) + len(ROLE_END)
-        return F.when(new, size).otherwise(F.lit(0))
+        return F.when(_opens(turns, turn, i), size).otherwise(F.lit(0))
 
     sizes = F.transform(
         turns,
@@ -109,25 +122,44 @@ def _spans(turns: Column, loss_role: Column) -> Column:
             (t["role"] == loss_role).alias("loss"),
         ),
     )
-    empty = F.array().cast("array<struct<start:int,length:int,loss:boolean>>")
-    return F.aggregate(
-        sizes,
-        F.struct(F.lit(0).alias("end"), empty.alias("spans")),
-        lambda done, s: F.struct(
-            (done["end"] + s["header"] + s["length"] + len(TURN_END)).alias("end"),
-            F.concat(
-                done["spans"],
-                F.array(
-                    F.struct(
-                        (done["end"] + s["header"]).alias("start"),
-                        s["length"].alias("length"),
-                        s["loss"].alias("loss"),
-                    )
-                ),
-            ).alias("spans"),
-        ),
-        lambda done: done["spans"],
-    )
+
+    def span(s: Column, before: Column) -> Column:
+        return F.struct((before + s["header"]).alias("start"), s["length"].alias("length"), s["loss"].alias("loss"))
+
+    def spans(sizes: Column) -> Column:
+        taken = F.transform(sizes, lambda s: s["header"] + s["length"] + len(TURN_END))
+        return _bind(_sums_before(taken), lambda sums: F.transform(sizes, lambda s, i: span(s, F.get(sums, i))))
+
+    return _bind(sizes, spans)
+
+
+def _sums_before(values: Column) -> Column:
+    """For each value the sum of those before it.
+
+    An array that grows by one element is copied for each, so the values are cut into runs: sums are
+    made within each run and over the totals of the runs before it.
+    """
+
+    def running(run: Column) -> Column:
+        start = F.array(F.lit(0))
+        return F.aggregate(run, start, lambda done, v: F.concat(done, F.array(F.element_at(done, -1) + v)))
+
+    def total(run: Column) -> Column:
+        return F.element_at(run, -1)
+
+    def joined(runs: Column) -> Column:
+        def shifted(offsets: Column) -> Column:
+            moved = F.transform(
+                runs,
+                lambda run, i: F.transform(F.slice(run, 1, F.size(run) - 1), lambda v: v + F.get(offsets, i)),
+            )
+            return F.flatten(moved)
+
+        return _bind(running(F.transform(runs, total)), shifted)
+
+    starts = F.sequence(F.lit(1), F.greatest(F.size(values), F.lit(1)), F.lit(_RUN))
+    cut = _bind(values, lambda bound: F.transform(starts, lambda at: running(F.slice(bound, at, _RUN))))
+    return _bind(cut, joined)
 
 
 def read_turns(formatted: Column) -> Column:
@@ -158,15 +190,16 @@ def loss_texts(formatted: Column, turn_spans: Column) -> Column:
     Each text is cut out of the piece it lies in, at the place that its span gives, so that the work
     grows with the length of the conversation and not with its square.
     """
-    pieces = F.split(formatted, TURN_END)
 
-    def cut(span: Column, i: Column) -> Column:
-        before = F.get(turn_spans, i - 1)
-        piece_start = F.when(i == 0, 0).otherwise(
-            before["start"] + before["length"] + len(TURN_END)
-        )
-        text = F.substr(F.get(pieces, i), span["start"] - piece_start + 1, span["length"])
-        return F.struct(span["loss"].alias("loss"), text.alias("text"))
+    def masked(pieces: Column, spans: Column) -> Column:
+        def cut(span: Column, i: Column) -> Column:
+            before = F.get(spans, i - 1)
+            piece_start = F.when(i == 0, 0).otherwise(before["start"] + before["length"] + len(TURN_END))
+            text = F.substr(F.get(pieces, i), span["start"] - piece_start + 1, span["length"])
+            return F.struct(span["loss"].alias("loss"), text.alias("text"))
+
+        found = F.filter(F.transform(spans, cut), lambda x: x["loss"])
+        return F.transform(found, lambda x: _unescape(x["text"], _CODES))
 
-    masked = F.filter(F.transform(turn_spans, cut), lambda x: x["loss"])
-    return F.transform(masked, lambda x: _unescape(x["text"], _CODES))
+    pieces = F.split(formatted, TURN_END)
+    return _bind(turn_spans, lambda spans: _bind(pieces, lambda bound: masked(bound, spans)))

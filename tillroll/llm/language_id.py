@@ -61,9 +61,9 @@ N_SCRIPTS = len(SCRIPTS) + 1  # the last for all others
 
 @functools.cache
 def _letter_table() -> np.ndarray:
-    """Whether a code point belongs to a word: letters, and the marks that go with them."""
+    """2 for letters, 1 for the marks that belong to a word with letters, 0 for all else."""
     kinds = (unicodedata.category(chr(c))[0] for c in range(sys.maxunicode + 1))
-    return np.fromiter((k in "LM" for k in kinds), dtype=bool, count=sys.maxunicode + 1)
+    return np.fromiter(({"L": 2, "M": 1}.get(k, 0) for k in kinds), dtype=np.int8, count=sys.maxunicode + 1)
 
 
 @functools.cache
@@ -102,12 +102,16 @@ def _lower(texts: list[bytes]) -> list[bytes]:
 
 def _block(texts: list[bytes]) -> _Block:
     points, starts, _ = code_points(_lower(texts), "\n\n")
-    letters = _letter_table()[points]
+    kinds = _letter_table()[points]
+    letters = kinds > 0
     symbols = np.where(letters, 27 + points % 101, 0).astype(np.uint8)
     ascii_letter = (points >= 97) & (points <= 122)
     symbols[ascii_letter] = points[ascii_letter] - 96
     edges = np.flatnonzero(np.diff(letters.view(np.int8), prepend=np.int8(0)))
     first, end = edges[::2], edges[1::2]
+    so_far = np.concatenate([[0], np.cumsum(kinds == 2)])
+    worded = so_far[end] > so_far[first]  # marks alone are no word
+    first, end = first[worded], end[worded]
     sizes = end - first
     lengths = sizes + 1
     bounds = np.concatenate([[0], np.cumsum(lengths)])
