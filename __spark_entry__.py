@@ -492,6 +492,14 @@ def _compact_plain(spark, sf_dir):
     return read_table(spark, out)
 
 
+def _compact_interleaved(spark, sf_dir):
+    """Order lines clustered by date and price alike."""
+    out = scratch_path(spark, "compact")
+    columns = ["l_shipdate", "l_extendedprice"]
+    compact_table(spark, f"{sf_dir}/lineitem.parquet", out, cluster_by=columns, interleave=True)
+    return read_table(spark, out)
+
+
 def _stream(spark, sf_dir, drops, **options):
     drop, bronze = scratch_path(spark, "drop"), scratch_path(spark, "bronze")
     checkpoint = scratch_path(spark, "checkpoint")
@@ -604,6 +612,7 @@ def _statement_queries() -> dict[str, Query]:
         "gold_recurring": _gold("recurring"),
         "compact_preserves_rows": _compact_preserves_rows,
         "compact_plain": _compact_plain,
+        "compact_interleaved": _compact_interleaved,
         "stream_ingest": _stream_ingest,
         "stream_two_drops": _stream_two_drops,
         "stream_caps": _stream_caps,
@@ -959,6 +968,7 @@ def _statement_sql() -> dict[str, str]:
         "gold_recurring": _recurring_sql("silver"),
         "compact_preserves_rows": silver_rows,
         "compact_plain": "SELECT * FROM events",
+        "compact_interleaved": "SELECT * FROM lineitem",
         "stream_ingest": _with("charges", f"SELECT DISTINCT {_RAW}, _row_hash FROM charges"),
         "stream_two_drops": _with("charges", f"SELECT DISTINCT {_RAW}, _row_hash FROM charges"),
         "stream_caps": _with("charges", f"""
