@@ -1,6 +1,8 @@
 """Language model scores and language identification."""
 
 import math
+import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -10,55 +12,86 @@ from tests.llm.helpers import TESTDATA, documents, needs_tables, with_clashes
 from tillroll.llm.language_id import _block, identify_languages, train_language_models, viterbi
 from tillroll.llm.lm_scoring import STRENGTH, cross_entropy_difference
 from tillroll.llm.queries import QUERIES
-from tillroll.llm.symbols import N_SYMBOLS
 
 # ------------------------------------------------------------------------------ cross-entropy
 
 
-def symbol(char):
-    c = ord(char)
-    if c >= 128:
-        return 96 + c % 32
-    return c - 32 if 32 < c < 127 else 95
+def brute_force(docs, targets):
+    """(tokens, target, background and corpus loss) per document, from the counts of the other documents."""
+    words = [re.findall(r"[^\x20\x09-\x0D]+", text or "") for _, text in docs]
+    pairs = [list(zip([None, *w], w)) for w in words]
+    v = sum(map(len, words))
+
+    def mean_loss(at, among, size=None):
+        others = [j for j in among if j != at]
+        n1 = Counter(w for j in others for w in words[j])
+        n2 = Counter(p for j in others for p in pairs[j])
+        before = Counter(n1)
+        before[None] = sum(1 for j in others if words[j])
+        n = sum(n1.values())
+        k = 1.0 if size is None else size / max(n, 1)
+
+        def p(a, b):
+            alone = (k * n1[b] + STRENGTH / v) / (k * n + STRENGTH)
+            return (k * n2[a, b] + STRENGTH * alone) / (k * before[a] + STRENGTH)
+
+        return sum(-math.log2(p(*pair)) for pair in pairs[at]) / max(1, len(pairs[at]))
+
+    result = []
+    everyone, chosen = range(len(docs)), [j for j, (i, _) in enumerate(docs) if i in targets]
+    for at, (i, _) in enumerate(docs):
+        size = sum(len(words[j]) for j in chosen if j != at)
+        background = mean_loss(at, everyone, size or None)
+        target = mean_loss(at, chosen) if size else background
+        result.append((i, len(words[at]), target, background, target - background, mean_loss(at, everyone)))
+    return result
+
+
+def by_id(rows):
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1:]))
+
+
+def same_scores(got, want):
+    assert len(got) == len(want)
+    for g, w in zip(by_id(map(tuple, got)), by_id(want)):
+        assert g[:2] == w[:2]
+        assert g[2:] == pytest.approx(w[2:], abs=1e-5)
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_scores_equal_brute_force(spark, small):
+    docs = [(1, "good text here good text"), (2, "BAD $$$ text"), (3, "good hére 日 here"), (4, None), (5, ""), (6, "\t\ngood")]
+    docs += [(7, "BAD $$$ text"), (8, " \n"), (None, "good text"), (None, "other"), (9, "a " * 5000 + "b"), (2, "BAD $$$ text")]
+    docs += [(i, " ".join(f"w{i * j % 37}" for j in range(i % 50))) for i in range(10, 60)]
+    targets = [(1,), (3,), (3,), (None,), (77,), (9,), (20,), (31,), (44,)]
+    ids = spark.createDataFrame(targets, "doc_id long")
+    df = with_clashes(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+    sizes = {"block_bytes": 300, "owner_bytes": 700} if small else {}
+    got = cross_entropy_difference(df, ids, **sizes).collect()
+    same_scores(got, brute_force(docs, {i for (i,) in targets if i is not None}))
 
 
-def brute_force(docs, targets):
-    """(tokens, target loss, background loss) per document, by plain dictionaries."""
-    runs = {i: [95, 95] + [symbol(c) for c in text or ""] for i, text in docs}
-    grams = {i: list(zip(s, s[1:], s[2:])) for i, s in runs.items()}
-    counts = [Counter(g for i in grams if i in targets for g in grams[i]), Counter(g for i in grams for g in grams[i])]
-    scale = [1.0, sum(counts[0].values()) / sum(counts[1].values())]
-
-    def loss(model, gram):
-        a, b, c = gram
-        n = {g: v * scale[model] for g, v in counts[model].items()}
-        n1 = sum(v for g, v in n.items() if g[2] == c)
-        p = (n1 + STRENGTH / N_SYMBOLS) / (sum(n.values()) + STRENGTH)
-        for context in (1, 2):
-            last = (a, b)[-context:]
-            seen = sum(v for g, v in n.items() if g[:2][-context:] == last and g[2] == c)
-            total = sum(v for g, v in n.items() if g[:2][-context:] == last)
-            p = (seen + STRENGTH * p) / (total + STRENGTH)
-        return -math.log2(p)
-
-    return {
-        i: (len(g), *(sum(loss(m, x) for x in g) / max(1, len(g)) for m in (0, 1))) for i, g in grams.items()
-    }
-
-
-def test_scores_equal_brute_force(spark):
-    docs = [(1, "good text here"), (2, "BAD $$$ text"), (3, "good hére 日"), (4, None), (5, ""), (6, "\t\ngood")]
-    ids = spark.createDataFrame([(1,), (3,), (3,), (None,), (77,)], "doc_id long")
-    got = cross_entropy_difference(with_clashes(spark.createDataFrame(docs, "doc_id long, text string").repartition(2)), ids)
-    want = brute_force(docs, {1, 3})
-    rows = got.collect()
-    assert len(rows) == len(docs)
-    for r in rows:
-        n, target, background = want[r["doc_id"]]
-        assert r["n_tokens"] == n
-        assert r["target_loss"] == pytest.approx(target, abs=1e-4)
-        assert r["background_loss"] == pytest.approx(background, abs=1e-4)
-        assert r["score"] == pytest.approx(target - background, abs=1e-4)
+@needs_tables
+def test_query_equals_brute_force_on_whole_tables(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{TESTDATA}/documents.parquet").select("doc_id", "text").collect()]
+    labels = spark.read.parquet(f"{TESTDATA}/labels.parquet").where("quality = 1")
+    got = QUERIES["op5_lm_score"](spark, TESTDATA).select(
+        "doc_id", "n_tokens", "target_loss", "background_loss", "score", "corpus_loss"
+    )
+    same_scores(got.collect(), brute_force(docs, {r["doc_id"] for r in labels.collect()}))
+
+
+def test_vocabulary_decides(spark):
+    """Texts of the same letters are told apart by their words, and a copy is known by its pairs."""
+    rng = random.Random(5)
+    alike, other = ["tan", "net", "ten", "ant"], ["nat", "ent", "tne", "tna"]
+    texts = [" ".join(rng.choice(alike if i % 2 else other) for _ in range(60)) for i in range(40)]
+    rare = " ".join(f"r{rng.randrange(10**6)}" for _ in range(40))
+    texts += [rare, rare, " ".join(f"r{rng.randrange(10**6)}" for _ in range(40))]
+    ids = spark.createDataFrame([(i,) for i in range(1, 40, 4)], "doc_id long")
+    rows = {r["doc_id"]: r for r in cross_entropy_difference(documents(spark, texts), ids).collect()}
+    assert max(rows[i]["score"] for i in range(1, 40, 2)) < 0 < min(rows[i]["score"] for i in range(0, 40, 2))
+    assert rows[40]["corpus_loss"] == rows[41]["corpus_loss"] < rows[42]["corpus_loss"] - 3
 
 
 def test_no_target_and_no_documents(spark):
