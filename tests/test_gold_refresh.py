@@ -1,0 +1,108 @@
+"""Gold tables refreshed month by month."""
+
+import glob
+import os
+import shutil
+
+import pytest
+
+from tests.helpers import rows_of, spend_df
+from tillroll.operators import detect_recurring, fixed_vs_variable, monthly_by_category
+from tillroll.plans import gold as gold_plan
+from tillroll.plans import refresh_gold
+from tillroll.schemas import SILVER_SCHEMA
+from tillroll.sources import append_partitioned, read_table
+
+JAN = [("NET", "S", 15.0, "2024-01"), ("SHOP", "F", 7.5, "2024-01"), ("SHOP", "F", 7.5, "2024-01"), ("PAY", "S", 9.0, "2024-01", True)]
+FEB = [("NET", "S", 15.0, "2024-02"), ("SHOP", "F", 90.0, "2024-02")]
+MAR = [("NET", "S", 15.0, "2024-03"), ("NEW", None, None, "2024-03"), ("OLD", "F", 3.0, None)]
+NAMES = {"monthly_by_category": monthly_by_category, "fixed_vs_variable": fixed_vs_variable, "recurring": detect_recurring}
+
+
+@pytest.fixture
+def paths(tmp_path):
+    return str(tmp_path / "silver"), str(tmp_path / "gold")
+
+
+def add(spark, silver, rows):
+    append_partitioned(spend_df(spark, *rows), silver, "statement_month")
+
+
+def check(spark, silver, gold, rows=None):
+    rows = read_table(spark, silver, SILVER_SCHEMA) if rows is None else rows
+    for name, operator in NAMES.items():
+        assert rows_of(spark.read.parquet(f"{gold}/{name}")) == rows_of(operator(rows)), name
+
+
+def months(*names):
+    return {f"statement_month={name}" for name in names}
+
+
+def test_refresh_equals_a_full_build(spark, paths):
+    seen = []
+    for drop in (JAN, FEB + JAN[:1], MAR):
+        add(spark, paths[0], drop)
+        seen.append(refresh_gold(spark, *paths))
+        check(spark, *paths)
+    assert seen == [months("2024-01"), months("2024-01", "2024-02"), months("2024-03", "__HIVE_DEFAULT_PARTITION__")]
+    assert refresh_gold(spark, *paths) == set()
+    check(spark, *paths)
+
+
+def test_a_refresh_reads_changed_months_only(spark, paths):
+    silver, gold = paths
+    add(spark, silver, JAN + FEB)
+    refresh_gold(spark, silver, gold)
+    for path in glob.glob(f"{silver}/statement_month=2024-0[12]/*.parquet"):
+        with open(path, "wb") as file:  # a reader of these files would fail
+            file.write(b"no longer a table")
+    add(spark, silver, MAR)
+    assert refresh_gold(spark, silver, gold) == months("2024-03", "__HIVE_DEFAULT_PARTITION__")
+    check(spark, silver, gold, spend_df(spark, *JAN, *FEB, *MAR))
+
+
+def test_months_that_vanish_or_lose_their_charges(spark, paths):
+    silver, gold = paths
+    add(spark, silver, JAN + FEB + MAR)
+    refresh_gold(spark, silver, gold)
+    shutil.rmtree(f"{silver}/statement_month=2024-02")
+    shutil.rmtree(f"{silver}/statement_month=2024-01")
+    add(spark, silver, [("PAY", "S", 9.0, "2024-01", True)])
+    assert refresh_gold(spark, silver, gold) == months("2024-01", "2024-02")
+    check(spark, silver, gold)
+    assert not os.path.exists(f"{gold}/counted_amounts/statement_month=2024-01")
+
+
+def test_a_refresh_that_died_is_completed(spark, paths, monkeypatch):
+    silver, gold = paths
+    add(spark, silver, JAN)
+    refresh_gold(spark, silver, gold)
+    add(spark, silver, FEB + JAN[1:2])
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(gold_plan, "replace_table", fail)
+        with pytest.raises(OSError, match="lost"):
+            refresh_gold(spark, silver, gold)
+    assert refresh_gold(spark, silver, gold) == months("2024-01", "2024-02")
+    check(spark, silver, gold)
+
+
+def test_without_transactions_and_with_options(spark, paths):
+    silver, gold = paths
+    assert refresh_gold(spark, silver, gold) == set()
+    assert all(spark.read.parquet(f"{gold}/{name}").count() == 0 for name in NAMES)
+    add(spark, silver, JAN + FEB)
+    refresh_gold(spark, silver, gold, recurring={"median_accuracy": 1000, "min_months": 3}, stability={"fixed_below": 0.9})
+    rows = read_table(spark, silver, SILVER_SCHEMA)
+    want = detect_recurring(rows, median_accuracy=1000, min_months=3)
+    assert rows_of(spark.read.parquet(f"{gold}/recurring")) == rows_of(want)
+    assert rows_of(spark.read.parquet(f"{gold}/fixed_vs_variable")) == rows_of(fixed_vs_variable(rows, fixed_below=0.9))
+
+
+def test_a_table_without_month_directories_is_refused(spark, paths):
+    spend_df(spark, *JAN).write.parquet(paths[0])
+    with pytest.raises(ValueError, match="directory per"):
+        refresh_gold(spark, *paths)

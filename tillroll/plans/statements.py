@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -160,16 +160,30 @@ def build_gold(
     path = scratch_path(spark, "counted-amounts")
     try:
         append_table(counted_amounts(read_table(spark, silver, SILVER_SCHEMA)), path)
-        amounts = read_table(spark, path)
-        totals = totals_from_amounts(amounts).persist()
-        try:
-            replace_table(monthly_from_totals(totals), f"{gold}/monthly_by_category")
-            replace_table(stability_from_totals(totals, **(stability or {})), f"{gold}/fixed_vs_variable")
-        finally:
-            totals.unpersist()
-        options = dict(recurring or {})
-        # A sketch of the median is of the charges themselves.
-        rows = read_table(spark, silver, SILVER_SCHEMA)
-        replace_table(detect_recurring(rows, amounts=amounts, **options), f"{gold}/recurring")
+        publish_gold(
+            read_table(spark, path), gold, lambda: read_table(spark, silver, SILVER_SCHEMA), stability, recurring
+        )
     finally:
         delete_table(spark, path)
+
+
+def publish_gold(
+    amounts: DataFrame,
+    gold: str,
+    transactions: Callable[[], DataFrame],
+    stability: Mapping[str, float] | None,
+    recurring: Mapping[str, object] | None,
+) -> None:
+    """Write the gold tables from stored counted amounts; see :func:`build_gold`.
+
+    ``transactions`` is read only for a sketch of the median, which is of the charges themselves.
+    """
+    totals = totals_from_amounts(amounts).persist()
+    try:
+        replace_table(monthly_from_totals(totals), f"{gold}/monthly_by_category")
+        replace_table(stability_from_totals(totals, **(stability or {})), f"{gold}/fixed_vs_variable")
+    finally:
+        totals.unpersist()
+    options = dict(recurring or {})
+    rows = transactions() if options.get("median_accuracy") is not None else amounts
+    replace_table(detect_recurring(rows, amounts=amounts, **options), f"{gold}/recurring")

@@ -9,6 +9,7 @@ from tillroll.sources.tables import (
     count_per_value,
     find_table,
     read_table,
+    replace_partitions,
     replace_table,
 )
 
@@ -22,6 +23,7 @@ __all__ = [
     "order_spend",
     "read_statements",
     "read_table",
+    "replace_partitions",
     "replace_table",
     "scratch_path",
     "stream_statements",

@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql.types import StructType
 
 # What Spark reports for a missing directory, and for one without data files.
@@ -50,13 +50,22 @@ def append_partitioned(df: DataFrame, path: str, partition_by: str) -> None:
     size asks for (``spark.sql.adaptive.advisoryPartitionSizeInBytes``). Small values that share a
     hash bucket with a large one would be cut up along with it, so there are many buckets.
     """
+    _by_partition(df, partition_by).mode("append").parquet(path)
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: str) -> None:
+    """Like :func:`append_partitioned`, but each directory that gets rows loses those it had.
+
+    Other directories stay. Spark writes all rows aside before it replaces the first directory; a job
+    that dies while it does is completed by running it again.
+    """
+    writer = _by_partition(df, partition_by).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def _by_partition(df: DataFrame, partition_by: str) -> DataFrameWriter:
     buckets = max(REBALANCE_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    (
-        df.hint("rebalance", buckets, partition_by)
-        .write.mode("append")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
+    return df.hint("rebalance", buckets, partition_by).write.partitionBy(partition_by)
 
 
 def replace_table(df: DataFrame, path: str) -> None:
