@@ -20,6 +20,7 @@ from tillroll.operators.spend import (
     stability_from_totals,
     totals_from_amounts,
 )
+from tillroll.plans.rejects import SOURCE_FILE, Rejects, set_aside
 from tillroll.rules import QualityRule
 from tillroll.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
 from tillroll.sources.scratch import scratch_path
@@ -56,6 +57,7 @@ def ingest_statements(
     keep_copies: bool = False,
     by_month: bool = True,
     skip_nulls: bool = False,
+    rejects: Rejects | None = None,
 ) -> None:
     """Merge the charges of all statement files below ``source`` into the bronze table.
 
@@ -67,10 +69,35 @@ def ingest_statements(
     With ``by_month`` the table has a directory per month of the transaction date (``_month``), and
     only the months of the new files are searched; the fingerprint covers the date. A table that
     was begun without goes on without.
+
+    A line that does not parse fails the job and nothing is merged. With ``rejects`` such lines go to a
+    table of their own and the others are merged.
     """
-    raw = read_statements(spark, source, glob=glob, options=options)
-    rows = bronze_rows(raw, source, skip_nulls=skip_nulls)
-    merge_bronze(rows, bronze, dedupe=dedupe_within_batch, keep_copies=keep_copies, by_month=by_month)
+    raw = read_statements(spark, source, glob=glob, options=options, keep_rejected=rejects is not None)
+    merging = {"dedupe": dedupe_within_batch, "keep_copies": keep_copies, "by_month": by_month}
+    if rejects is None:
+        merge_bronze(bronze_rows(raw, source, skip_nulls=skip_nulls), bronze, **merging)
+    else:
+        merge_accepted(with_source_file(raw), source, bronze, rejects, skip_nulls=skip_nulls, **merging)
+
+
+def with_source_file(raw: DataFrame) -> DataFrame:
+    return raw.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+
+
+def merge_accepted(
+    parsed: DataFrame, source: str, bronze: str, rejects: Rejects, *, skip_nulls: bool, **merging: bool
+) -> None:
+    """Set the rejected lines of ``parsed`` aside and merge its other rows into the bronze table."""
+    accepted, place = set_aside(parsed, source, rejects)
+    try:
+        file = F.col("_file")
+        named = add_ingest_metadata(
+            accepted.withColumnRenamed(SOURCE_FILE, "_file"), source, source_file=file, skip_nulls=skip_nulls
+        )
+        merge_bronze(only_charges(named.drop(file)), bronze, **merging)
+    finally:
+        delete_table(parsed.sparkSession, place)
 
 
 def merge_bronze(rows: DataFrame, bronze: str, *, dedupe: bool, keep_copies: bool, by_month: bool) -> None:

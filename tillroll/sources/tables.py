@@ -115,3 +115,17 @@ def delete_table(spark: SparkSession, path: str) -> None:
     """Remove the table at ``path``, in whatever store it lies."""
     place = _hadoop_path(spark, path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def has_marker(spark: SparkSession, folder: str, number: int) -> bool:
+    """Whether :func:`put_marker` was called with this number."""
+    place = _hadoop_path(spark, f"{folder}/{number}")
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def put_marker(spark: SparkSession, folder: str, number: int) -> None:
+    """Remember a number by an empty file that is named after it, and forget the one before the last."""
+    place = _hadoop_path(spark, f"{folder}/{number}")
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.create(place, True).close()
+    files.delete(_hadoop_path(spark, f"{folder}/{number - 2}"), False)

@@ -7,8 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tillroll.plans.statements import bronze_rows, merge_bronze
+from tillroll.plans.rejects import Rejects
+from tillroll.plans.statements import bronze_rows, merge_accepted, merge_bronze, with_source_file
 from tillroll.sources.statements import stream_statements
+from tillroll.sources.tables import has_marker, put_marker
 
 # Each micro-batch searches the table once, so files are taken many at a time.
 FILES_PER_TRIGGER = 1000
@@ -27,6 +29,7 @@ def ingest_statements_stream(
     keep_copies: bool = False,
     by_month: bool = True,
     skip_nulls: bool = False,
+    rejects: Rejects | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
     """Start a query that merges each statement file dropped into ``source`` into the bronze table.
@@ -41,6 +44,12 @@ def ingest_statements_stream(
     has it most often has it, as equal purchases in one file may all be real. Either way the result
     depends on the files alone, not on how they fall into micro-batches. The table is searched in
     the months of the micro-batch (see :func:`~tillroll.plans.ingest_statements`).
+
+    When a micro-batch is merged, a marker with its number is put into the folder ``merged`` of the
+    checkpoint. One that is delivered again although it was merged, as Spark had not noted that yet, is
+    passed over without reading files or table. A checkpoint that is begun anew has no markers.
+
+    ``rejects`` keeps lines that do not parse apart, as in a batch ingest; without it they end the query.
     """
     if checkpoint.rstrip("/").startswith(bronze.rstrip("/") + "/") or checkpoint == bronze:
         raise ValueError("the checkpoint must lie outside the table")
@@ -50,14 +59,23 @@ def ingest_statements_stream(
         glob=glob,
         options=options,
         max_files_per_trigger=max_files_per_trigger,
+        keep_rejected=rejects is not None,
     )
+    merged = f"{checkpoint.rstrip('/')}/merged"
+    merging = {"dedupe": True, "keep_copies": keep_copies, "by_month": by_month}
 
-    def merge(batch: DataFrame, _batch_id: int) -> None:
-        merge_bronze(batch, bronze, dedupe=True, keep_copies=keep_copies, by_month=by_month)
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        if has_marker(spark, merged, batch_id):
+            return
+        if rejects is None:
+            merge_bronze(batch, bronze, **merging)
+        else:
+            merge_accepted(batch, source, bronze, rejects, skip_nulls=skip_nulls, **merging)
+        put_marker(spark, merged, batch_id)
 
+    rows = bronze_rows(raw, source, skip_nulls=skip_nulls) if rejects is None else with_source_file(raw)
     writer = (
-        bronze_rows(raw, source, skip_nulls=skip_nulls)
-        .writeStream.foreachBatch(merge)
+        rows.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
     )
     if name is not None:
