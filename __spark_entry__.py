@@ -41,7 +41,14 @@ from tillroll.operators import (
     top_recurring,
 )
 from tillroll.operators.quality import QualityError
-from tillroll.plans import StatementPaths, build_gold, build_silver, ingest_statements, refresh_gold
+from tillroll.plans import (
+    Rejects,
+    StatementPaths,
+    build_gold,
+    build_silver,
+    ingest_statements,
+    refresh_gold,
+)
 from tillroll.rules import (
     KEYWORD_RULES,
     SEED_RULES,
@@ -443,6 +450,22 @@ def _batch_ingest(spark, sf_dir):
     return read_table(spark, _ingested(spark, sf_dir)).select(*RAW_COLUMNS, "_row_hash")
 
 
+def _ingest_rejects(spark, sf_dir):
+    """Files in which the amount of every tenth part is no number: rows merged and lines set aside."""
+    drop, bronze, rejects = (scratch_path(spark, label) for label in ("drop", "bronze", "rejects"))
+    part = F.substring_index("Description", "#", -1).cast("int")
+    amount = F.when(part % 10 == 0, F.lit("n/a")).otherwise(F.col("Amount").cast("string"))
+    files = _feed(spark, sf_dir).withColumn("Amount", amount).select(*RAW_COLUMNS)
+    files.write.option("header", "true").csv(drop)
+    ingest_statements(spark, drop, bronze, rejects=Rejects(rejects))
+    fields = F.split("line", ",")
+    named = [fields[i].alias(name) for i, name in enumerate(RAW_COLUMNS[:5])]
+    # a line is stored once per file, and how rows fall into files is not the query's matter
+    lines = read_table(spark, rejects).select("line").distinct().select(*named, F.lit(None).cast("double").alias("Amount"))
+    rows = read_table(spark, bronze).select(*RAW_COLUMNS[:6])
+    return rows.withColumn("rejected", F.lit(False)).unionByName(lines.withColumn("rejected", F.lit(True)))
+
+
 def _built_silver(spark, sf_dir, stored_rules=False) -> str:
     """Silver built after each drop, with listed rules or those of a stored rule table."""
     paths = StatementPaths.under(scratch_path(spark, "build"), scratch_path(spark, "drop"))
@@ -621,6 +644,7 @@ def _statement_queries() -> dict[str, Query]:
         "quality_log": _quality_log,
         "source_files": _source_files,
         "batch_ingest": _batch_ingest,
+        "ingest_rejects": _ingest_rejects,
         "silver_build": _silver_build,
         "silver_build_rule_table": _silver_build_rule_table,
         "gold_refresh": _gold("monthly_by_category"),
@@ -679,6 +703,7 @@ def _round(number: str, digits: int) -> str:
 
 _FEED_KEYWORDS = [(keyword.upper(), category) for keyword, category in FEED_RULES]
 _RAW = ", ".join(f'"{name}"' for name in RAW_COLUMNS)
+_RAW_KEYS = ", ".join(f'"{name}"' for name in RAW_COLUMNS[:5])
 _HASH = (
     "sha256(concat_ws('|', "
     + ", ".join(f"coalesce(CAST(\"{name}\" AS VARCHAR), '')" for name in RAW_COLUMNS)
@@ -980,6 +1005,13 @@ def _statement_sql() -> dict[str, str]:
         "quality_labels_strict": second_run,
         "quality_log": f"SELECT * FROM ({first_run}) UNION ALL SELECT * FROM ({second_run})",
         "batch_ingest": from_files,
+        "ingest_rejects": _with("charges", f"""
+            , told AS (
+                SELECT *, CAST(split_part("Description", '#', 2) AS INT) % 10 = 0 AS spoiled FROM feed
+            )
+            SELECT {_RAW_KEYS}, "Amount", false AS rejected FROM told WHERE NOT spoiled AND "Amount" < 0
+            UNION ALL
+            SELECT DISTINCT {_RAW_KEYS}, CAST(NULL AS DOUBLE), true FROM told WHERE spoiled"""),
         "silver_build": built,
         "silver_build_rule_table": built,
         "gold_refresh": _monthly_sql("silver"),
