@@ -24,6 +24,7 @@ from tillroll.functions import (
     statement_month,
 )
 from tillroll.operators import (
+    KeyHistory,
     add_ingest_metadata,
     categorize_by_table,
     compact_table,
@@ -271,6 +272,16 @@ def _merge_dedupe(spark, sf_dir):
     return _merge(spark, sf_dir, dedupe_within_batch=True)
 
 
+def _merge_key_history(spark, sf_dir):
+    """Both drops and the second once more, by month, with filters of the keys kept beside the table."""
+    path, history = scratch_path(spark, "merge"), KeyHistory(scratch_path(spark, "key-history"), 1 << 17)
+    first, second = _drops(spark, sf_dir)
+    for batch in (first, second, second):
+        rows = batch.withColumn("month", F.date_format(parse_statement_date(F.col("Transaction Date")), "yyyy-MM"))
+        insert_only_merge(spark, rows, path, "_row_hash", partition_by="month", prune_by="month", history=history)
+    return read_table(spark, path).select(*BRONZE_OUT)
+
+
 def _merge_hot_keys(spark, sf_dir):
     """Orders keyed by customer: all orders of customers that were not in an earlier drop.
 
@@ -622,6 +633,7 @@ def _statement_queries() -> dict[str, Query]:
         "merge_idempotent": _merge_idempotent,
         "merge_dedupe": _merge_dedupe,
         "merge_hot_keys": _merge_hot_keys,
+        "merge_key_history": _merge_key_history,
         "dedup_anti_join": _dedup_anti_join,
         "month_counts": _month_counts,
         "partitioned_append": _partitioned_append,
@@ -958,6 +970,7 @@ def _statement_sql() -> dict[str, str]:
         "silver_typed": silver_rows,
         "merge_insert_only": merged,
         "merge_idempotent": merged,
+        "merge_key_history": merged,
         "merge_dedupe": _with("charges", f"SELECT DISTINCT {bronze_cols} FROM charges"),
         "merge_hot_keys": f"""
             SELECT o_orderkey, o_custkey, o_orderdate FROM orders

@@ -2,6 +2,7 @@
 
 from tillroll.operators.charges import add_ingest_metadata, only_charges
 from tillroll.operators.compact import Compaction, compact_table, file_sizes
+from tillroll.operators.key_history import KeyHistory
 from tillroll.operators.merge import drop_known_rows, insert_only_merge, rows_absent_from
 from tillroll.operators.normalize import normalize_statements
 from tillroll.operators.quality import QualityError, QualityResult, quality_report, run_quality
@@ -17,6 +18,7 @@ from tillroll.operators.spend import (
 
 __all__ = [
     "Compaction",
+    "KeyHistory",
     "QualityError",
     "QualityResult",
     "add_ingest_metadata",

@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections import defaultdict
 from collections.abc import Mapping
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from tillroll.operators.recurring import counted_amounts
@@ -16,7 +12,9 @@ from tillroll.plans.statements import MONTH, publish_gold
 from tillroll.schemas import SILVER_SCHEMA
 from tillroll.sources.tables import (
     delete_table,
+    files_by_directory,
     find_table,
+    in_directories,
     read_table,
     replace_partitions,
     replace_table,
@@ -28,27 +26,6 @@ COUNTS_SCHEMA = T.StructType([
     SILVER_SCHEMA[MONTH],
 ])
 STATE_SCHEMA = "directory string, files string"
-# Fixed value: what Spark calls the directory of NULL.
-NULL_DIRECTORY = f"{MONTH}=__HIVE_DEFAULT_PARTITION__"
-
-
-def _files_by_month(table: DataFrame) -> dict[str, str]:
-    """A digest of the data file names of each month directory, from the listing that Spark has made."""
-    found = defaultdict(list)
-    for uri in table.inputFiles():
-        *folders, name = uri.split("/")
-        month = next((folder for folder in reversed(folders) if unquote(folder).startswith(f"{MONTH}=")), None)
-        if month is None:
-            raise ValueError(f"the table must have a directory per {MONTH}: {uri}")
-        found[unquote(month)].append(name)
-    return {month: hashlib.sha256("\n".join(sorted(names)).encode()).hexdigest() for month, names in found.items()}
-
-
-def _only_months(silver: DataFrame, directories: set[str]) -> DataFrame:
-    """Rows of some months; Spark reads no other directory."""
-    values = [name.removeprefix(f"{MONTH}=") for name in directories if name != NULL_DIRECTORY]
-    inside = F.col(MONTH).isin(values)
-    return silver.where(inside | F.col(MONTH).isNull() if NULL_DIRECTORY in directories else inside)
 
 
 def refresh_counts(spark: SparkSession, silver: str, counts: str, state: str) -> set[str]:
@@ -63,14 +40,14 @@ def refresh_counts(spark: SparkSession, silver: str, counts: str, state: str) ->
     File names must be new where content is, as those that Spark writes are. One refresh at a time.
     """
     rows = find_table(spark, silver, SILVER_SCHEMA)
-    present = {} if rows is None else _files_by_month(rows)
+    present = {} if rows is None else files_by_directory(rows, MONTH)
     last = find_table(spark, state)
     known = {} if last is None else {row["directory"]: row["files"] for row in last.collect()}  # one per month
     changed = {month for month in present if known.get(month) != present[month]}
     gone = set(known) - set(present)
     if changed:
         before = _counted_files(spark, counts)
-        replace_partitions(counted_amounts(_only_months(rows, changed)), counts, MONTH)
+        replace_partitions(counted_amounts(rows.where(in_directories(MONTH, changed))), counts, MONTH)
         after = _counted_files(spark, counts)
         # Months that have no charge any more gave no directory that would replace the old one.
         gone |= {month for month in changed & set(before) if after.get(month) == before[month]}
@@ -84,7 +61,7 @@ def refresh_counts(spark: SparkSession, silver: str, counts: str, state: str) ->
 
 def _counted_files(spark: SparkSession, counts: str) -> dict[str, str]:
     table = find_table(spark, counts, COUNTS_SCHEMA)
-    return {} if table is None else _files_by_month(table)
+    return {} if table is None else files_by_directory(table, MONTH)
 
 
 def refresh_gold(

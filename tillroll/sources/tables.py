@@ -6,15 +6,23 @@ by a job that reads it.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
+from collections import defaultdict
+from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # What Spark reports for a missing directory, and for one without data files.
 _NO_TABLE = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
+# Fixed value: what Spark calls the directory of NULL.
+_NULL_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 # Hash buckets of a partitioned write; Spark joins the small ones again.
 REBALANCE_BUCKETS = 1024
 
@@ -106,6 +114,35 @@ def _rename(files, source, target) -> None:
         raise OSError(f"could not rename {source.toString()} to {target.toString()}")
 
 
+def files_by_directory(table: DataFrame, column: str) -> dict[str, str]:
+    """A digest of the data file names per directory of ``column``, from the listing that Spark has made.
+
+    Spark gives each file it writes a new name, so that an append, a compaction or a replacement
+    changes the digest. Directories are named as in ``month=2024-01``.
+    """
+    found = defaultdict(list)
+    for uri in table.inputFiles():
+        *folders, name = uri.split("/")
+        here = next((folder for folder in map(unquote, reversed(folders)) if folder.startswith(f"{column}=")), None)
+        if here is None:
+            raise ValueError(f"the table must have a directory per {column}: {uri}")
+        found[here].append(name)
+    return {here: hashlib.sha256("\n".join(sorted(names)).encode()).hexdigest() for here, names in found.items()}
+
+
+def directory_values(column: str, directories: Iterable[str]) -> list[str | None]:
+    """The texts that name directories of ``column``, as :func:`files_by_directory` has them."""
+    texts = [unquote(name.removeprefix(f"{column}=")) for name in directories]
+    return [None if text == _NULL_VALUE else text for text in texts]
+
+
+def in_directories(column: str, directories: Iterable[str]) -> Column:
+    """Rows of these directories; Spark reads no other. Never NULL."""
+    values = directory_values(column, directories)
+    inside = F.coalesce(F.col(column).isin([value for value in values if value is not None]), F.lit(False))
+    return inside | F.col(column).isNull() if None in values else inside
+
+
 def count_per_value(df: DataFrame, column: str) -> DataFrame:
     """Rows per value of a column, in the order of the values."""
     return df.groupBy(column).count().orderBy(column)
