@@ -75,6 +75,7 @@ def _fingerprints(owners: int):
 
 
 _ROWS_AT_ONCE = 20_000
+_MESSAGE_BYTES = 1 << 20
 
 
 def _messages(owners, ids: pa.Array, lengths: np.ndarray, digests: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -107,21 +108,29 @@ def _messages(owners, ids: pa.Array, lengths: np.ndarray, digests: np.ndarray) -
             ],
             names=names,
         )
+    to, held = [], []
     for owner in np.flatnonzero(np.diff(bounds)).tolist():
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.nulls(1, pa.int64()),
-                pa.nulls(1, pa.int64()),
-                pa.nulls(1, pa.int64()),
-                pa.nulls(1, pa.string()),
-                pa.array([part], pa.int64()),
-                pa.array([owner], pa.int32()),
-                pa.nulls(1, pa.int32()),
-                pa.nulls(1, pa.bool_()),
-                pa.array([golomb.encode(values[bounds[owner] : bounds[owner + 1]])], pa.binary()),
-            ],
-            names=names,
-        )
+        to.append(owner)
+        held.append(golomb.encode(values[bounds[owner] : bounds[owner + 1]]))
+        if sum(map(len, held)) >= _MESSAGE_BYTES:
+            yield _message_rows(part, to, held, names)
+            to, held = [], []
+    if held:
+        yield _message_rows(part, to, held, names)
+
+
+def _message_rows(part: int, to: list[int], messages: list[bytes], names: list[str]) -> pa.RecordBatch:
+    n = len(to)
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
+    columns = [
+        *(pa.nulls(n, kind) for kind in kinds),
+        pa.array(np.full(n, part, dtype=np.int64)),
+        pa.array(to, pa.int32()),
+        pa.nulls(n, pa.int32()),
+        pa.nulls(n, pa.bool_()),
+        pa.array(messages, pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def _answers(messages: pd.DataFrame) -> pd.DataFrame:
