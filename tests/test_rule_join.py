@@ -167,3 +167,23 @@ def test_keywords_are_filed_under_their_rarest_piece(spark):
     assert filed["SHOP"] == "SHOP" and filed["CAB"] == "CAB"
     assert all(filed[w] not in ("SHOP", "HOP ") and filed[w] in w for w in words[:3])
     assert len(set(filed.values())) == len(words)
+
+
+def test_candidates_grow_with_the_keywords_and_not_with_their_square(spark):
+    """Every piece of four bytes is shared by many numbers; each is filed under a longer one of its own."""
+    words = spark.range(20_000).select(F.concat(F.lit("RED RING "), F.col("id") + 100_000).alias("keyword"))
+    words = words.withColumn("_rule", F.lit("x"))
+    filed = rule_join._anchored(words, rule_join.LONGER_ANCHORS).groupBy("anchor").count()
+    assert filed.agg(F.max("count")).first()[0] <= rule_join.MOST_SHARING
+
+
+def test_numbered_keywords_in_texts_that_hold_others(spark):
+    """Keywords of all lengths, some within others, in more rules than share a piece."""
+    rules = [(i, f"RING {i}", f"c{i}") for i in range(1, 1300)] + [(0, "7X", "short"), (2000, "RING", "any")]
+    lines = ["RED RING 1299", "RING 12", "RING", "OLD RING 7X", "A RING 0", "RING 129", "STRING 55 B", "7X", "NONE", ""]
+    table = spark.createDataFrame(rules, "priority int, keyword string, category string")
+    df = spark.createDataFrame([(line, None) for line in lines], "description_norm string, chase_category string")
+    got = categorize_by_table(df, table, fallback="?", max_inline_rules=0)
+    ordered = sorted(rules)
+    want = [(line, next((c for _, k, c in ordered if k in line), "?")) for line in lines]
+    assert rows_of(got.select("description_norm", "category")) == sorted(want, key=repr)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.category import keyword_category, mapped_category
 from tillroll.functions.text import normalize_text
 from tillroll.rules import SOURCE_CATEGORY_MAP, UNCATEGORIZED
+from tillroll.sources.scratch import staged_table
 
 # Up to this many rules, and characters in them, become part of the plan.
 INLINE_RULES = 200
@@ -17,6 +18,9 @@ INLINE_CHARS = 64 * INLINE_RULES
 BLOCK_BYTES = 2048
 # Size of the piece by which a keyword is looked up.
 ANCHOR_BYTES = 4
+# Where more keywords than this share a piece, they are filed under pieces of the next of these sizes.
+MOST_SHARING = 32
+LONGER_ANCHORS = (8, 16, 32)
 
 
 def _normalized_rules(rules: DataFrame) -> DataFrame:
@@ -51,30 +55,42 @@ def _slices(data: Column, step: int, size: int) -> Column:
     return F.transform(starts, lambda at: F.substring(data, at, F.lit(size)))
 
 
-def _pieces(data: Column, sizes: list[int]) -> Column:
-    """The distinct pieces of the given sizes that begin at any byte, as strings; shorter ones at the end."""
-    starts = F.sequence(F.lit(1), F.octet_length(data))
+def _grams(data: Column, size: int) -> Column:
+    """The pieces of exactly ``size`` bytes that begin at any byte, as strings."""
+    starts = F.when(F.octet_length(data) >= size, F.sequence(F.lit(1), F.octet_length(data) - size + 1))
+    cut = F.transform(starts, lambda at: F.substring(data, at, F.lit(size)).cast("string"))
+    return F.coalesce(cut, F.array().cast("array<string>"))
 
-    def cut(size: int) -> Column:
-        return F.transform(starts, lambda at: F.substring(data, at, F.lit(size)).cast("string"))
 
-    return F.array_distinct(F.concat(*map(cut, sizes)))
+def _pieces(data: Column, sizes: list[int]) -> Column:
+    """The distinct pieces of the given sizes."""
+    return F.array_distinct(F.concat(*(_grams(data, size) for size in sizes)))
 
 
-def _anchored(keywords: DataFrame) -> DataFrame:
+def _anchored(keywords: DataFrame, longer: Sequence[int] = ()) -> DataFrame:
     """``keywords`` with the ``anchor`` under which each is filed.
 
     It is the keyword's piece of ``ANCHOR_BYTES`` bytes that the fewest keywords have, so that few
     candidates come of a hit; the least of several. A shorter keyword is its own anchor.
+
+    Among very many keywords even the rarest piece is shared by ever more of them. Where more than
+    ``MOST_SHARING`` have it, the rarest piece of the next size in ``longer`` that is not shared as
+    much is taken, or the whole of a keyword that is shorter than the first of them; where there is none,
+    the rarest of all.
     """
-    whole = F.octet_length("keyword") < ANCHOR_BYTES
     data = F.col("keyword").cast("binary")
-    starts = F.sequence(F.lit(1), F.octet_length("keyword") - ANCHOR_BYTES + 1)
-    grams = F.array_distinct(F.transform(starts, lambda at: F.substring(data, at, F.lit(ANCHOR_BYTES)).cast("string")))
-    filed = keywords.select("keyword", "_rule", F.explode(F.when(whole, F.array("keyword")).otherwise(grams)).alias("anchor"))
+    short = F.octet_length(data) < max([ANCHOR_BYTES, *longer[:1]])
+    whole = F.when(short, F.array("keyword")).otherwise(F.array().cast("array<string>"))
+    pieces = F.array_distinct(F.concat(whole, *(_grams(data, size) for size in [ANCHOR_BYTES, *longer])))
+    filed = keywords.select("keyword", F.explode(pieces).alias("anchor"))
     shared = filed.groupBy("anchor").agg(F.count(F.lit(1)).alias("_sharing"))
-    rarest = F.min(F.struct("_sharing", "anchor"))["anchor"].alias("anchor")
-    return filed.join(shared, "anchor").groupBy("keyword", "_rule").agg(rarest)
+    size, sharing = F.octet_length("anchor"), F.col("_sharing")
+    crowded = F.lit(bool(longer)) & (sharing > MOST_SHARING)
+    order = F.struct(
+        crowded.alias("crowded"), F.when(crowded, sharing).otherwise(size).alias("first"), sharing, F.col("anchor")
+    )
+    best = filed.join(shared, "anchor").groupBy("keyword").agg(F.min(order)["anchor"].alias("anchor"))
+    return best.join(keywords, "keyword")
 
 
 def _first_rule(rules: DataFrame, key: str) -> DataFrame:
@@ -96,16 +112,24 @@ def match_rules(texts: DataFrame, rules: DataFrame, text: str = "description_nor
     size, its anchor. The piece at each position of each distinct text is looked up once, whatever
     lengths the keywords have, and the keywords filed under it are then searched for in the block of
     text around it. Keywords shorter than an anchor are looked up in their own sizes, which are
-    fewer than ``ANCHOR_BYTES``. The work grows with the length of the texts and the candidates, but
+    fewer than ``ANCHOR_BYTES``. In tables so long that such pieces are shared by many keywords, these are
+    filed under longer ones (see :func:`_anchored`), and each size in use is looked up. The work grows with the length of the texts and the candidates, but
     not with texts × rules. Both joins shuffle rows of a piece, or of a block, so Spark can split the
     pieces that very many texts share.
     """
-    sizes = sorted(rules.agg(F.collect_set(F.octet_length("keyword"))).first()[0])
+    known = rules.agg(F.collect_set(F.octet_length("keyword")), F.count(F.lit(1))).first()
+    sizes, n_rules = sorted(known[0]), known[1]
     keywords = _first_rule(
         rules.select("keyword", F.struct("priority", "category").alias("_rule")), "keyword"
     )
     longest = max(sizes, default=1)
-    looked_up = [*(n for n in sizes if n < ANCHOR_BYTES), ANCHOR_BYTES]
+    if n_rules > MOST_SHARING:
+        anchored = staged_table(_anchored(keywords, LONGER_ANCHORS), "anchored")
+        in_use = anchored.agg(F.collect_set(F.octet_length("anchor"))).first()[0]
+        looked_up = sorted(in_use) or [ANCHOR_BYTES]
+    else:
+        anchored = _anchored(keywords)
+        looked_up = [*(n for n in sizes if n < ANCHOR_BYTES), ANCHOR_BYTES]
     # Each access to a binary column copies it, so long texts are first cut into blocks, which
     # overlap by all of a keyword but its first byte.
     cut = _slices(F.col("data"), BLOCK_BYTES, BLOCK_BYTES + longest - 1)
@@ -119,7 +143,7 @@ def match_rules(texts: DataFrame, rules: DataFrame, text: str = "description_nor
     )
     candidates = (
         blocks.select("_text_key", "block", F.explode_outer(_pieces(F.col("data"), looked_up)).alias("anchor"))
-        .join(_anchored(keywords), "anchor")
+        .join(anchored, "anchor")
         .select("_text_key", "block", "keyword", "_rule")
     )
     found = candidates.join(blocks, ["_text_key", "block"]).where(
