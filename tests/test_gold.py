@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import plan, raw_df, raw_row, rows_of, spend_df, write_csv
+from tillroll.functions import parse_statement_date, statement_month
 from tillroll.operators import (
     add_ingest_metadata,
     compact_table,
@@ -17,6 +18,7 @@ from tillroll.operators import (
 from tillroll.plans import StatementPaths, build_gold, build_silver, ingest_statements
 from tillroll.schemas import SILVER_SCHEMA
 from tillroll.sources import append_partitioned, append_table, read_table, scratch_path
+from tillroll.sources.tables import files_by_directory
 
 ROWS = [raw_row(f"{m:02d}/{d:02d}/2024", text, amount=-a) for m in range(1, 7)
         for d, text, a in ((3, "NETFLIX", 15.49), (9, "CORNER SHOP", 10.0 * m), (29, "GYM", 20.0))]
@@ -218,3 +220,42 @@ def test_interleaving_keeps_rows_of_all_kinds(spark, tmp_path, partition_by):
         assert rows_of(read_table(spark, out, df.schema).select(*text)) == rows_of(rows.select(*text))
     with pytest.raises(ValueError, match="columns can be interleaved"):
         compact_table(spark, path, str(tmp_path / "x"), cluster_by=["x"] * 8, interleave=True)
+
+
+@pytest.mark.parametrize("interleave", [False, True])
+def test_a_task_sorts_a_bounded_part(spark, tmp_path, interleave):
+    """Files are cut smaller where the rows of one would take more than the memory for a sort."""
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    append_table(spark.range(20_000).selectExpr("id", "id % 7 AS a", "double(id) AS b"), path)
+    result = compact_table(spark, path, out, cluster_by=["a", "b"], interleave=interleave, sort_bytes=100_000)
+    assert result.files_after >= 9
+    largest = spark.read.parquet(out).groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert largest <= 4_000
+    assert rows_of(spark.read.parquet(out)) == rows_of(spark.read.parquet(path))
+
+
+def test_derived_columns_are_not_shuffled(spark, tmp_path):
+    """Rows are typed and fingerprinted after they are dealt out to the tasks that write them."""
+    raw = raw_df(spark, *[raw_row(day=f"{m:02d}/{d:02d}/2024", text=f"SHOP {d}") for m in (1, 2) for d in (3, 30)])  # one is no date
+    month = statement_month(parse_statement_date(F.col("Transaction Date")))
+
+    def typed(rows):
+        below = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "sha2" not in below and "RebalancePartitions" in below
+        return normalize_statements(add_ingest_metadata(rows, "drop"))
+
+    append_partitioned(raw, str(tmp_path / "t"), "statement_month", deal_by=month, derive=typed)
+    kept = [name for name in SILVER_SCHEMA.fieldNames() if name not in ("_ingest_ts", "_silver_ts")]
+    found = read_table(spark, str(tmp_path / "t"), SILVER_SCHEMA).select(kept)
+    assert rows_of(found) == rows_of(normalize_statements(add_ingest_metadata(raw, "drop")).select(kept))
+    assert files_by_directory(found, "statement_month").keys() == {
+        "statement_month=2024-01", "statement_month=2024-02", "statement_month=__HIVE_DEFAULT_PARTITION__"
+    }
+
+
+def test_tables_store_fingerprints_in_half_their_size(spark, tmp_path):
+    df = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("hash"), (F.col("id") % 2).alias("p"))
+    append_table(df, str(tmp_path / "a"))
+    append_partitioned(df, str(tmp_path / "b"), "p")
+    for name in "ab":
+        assert file_sizes(spark, str(tmp_path / name)).agg(F.sum("file_size")).first()[0] < 0.7 * 64 * 20_000

@@ -11,9 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tillroll.sources.tables import read_table
+from tillroll.sources.tables import TABLE_CODEC, read_table
 
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+# Rows that one task sorts take about so much memory; files are smaller where they would need more.
+SORT_BYTES = 768 * 1024 * 1024
 # Ranks that interleaved clustering gives the values of a column, as bits, and the rows it draws for them.
 RANK_BITS = 8
 SAMPLED_ROWS = 20_000
@@ -55,6 +57,15 @@ def _stored_schema(spark: SparkSession, path: str) -> StructType:
     return StructType([in_files.get(f.name, StructField(f.name, StringType())) for f in found])
 
 
+def _sorted_bytes(table: DataFrame, stored_bytes: int) -> int:
+    """About the memory that all rows take while they are sorted.
+
+    A row has 8 bytes for each column and as many for its keys and its place in the order; texts, of which
+    a file has each once in a block of rows, are taken as three times what is stored.
+    """
+    return table.count() * 16 * len(table.columns) + 3 * stored_bytes  # counted from the footers of the files
+
+
 def _rankable(column: str, schema: StructType) -> Column:
     value = F.col(f"`{column}`")
     return F.substring(value, 1, _RANKED_CHARS) if isinstance(schema[column].dataType, StringType) else value
@@ -124,6 +135,7 @@ def compact_table(
     interleave: bool = False,
     partition_by: str | None = None,
     target_file_bytes: int = TARGET_FILE_BYTES,
+    sort_bytes: int = SORT_BYTES,
     schema: StructType | None = None,
 ) -> Compaction:
     """Write the rows of ``path`` to the new table ``out_path`` in files of about the target size.
@@ -132,7 +144,8 @@ def compact_table(
     columns, so that the statistics of each file and row group span few values and readers can skip
     most of them. Ranges end in the position of a row in its file: it tells equal rows apart, so
     that a value which fills a large part of the table is spread over several files, and it is the
-    same when a lost task runs again. Without columns to order by, nothing is shuffled.
+    same when a lost task runs again. Without columns to order by, nothing is shuffled. A task sorts
+    about ``sort_bytes`` of rows at most, which can make files smaller than the target.
 
     By default rows are ordered by the first column of ``cluster_by``, then the second, so that only
     filters on the first skip much. With ``interleave`` they are ordered by an interleaved key of the
@@ -154,24 +167,28 @@ def compact_table(
         clustered = [interleaved_key(cluster_by, rank_boundaries(table, cluster_by), schema)]
     order = [*([] if partition_by is None else [F.col(f"`{partition_by}`")]), *clustered]
     if order:
+        n = max(n, math.ceil(_sorted_bytes(table, bytes_before) / sort_bytes))
         position = ["_position_file", "_position_row"]
-        keys = [f"_order_{i}" for i in range(len(order))]
+        # an interleaved key is made once; stored columns are not shuffled a second time as keys
+        made = {"_order": clustered[0]} if interleave and cluster_by else {}
+        keys = [F.col(name) for name in made] or clustered
+        keys = [*order[: len(order) - len(keys)], *keys]
         laid_out = (
             table.select(
                 "*",
                 F.xxhash64("_metadata.file_path").alias(position[0]),
                 F.col("_metadata.row_index").alias(position[1]),
-                *[column.alias(name) for column, name in zip(order, keys)],
+                *[column.alias(name) for name, column in made.items()],
             )
             .repartitionByRange(n, *keys, *position)
             .sortWithinPartitions(*keys)
-            .drop(*keys, *position)
+            .drop(*made, *position)
         )
     else:
         laid_out = table.coalesce(n)
     writer = laid_out.write.mode("errorifexists")
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(out_path)
+    writer.parquet(out_path, compression=TABLE_CODEC)
     files_after, bytes_after = _measure(spark, out_path)
     return Compaction(files_before, files_after, bytes_before, bytes_after)
