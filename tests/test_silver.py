@@ -9,10 +9,10 @@ from tillroll.operators import (
     month_slice,
     normalize_statements,
 )
-from tillroll.plans import build_silver
+from tillroll.plans import build_silver, statements
 from tillroll.rules import QualityRule
-from tillroll.schemas import SILVER_SCHEMA
-from tillroll.sources import append_table, count_per_value, read_table
+from tillroll.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
+from tillroll.sources import append_partitioned, append_table, count_per_value, read_table
 
 
 def bronze(spark, *rows):
@@ -166,3 +166,34 @@ def test_hot_month_is_split_when_written(spark, tmp_path):
     assert files.pop("statement_month=2024-01") > 4
     assert set(files.values()) == {1}
     assert spark.read.parquet(str(tmp_path / "t")).count() == 40_000
+
+
+def test_a_fingerprint_that_follows_from_the_row_is_not_shuffled(spark, tmp_path):
+    """Other ones, such as those of copies, go along; all come back as they were."""
+    rows = bronze(spark, raw_row(), raw_row(day=None, amount=None)).collect()
+    rows = [row.asDict() for row in rows] + [{**rows[0].asDict(), "_row_hash": h} for h in ("=", "!", "", "other", None)]
+    table = spark.createDataFrame([tuple(row.values()) for row in rows], BRONZE_SCHEMA)
+    hidden = statements._hide_fingerprint(table)
+    assert [row["_row_hash"] for row in hidden.collect()] == ["=", "=", "!=", "!!", "!", "!other", None]
+    assert rows_of(statements._show_fingerprint(hidden)) == rows_of(table)
+
+
+def test_rows_are_typed_after_the_shuffle_and_unstaged_without_a_join(spark, tmp_path, monkeypatch):
+    b, s, log = (str(tmp_path / name) for name in ("bronze", "silver", "log"))
+    shuffled, staged = [], []
+    monkeypatch.setattr(
+        statements, "append_partitioned", lambda df, *rest, **named: (shuffled.append(df.columns), append_partitioned(df, *rest, **named))
+    )
+    monkeypatch.setattr(statements, "append_table", lambda df, path: (staged.append(df.count()), append_table(df, path)))
+    append_table(bronze(spark, raw_row("01/05/2024", "A"), raw_row("02/05/2024", "B"), raw_row("02/05/2024", "B")), b)
+    build_silver(spark, b, s, gate_log=log)
+    append_table(bronze(spark, raw_row("03/05/2024", "C")), b)
+    build_silver(spark, b, s, gate_log=log)
+    assert staged == []
+    append_table(bronze(spark, raw_row("02/06/2024", "D")), b)
+    build_silver(spark, b, s, gate_log=log)
+    assert staged == [1]
+    assert all("description_norm" not in columns for columns in shuffled) and len(shuffled) == 3
+    found = read_table(spark, s, SILVER_SCHEMA).select("description", "description_norm", "statement_month")
+    assert [r[0] + r[1] + r[2][-1] for r in rows_of(found)] == ["AA1", "BB2", "BB2", "CC3", "DD2"]
+    assert read_table(spark, s, SILVER_SCHEMA).where("length(_row_hash) = 64").count() == 5
