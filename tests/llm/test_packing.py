@@ -7,7 +7,9 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tests.llm.helpers import HARD_TEXTS, WORDS, documents, plain
-from tillroll.llm.packing import best_fit_decreasing, lower_bound, pack, token_pieces
+from tillroll.llm.chunks import ChunkCoder, lower_plain, split_all_marks
+from tillroll.llm.packing import _Encoder, _traits, best_fit_decreasing, lower_bound, pack, token_pieces
+from tillroll.llm.words import find_words
 
 
 def test_pieces_are_those_of_the_library(spark):
@@ -70,3 +72,39 @@ def test_bound_is_below_every_packing(lengths):
 def test_bounds_see_more_than_the_sum():
     assert lower_bound(np.array([51]), np.array([10]), 100) == 10
     assert lower_bound(np.array([34]), np.array([9]), 100) == 5
+
+
+def test_words_cost_one_encoding_however_they_are_spelled(tmp_path):
+    """Ids are those of the library, while capitals and marks at the end do not make new chunks."""
+    texts = ["Straße STRASSE strasse, Été été!! ÉTÉ. été? don't DON'T. It's### a×B a÷b. <|STARTOFTEXT|> <|startoftext|>.",
+             "T̈ J̌. ǰ É, É ẞ İ İ. K ﬁ ΑΣ. Σ, привет ПРИВЕТ. x9!9, 12. a.b. ... !a é €. Ð ð þ Þ; ŒUVRE œuvre:",
+             "word " * 300 + "Word, WORD. wORD!? w0rd", "", "é", ".", "A" * 70 + "! " + "a" * 70 + "!!!!!!!!!!!!"]
+    library = Tokenizer.from_file(WORDS)
+    coder = ChunkCoder(_Encoder(WORDS))
+    assert _traits(WORDS).lowers and _traits(WORDS).suffix == "</w>"
+
+    def ids_of(texts):
+        words = find_words([text.encode() for text in texts])
+        starts, ends, text = split_all_marks(words.data, words.starts, words.ends, words.text)
+        data, raw = lower_plain(words.data, words.raw, starts, ends)
+        ids, sizes = coder(data, raw, starts, ends)
+        stops = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(text, np.arange(len(texts) + 1))]
+        return [ids[a:b].tolist() for a, b in zip(stops[:-1], stops[1:])]
+
+    assert ids_of(texts) == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    before = len(coder)
+    ids_of(["Strasse! WORD### ÉTÉ, Été:"])
+    assert len(coder) == before
+
+
+@given(st.lists(st.text(st.sampled_from("aAbéÉßÐ×÷'.,!#<|>0́̌jJTıİΣσ \n"), max_size=30), max_size=6))
+@settings(max_examples=150, deadline=None)
+def test_cut_and_lowered_chunks_have_the_ids_of_the_text(texts):
+    library = Tokenizer.from_file(WORDS)
+    coder = ChunkCoder(_Encoder(WORDS))
+    words = find_words([text.encode() for text in texts])
+    starts, ends, _ = split_all_marks(words.data, words.starts, words.ends, words.text)
+    data, raw = lower_plain(words.data, words.raw, starts, ends)
+    if len(starts):
+        found = coder(data, raw, starts, ends)[0].tolist()
+        assert found == [i for t in texts for i in library.encode(t, add_special_tokens=False).ids]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -11,8 +12,31 @@ from tillroll.llm.words import hash_ranges
 
 _Encode = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 _AT_ONCE = 16_384
-_LETTER = np.zeros(256, dtype=bool)
+_MARKS = b"!#$%&*,.:;?"
+_MOST_MARKS = 8
+_CAPITAL, _LETTER, _MARK, _PLAIN = (np.zeros(256, dtype=bool) for _ in range(4))
+_CAPITAL[65:91] = True
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK[[*_MARKS]] = True
+_PLAIN[[*range(65, 91), *range(97, 123), *range(48, 58), *_MARKS]] = True
+# In UTF-8, the letters of Latin-1 beyond ASCII are this byte and a second one; its capitals are 32 below.
+_LEAD = 0xC3
+_SECOND, _SECOND_CAPITAL = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+_SECOND[0x80:0xC0] = True
+_SECOND_CAPITAL[0x80:0x9F] = True
+_SECOND[[0x97, 0xB7]] = _SECOND_CAPITAL[0x97] = False
+_PLAIN_TEXT = re.compile(rb"(?:[A-Za-z0-9%s]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])*" % re.escape(_MARKS))
+_WORD = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+
+
+def is_word(chunk: bytes) -> bool:
+    """Whether a chunk has only letters, those of Latin-1."""
+    return _WORD.fullmatch(chunk) is not None
+
+
+def is_plain(text: bytes) -> bool:
+    """Whether a text has only letters of Latin-1, digits and the marks that :func:`split_all_marks` cuts off."""
+    return _PLAIN_TEXT.fullmatch(text) is not None
 
 
 def split_marks(
@@ -25,13 +49,53 @@ def split_marks(
     """
     last = data[ends - 1]
     cut = np.flatnonzero(((last == 44) | (last == 46)) & (ends - starts > 1) & _LETTER[data[ends - 2]])
+    return _cut_in_two(starts, ends, text, cut, ends[cut] - 1)
+
+
+def split_all_marks(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, text: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Like :func:`split_marks` for more marks, up to eight of them, after a letter of Latin-1."""
+    kept = ends.copy()
+    active = np.arange(len(ends))
+    for _ in range(_MOST_MARKS):
+        active = active[(kept[active] - starts[active] > 1) & _MARK[data[kept[active] - 1]]]
+        kept[active] -= 1
+    cut = np.flatnonzero(kept < ends)
+    last, before = data[kept[cut] - 1], data[np.maximum(kept[cut] - 2, 0)]
+    cut = cut[_LETTER[last] | ((before == _LEAD) & _SECOND[last])]
+    return _cut_in_two(starts, ends, text, cut, kept[cut])
+
+
+def _cut_in_two(
+    starts: np.ndarray, ends: np.ndarray, text: np.ndarray, cut: np.ndarray, place: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not len(cut):
         return starts, ends, text
     at = cut + 1
-    mark = ends[cut] - 1
     shorter = ends.copy()
-    shorter[cut] = mark
-    return np.insert(starts, at, mark), np.insert(shorter, at, ends[cut]), np.insert(text, at, text[cut])
+    shorter[cut] = place
+    return np.insert(starts, at, place), np.insert(shorter, at, ends[cut]), np.insert(text, at, text[cut])
+
+
+def lower_plain(data: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, bytes]:
+    """``data`` and ``raw`` with small letters in the ranges that :func:`is_plain`; the others stay."""
+    plain, capital = _PLAIN[data], _CAPITAL[data]
+    second = np.flatnonzero(data[:-1] == _LEAD) + 1
+    second = second[_SECOND[data[second]]]
+    plain[second] = plain[second - 1] = True
+    capital[second] = _SECOND_CAPITAL[data[second]]
+    # how many bytes that are not plain lie before each place
+    odd = np.zeros(len(data) + 1, dtype=np.int32)
+    np.cumsum(~plain, out=odd[1:])
+    keeps = np.flatnonzero(odd[ends] > odd[starts])
+    if len(keeps):
+        edges = np.zeros(len(data) + 1, dtype=np.int8)
+        edges[starts[keeps]] += 1
+        edges[ends[keeps]] -= 1
+        capital &= np.cumsum(edges[:-1], dtype=np.int8) == 0
+    lowered = data + (capital.view(np.uint8) << 5)
+    return lowered, lowered[: len(raw)].tobytes()
 
 
 def gather(flat: np.ndarray, bounds: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -17,10 +17,12 @@ others; a NULL id is kept; an empty table gives no rows; other columns are ignor
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
-from functools import reduce
+from dataclasses import dataclass
+from functools import cache, reduce
 from itertools import chain
 
 import numpy as np
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.chunks import ChunkCoder, split_marks
+from tillroll.llm.chunks import ChunkCoder, gather, is_plain, is_word, lower_plain, split_all_marks
 from tillroll.llm.memory import tidied
 from tillroll.llm.staging import staged
 from tillroll.llm.words import SMALL_BLOCK, find_words, text_blocks
@@ -38,16 +40,47 @@ SEQUENCE, END_ID = 2048, 0
 PARTITION_PIECES = 20_000
 _MAX_EXCHANGES = 8
 _BATCH = 4096
+_WORDS = 128
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 # Ids that a worker remembers from task to task; the tokenizer itself goes with the task.
 _known: dict[str, ChunkCoder] = {}
 
 
+@dataclass(frozen=True)
+class _Traits:
+    """What the file of a tokenizer says of it."""
+
+    lowers: bool
+    """Whether plain chunks have the same ids in small letters."""
+    suffix: str | None
+    """What the last token of a word ends in, if words can be told apart by that."""
+
+
+@cache
+def _traits(path: str) -> _Traits:
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
+    normalizer = told.get("normalizer") or {}
+    steps = normalizer.get("normalizers", [normalizer]) if normalizer else []
+    known = all(
+        step["type"] in ("NFC", "Lowercase") or (step["type"] == "Replace" and step["pattern"] == {"Regex": r"\s+"})
+        for step in steps
+    )
+    # an added token is looked for before all else, and nothing that is lowered or joined may become one
+    apart = not any(is_plain(token["content"].replace(" ", "").encode()) for token in told.get("added_tokens", []))
+    lowers = known and apart and any(step["type"] == "Lowercase" for step in steps)
+    return _Traits(lowers, (told["model"].get("end_of_word_suffix") or None) if known and apart else None)
+
+
 class _Encoder:
-    """Ids of chunks by a tokenizer that is read when the first unknown chunk comes."""
+    """Ids of chunks by a tokenizer that is read when the first unknown chunk comes.
+
+    Words are encoded many at a time, with blanks between, where the tokenizer marks the last token of a word.
+    A text that does not give as many last tokens as it has words is encoded word by word.
+    """
 
     def __init__(self, path: str):
-        self._path, self._tokenizer = path, None
+        self._path, self._tokenizer, self._ends = path, None, np.zeros(0, dtype=bool)
 
     def _load(self):
         # A task has one core; more threads would each keep memory of their own.
@@ -57,6 +90,11 @@ class _Encoder:
         self._tokenizer = Tokenizer.from_file(self._path)
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
+        suffix = _traits(self._path).suffix
+        if suffix is not None:
+            vocabulary = self._tokenizer.get_vocab()
+            self._ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+            self._ends[[at for token, at in vocabulary.items() if token.endswith(suffix)]] = True
 
     def close(self) -> None:
         self._tokenizer = None
@@ -64,11 +102,28 @@ class _Encoder:
     def __call__(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if self._tokenizer is None:
             self._load()
-        ids: list[list[int]] = []
-        for at in range(0, len(chunks), _BATCH):
-            texts = [chunk.decode() for chunk in chunks[at : at + _BATCH]]
-            ids.extend(e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False))
-        return np.array([*chain.from_iterable(ids)], dtype=np.int32), np.array([*map(len, ids)])
+        words = [at for at, chunk in enumerate(chunks) if is_word(chunk)] if self._ends.any() else []
+        runs = [words[at : at + _WORDS] for at in range(0, len(words), _WORDS)]
+        order, flat, sizes = [], [], []
+        for run, ids in zip(runs, self._texts([b" ".join([chunks[at] for at in run]) for run in runs])):
+            ids = np.array(ids, dtype=np.int32)
+            last = np.flatnonzero(self._ends[ids])
+            if len(last) == len(run) and last[-1] == len(ids) - 1:
+                order.extend(run)
+                flat.append(ids)
+                sizes.append(np.diff(last, prepend=-1))
+        done = set(order)
+        rest = [at for at in range(len(chunks)) if at not in done]
+        coded = [*self._texts([chunks[at] for at in rest])]
+        flat.append(np.array([*chain.from_iterable(coded)], dtype=np.int32))
+        sizes.append(np.array([*map(len, coded)], dtype=np.int64))
+        bounds = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+        return gather(np.concatenate(flat), bounds, np.argsort(order + rest))
+
+    def _texts(self, texts: list[bytes]) -> Iterator[list[int]]:
+        for at in range(0, len(texts), _BATCH):
+            some = [text.decode() for text in texts[at : at + _BATCH]]
+            yield from (e.ids for e in self._tokenizer.encode_batch_fast(some, add_special_tokens=False))
 
 
 def token_pieces(
@@ -76,18 +131,20 @@ def token_pieces(
 ) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32`` and, if asked for, ``ids``.
 
-    For tokenizers that encode what lies between white space on its own, letters apart from marks. ``ids_crc32`` is the check
+    For tokenizers that encode what lies between white space on its own, letters apart from marks; where they lower the
+    text, the ids of a word are remembered for all its spellings. ``ids_crc32`` is the check
     sum of the piece's ids as little-endian 32-bit numbers.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _Encoder(tokenizer_path)
+        encoder, lowers = _Encoder(tokenizer_path), _traits(tokenizer_path).lowers
         coder = _known.setdefault(tokenizer_path, ChunkCoder()).using(encoder)
         for batch in batches:
             for start, stop, texts in text_blocks(batch, limit=SMALL_BLOCK):
                 words = find_words(texts)
-                starts, ends, text = split_marks(words.data, words.starts, words.ends, words.text)
-                ids, sizes = coder(words.data, words.raw, starts, ends)
+                starts, ends, text = split_all_marks(words.data, words.starts, words.ends, words.text)
+                data, raw = lower_plain(words.data, words.raw, starts, ends) if lowers else (words.data, words.raw)
+                ids, sizes = coder(data, raw, starts, ends)
                 bounds = np.searchsorted(text, np.arange(len(texts) + 1))
                 done = np.concatenate([[0], np.cumsum(sizes)])[bounds]
                 ids = ids.astype("<i4")
