@@ -245,7 +245,9 @@ def _categorize_part_rules(spark, sf_dir):
         F.concat("p_name", F.lit(" #"), F.col("p_partkey").cast("string")).alias("keyword"),
         F.col("p_brand").alias("category"),
     )
-    typed = _silver(spark, sf_dir).select("description_norm", "chase_category", "amount")
+    # parts are as many as rules: a small file of them can be too many rows for the driver to broadcast
+    feed = lineitem_feed(_table(spark, sf_dir, "lineitem"), part.hint("merge"))
+    typed = _typed(feed).select("description_norm", "chase_category", "amount")
     return categorize_by_table(typed, rules, mapping=FEED_MAP, max_inline_rules=0)
 
 

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registry
 from tests.helpers import final_plan, plan, rows_of
 from tillroll.functions import categorize, normalize_keyword
 from tillroll.operators import categorize_by_table, match_rules, rule_join
@@ -81,6 +82,46 @@ def test_long_tables_are_joined_by_equality(spark):
     assert "NestedLoop" not in plan(df) and "Cartesian" not in plan(df)
 
 
+def test_what_is_made_of_small_files_is_not_broadcast(spark, tmp_path):
+    """Files far below the limit for broadcasts hold keywords and texts that give very many pieces."""
+    spark.range(3000).select(
+        F.concat(F.lit("SHOP "), F.col("id").cast("string")).alias("keyword"), F.col("id").alias("_rule")
+    ).write.parquet(f"{tmp_path}/keywords")
+    keywords = spark.read.parquet(f"{tmp_path}/keywords")
+    assert "Broadcast" not in plan(rule_join._anchored(keywords, rule_join.LONGER_ANCHORS))
+    rules = keywords.select(F.col("_rule").alias("priority"), "keyword", F.lit("x").alias("category"))
+    found = match_rules(keywords.select(F.col("keyword").alias("description_norm")), rules)
+    assert "Broadcast" not in plan(found)
+    assert found.count() == 3000
+
+
+def test_a_rule_per_part_broadcasts_no_parts(spark, tmp_path):
+    spark.range(400).select(
+        F.col("id").alias("p_partkey"),
+        F.lit("red ring").alias("p_name"),
+        F.concat(F.lit("Brand#"), F.col("id") % 7).alias("p_brand"),
+        F.lit("SMALL").alias("p_type"),
+        F.lit(9.5).alias("p_retailprice"),
+    ).write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(800).select(
+        (F.col("id") % 500).alias("l_partkey"),
+        F.lit(1).alias("l_linenumber"),
+        F.lit(2.5).alias("l_extendedprice"),
+        F.lit("N").alias("l_returnflag"),
+        F.timestamp_seconds(F.col("id") * 86_400).alias("l_shipdate"),
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    df = registry.queries()["categorize_part_rules"](spark, str(tmp_path))
+    assert "Broadcast" not in plan(df)
+    rows = df.select("description_norm", "category").collect()
+    assert len(rows) == 700
+
+    def first(number):  # the least part whose number the text's number begins with
+        return min(int(number[:n]) for n in range(1, len(number) + 1))
+
+    for text, category in rows:
+        assert category == f"Brand#{first(text.split()[-1]) % 7}", text
+
+
 def test_whole_texts_are_searched(spark):
     words = " ".join(f"W{i}" for i in range(20_000))
     df = spark.createDataFrame([(words + " LASTWORD", None)], "description_norm string, chase_category string")

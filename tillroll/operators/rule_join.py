@@ -67,6 +67,15 @@ def _pieces(data: Column, sizes: list[int]) -> Column:
     return F.array_distinct(F.concat(*(_grams(data, size) for size in sizes)))
 
 
+def _shuffled(side: DataFrame) -> DataFrame:
+    """``side``, so that a join with it shuffles.
+
+    Spark estimates a side by the bytes of compressed files, whatever is made of their rows. What it takes
+    for small enough to broadcast can be many times the driver's memory.
+    """
+    return side.hint("merge")
+
+
 def _anchored(keywords: DataFrame, longer: Sequence[int] = ()) -> DataFrame:
     """``keywords`` with the ``anchor`` under which each is filed.
 
@@ -89,8 +98,8 @@ def _anchored(keywords: DataFrame, longer: Sequence[int] = ()) -> DataFrame:
     order = F.struct(
         crowded.alias("crowded"), F.when(crowded, sharing).otherwise(size).alias("first"), sharing, F.col("anchor")
     )
-    best = filed.join(shared, "anchor").groupBy("keyword").agg(F.min(order)["anchor"].alias("anchor"))
-    return best.join(keywords, "keyword")
+    best = filed.join(_shuffled(shared), "anchor").groupBy("keyword").agg(F.min(order)["anchor"].alias("anchor"))
+    return best.join(_shuffled(keywords), "keyword")
 
 
 def _first_rule(rules: DataFrame, key: str) -> DataFrame:
@@ -143,10 +152,10 @@ def match_rules(texts: DataFrame, rules: DataFrame, text: str = "description_nor
     )
     candidates = (
         blocks.select("_text_key", "block", F.explode_outer(_pieces(F.col("data"), looked_up)).alias("anchor"))
-        .join(anchored, "anchor")
+        .join(_shuffled(anchored), "anchor")
         .select("_text_key", "block", "keyword", "_rule")
     )
-    found = candidates.join(blocks, ["_text_key", "block"]).where(
+    found = candidates.join(_shuffled(blocks), ["_text_key", "block"]).where(
         F.contains(F.col("data"), F.col("keyword").cast("binary"))
     )
     return _first_rule(found.select("_text_key", "_rule"), "_text_key")
