@@ -1,13 +1,15 @@
 import os
 import re
 import shutil
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import plan, raw_df, raw_row, rows_of, write_csv
 from tillroll.operators import add_ingest_metadata, only_charges, source_files
-from tillroll.operators.merge import rows_absent_from
+from tillroll.functions import row_fingerprint
+from tillroll.operators.merge import COPY, rows_absent_from, single_copies
 from tillroll.plans import bronze_rows, ingest_statements
 from tillroll.schemas import BRONZE_SCHEMA, RAW_COLUMNS
 from tillroll.sources import read_statements
@@ -129,6 +131,44 @@ def test_stream_equals_batch_with_dedupe(spark, drop, tmp_path, files):
     )
 
 
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in re.findall(r"shuffle_[0-9]+_[0-9]+_[0-9]+", found.mkString(" "))}
+
+
+@pytest.mark.parametrize("keep_copies", [False, True])
+def test_a_stream_leaves_no_shuffle_files(spark, drop, tmp_path, keep_copies):
+    """Spark removes them when the driver collects garbage: those of all merges would lie on the disk until then."""
+    write_csv(f"{drop}/q2.csv", SECOND)
+    before = shuffle_files(spark)
+    run_stream(spark, drop, tmp_path, max_files_per_trigger=1, keep_copies=keep_copies)
+    until = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+
+
+@pytest.mark.parametrize("keep_copies", [False, True])
+def test_rows_are_made_single_by_one_shuffle_without_keys(spark, keep_copies):
+    """Also rows that differ, but have the same fingerprint."""
+    same = [raw_row(text="A|B", category="C"), raw_row(text="A", category="B|C"), raw_row(), raw_row(Memo="")]
+    rows = raw_df(spark, *same, raw_row(), raw_row(text="X")).withColumn("_source_file", F.lit("f"))
+    single = single_copies(rows, row_fingerprint(), keep_copies=keep_copies)
+    exchanges = re.findall(r"Exchange .*", plan(single))
+    assert len(exchanges) == 1 and "_deal" in exchanges[0]
+    assert single.columns == [*rows.columns, COPY]
+    got = sorted((row["Description"][0], row[COPY]) for row in single.collect())
+    assert got == [("A", 1), ("C", 1), *([("C", 2)] if keep_copies else []), ("X", 1)]
+
+
+def test_a_stream_goes_on_with_a_table_without_months(spark, drop, tmp_path):
+    bronze = run_stream(spark, drop, tmp_path, by_month=False, keep_copies=True)
+    write_csv(f"{drop}/q2.csv", [*SECOND, SECOND[1]])
+    run_stream(spark, drop, tmp_path, keep_copies=True)
+    assert names(spark, bronze) == ["A", "B", "C, D", "C, D"]
+    assert spark.read.parquet(bronze).columns == BRONZE_SCHEMA.names
+
+
 def test_stream_lost_checkpoint_adds_nothing(spark, drop, tmp_path):
     bronze = run_stream(spark, drop, tmp_path)
     query = ingest_statements_stream(spark, drop, bronze, str(tmp_path / "other-checkpoint"))
